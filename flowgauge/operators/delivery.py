@@ -132,25 +132,25 @@ def with_sublevels(per_team: DataFrame, level: str = "level", team: str = "team"
 
 
 def score(sums: DataFrame) -> DataFrame:
-    """Rates, averages and bands from the additive measures. The failure rate is 0 when there were no changes."""
-    total = F.col("success_deployments") + F.col("failed_deployments")
-    cfr = F.coalesce(ratio(F.col("cfr_total_failures"), F.col("cfr_total_changes"), 100), F.lit(0.0))
-    out = (
-        sums.withColumn("total_deployments", total)
-        .withColumn("average_ltfc", F.round(ratio(F.col("total_ltfc"), F.col("commits_count")), 2))
-        .withColumn("cfr_value", F.round(cfr, 2))
-        .withColumn("avg_mttr", F.round(ratio(F.col("total_mttr_seconds"), F.col("resolved_incidents") * 3600), 2))
-        .withColumn("ctfc_value", F.round(ratio(F.col("total_ctfc"), F.col("ctfc_count_issues")), 2))
-    )
-    return out.withColumns(
-        {
-            "df_flag": band("df", "total_deployments"),
-            "ltfc_flag": band("ltfc", "average_ltfc"),
-            "cfr_flag": band("cfr", "cfr_value"),
-            "mttr_flag": band("mttr", "avg_mttr"),
-            "ctfc_flag": band("ctfc", "ctfc_value"),
-        }
-    )
+    """Rates, averages and bands for the measures at hand. The failure rate is 0 when there were no changes."""
+    have, out = set(sums.columns), {}
+    if "success_deployments" in have:
+        out["total_deployments"] = F.col("success_deployments") + F.col("failed_deployments")
+        out["df_flag"] = band("df", out["total_deployments"])
+    if "commits_count" in have:
+        out["average_ltfc"] = F.round(ratio(F.col("total_ltfc"), F.col("commits_count")), 2)
+        out["ltfc_flag"] = band("ltfc", out["average_ltfc"])
+    if "cfr_total_changes" in have:
+        percent = ratio(F.col("cfr_total_failures"), F.col("cfr_total_changes"), 100)
+        out["cfr_value"] = F.round(F.coalesce(percent, F.lit(0.0)), 2)
+        out["cfr_flag"] = band("cfr", out["cfr_value"])
+    if "total_incidents" in have:
+        out["avg_mttr"] = F.round(ratio(F.col("total_mttr_seconds"), F.col("resolved_incidents") * 3600), 2)
+        out["mttr_flag"] = band("mttr", out["avg_mttr"])
+    if "ctfc_count_issues" in have:
+        out["ctfc_value"] = F.round(ratio(F.col("total_ctfc"), F.col("ctfc_count_issues")), 2)
+        out["ctfc_flag"] = band("ctfc", out["ctfc_value"])
+    return sums.withColumns(out)
 
 
 def monthly_scorecard(sums: DataFrame) -> DataFrame:
@@ -167,16 +167,15 @@ def weekly_scorecard(sums: DataFrame) -> DataFrame:
 def daily_snapshot(sums: DataFrame, start: str, end: str, keys: Sequence[str] = ("level", "sub_level")) -> DataFrame:
     """One row per key and day of the whole range; days without activity are filled with 0."""
     days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    spine = sums.select(*keys).distinct().select(*keys, F.explode(days).alias("period"))
+    spine = sums.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct().withColumn("date", F.explode(days))
     measures = [c for c in sums.columns if c not in (*keys, "period", "is_total")]
-    on = (spine["period"] == sums["period"]) & spine[keys[0]].eqNullSafe(sums[keys[0]])
-    for k in keys[1:]:
-        on = on & spine[k].eqNullSafe(sums[k])
-    joined = spine.join(sums, on, "left")
-    return joined.select(
-        *[spine[k] for k in keys],
-        spine["period"].alias("date"),
-        *[F.coalesce(sums[m], F.lit(0)).alias(m) for m in measures],
+    on = F.col("date") == F.col("period")
+    for k in keys:
+        on = on & F.col(f"_{k}").eqNullSafe(F.col(k))
+    return spine.join(sums, on, "left").select(
+        *[F.col(f"_{k}").alias(k) for k in keys],
+        "date",
+        *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures],
     )
 
 
@@ -190,7 +189,7 @@ METRIC_COLUMNS: Mapping[str, Sequence[str]] = {
 
 
 def metric_table(scorecard: DataFrame, metric: str, label: str) -> DataFrame:
-    """One metric of a scorecard, as its own narrow table. The other metrics are pruned from the plan."""
+    """One metric of a scorecard, as its own narrow table. The scorecard may be built from that metric's sums alone."""
     return scorecard.select("level", "sub_level", "year_month", label, *METRIC_COLUMNS[metric])
 
 

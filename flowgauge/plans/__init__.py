@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("scope", "delivery")
+FAMILIES = ("scope", "delivery", "activity")
 
 
 def load_all():

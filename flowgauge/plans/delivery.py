@@ -148,15 +148,17 @@ def _(t):
 # ---- scorecards ----------------------------------------------------------------------------------------------------
 
 
-def sums(t, grain):
-    parts = [
-        dl.deployment_frequency(t.deploys, grain),
-        dl.lead_time(t.deploys, t.deploy_commits, grain),
-        dl.change_failures(t.incidents, grain),
-        dl.restore_times(t.incidents, grain),
-        dl.cycle_time(cycle_issues(t), grain),
-    ]
-    return dl.with_sublevels(dl.combine(parts))
+PARTS = {
+    "df": lambda t, grain: dl.deployment_frequency(t.deploys, grain),
+    "ltfc": lambda t, grain: dl.lead_time(t.deploys, t.deploy_commits, grain),
+    "cfr": lambda t, grain: dl.change_failures(t.incidents, grain),
+    "mttr": lambda t, grain: dl.restore_times(t.incidents, grain),
+    "ctfc": lambda t, grain: dl.cycle_time(cycle_issues(t), grain),
+}
+
+
+def sums(t, grain, metrics=tuple(PARTS)):
+    return dl.with_sublevels(dl.combine([PARTS[m](t, grain) for m in metrics]))
 
 
 SCORE_USES = "flat deploys deploy_commits incidents issue_history"
@@ -207,14 +209,16 @@ def score_sql(grain):
 query("scorecard_monthly", "D7 D11", SCORE_USES, score_sql("month"))(lambda t: dl.monthly_scorecard(sums(t, "month")))
 query("scorecard_weekly", "D8 D11", SCORE_USES, score_sql("week"))(lambda t: dl.weekly_scorecard(sums(t, "week")))
 
+FIRST_COUNT = {m: dl.METRIC_COLUMNS[m][0] for m in PARTS} | {"df": "success_deployments + failed_deployments"}
+
 for grain, label, card in (("month", "month_name", dl.monthly_scorecard), ("week", "week_name", dl.weekly_scorecard)):
     for metric, columns in dl.METRIC_COLUMNS.items():
         query(
             f"scorecard_{metric}_{grain}ly",
             "D10",
             SCORE_USES,
-            f"SELECT level, sub_level, year_month, {label}, {', '.join(columns)} FROM ({score_sql(grain)})",
-        )(lambda t, grain=grain, label=label, card=card, metric=metric: dl.metric_table(card(sums(t, grain)), metric, label))
+            f"SELECT level, sub_level, year_month, {label}, {', '.join(columns)} FROM ({score_sql(grain)}) WHERE {FIRST_COUNT[metric]} > 0",
+        )(lambda t, g=grain, label=label, card=card, m=metric: dl.metric_table(card(sums(t, g, (m,))), m, label))
 
 DAYS = ("1998-01-01", "1998-03-31")
 
