@@ -57,3 +57,27 @@ def running_total(df: DataFrame, keys: Sequence[str], day: str, value: str, alia
     """Running sum per key over a relation that already has one row per key and day."""
     w = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(alias, F.sum(value).over(w))
+
+
+def position_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str, bucket: Column) -> DataFrame:
+    """0-based position of each row inside its key, ascending by the order columns, with the key's row count.
+
+    ``bucket`` is a coarse, order-preserving part of the first order column. Rows are numbered inside (key, bucket);
+    offsets and the total come from a summary with one row per key and bucket.
+    """
+    rows = df.withColumn("_bucket", bucket)
+    sizes = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        *keys,
+        "_bucket",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias(f"{alias}_count"),
+    )
+    inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order)) - 1
+    return (
+        rows.withColumn("_inside", inside)
+        .join(sizes, [*keys, "_bucket"])
+        .withColumn(alias, F.col("_offset") + F.col("_inside"))
+        .drop("_bucket", "_inside", "_offset")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("scope", "delivery", "activity")
+FAMILIES = ("scope", "delivery", "activity", "assist")
 
 
 def load_all():
