@@ -240,22 +240,25 @@ def tag_filter(df: DataFrame, wanted: Sequence[str], tags: str = "tags") -> Data
     return df.filter(F.arrays_overlap(texts, F.array(*[F.lit(w) for w in wanted])))
 
 
-def tag_wildcard(df: DataFrame, wanted: DataFrame, tags: str = "pipeline_tags", sentinel: str = "X") -> DataFrame:
-    """Rows whose tag array holds a wanted tag; the sentinel ``'X'`` in the wanted tags lets every row pass.
+def matching_tag_arrays(df: DataFrame, wanted: DataFrame, tags: str, sentinel: str) -> DataFrame:
+    """The distinct tag arrays (``_tags``) that hold a wanted tag, or all of them if the sentinel is wanted.
 
-    The row keeps its own tag array for an equi semi join through its exploded tags: the row set is the union of the rows
-    that pass by the sentinel and the rows that pass by a tag.
+    The distinct arrays are matched first, so the fact itself is neither exploded nor joined on an OR.
     """
     names = wanted.toDF("_tag").distinct()
     lookups = F.array_union(F.coalesce(F.col(tags), F.array().cast("array<string>")), F.array(F.lit(sentinel)))
-    # The distinct tag arrays are matched first, so the fact itself is neither exploded nor joined on an OR.
     shapes = df.select(F.col(tags).alias("_tags"), lookups.alias("_lookups")).distinct()
-    passed = (
+    return (
         shapes.withColumn("_one", F.explode("_lookups"))
         .join(names, F.col("_one") == F.col("_tag"), "left_semi")
         .select("_tags")
         .distinct()
     )
+
+
+def tag_wildcard(df: DataFrame, wanted: DataFrame, tags: str = "pipeline_tags", sentinel: str = "X") -> DataFrame:
+    """Rows whose tag array holds a wanted tag; the sentinel ``'X'`` in the wanted tags lets every row pass."""
+    passed = matching_tag_arrays(df, wanted, tags, sentinel)
     return df.join(passed, df[tags].eqNullSafe(passed["_tags"]), "left_semi")
 
 

@@ -125,8 +125,8 @@ def _(t):
 
 
 @query("lines_split_evenly_over_users", "A11", "assist", """
-SELECT org_name, user_id, total, total // n + CASE WHEN at < total % n THEN 1 ELSE 0 END AS share FROM (
-  SELECT org_name, user_id, row_number() OVER (PARTITION BY org_name ORDER BY user_id) - 1 AS at, count(*) OVER (PARTITION BY org_name) AS n,
+SELECT org_name, user_id, total, total // n + CASE WHEN pos < total % n THEN 1 ELSE 0 END AS share FROM (
+  SELECT org_name, user_id, row_number() OVER (PARTITION BY org_name ORDER BY user_id) - 1 AS pos, count(*) OVER (PARTITION BY org_name) AS n,
     CAST(sum(l) OVER (PARTITION BY org_name) AS BIGINT) AS total FROM (SELECT org_name, user_id, sum(loc_added_sum) AS l FROM assist GROUP BY org_name, user_id))""")
 def _(t):
     users = t.assist.select("org_name", "user_id").distinct()

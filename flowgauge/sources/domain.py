@@ -149,7 +149,7 @@ def _(d):
     return f"""SELECT o_orderkey AS run_id, 'github' AS pipeline_source,
         concat('https://git.example/n', c_nationkey, CASE WHEN o_orderkey % 2 = 0 THEN '.git' ELSE '' END) AS project_url,
         concat('P', c_nationkey % 10) AS project_name, concat('NATION_', c_nationkey) AS level,
-        concat('team-', o_custkey % 3) AS team, concat('flow-', o_orderkey % 50) AS pipeline_id,
+        concat('team-', o_custkey % 3) AS team, concat('flow-', o_orderkey) AS pipeline_id,
         concat('flow-', o_orderkey % 50, '-main') AS pipeline_name,
         CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'failed' ELSE 'running' END AS pipeline_status,
         cast(o_orderkey AS string) AS step_id,
@@ -494,7 +494,7 @@ def _(d):
 
 @frame("flow_steps", "orders")
 def _(d):
-    return f"""SELECT concat('ISS-', o_orderkey) AS ticket_key, concat('flow-', o_orderkey % 50) AS pipeline_id,
+    return f"""SELECT concat('ISS-', o_orderkey) AS ticket_key, concat('flow-', o_orderkey) AS pipeline_id,
         {d.hours('o_orderdate', '5')} AS pipeline_started_at,
         CASE o_orderkey % 7 WHEN 0 THEN 'code-review' WHEN 1 THEN 'build-and-test' WHEN 2 THEN 'security-scan'
           WHEN 3 THEN 'sonar-quality' WHEN 4 THEN 'qa-tests' WHEN 5 THEN 'deploy-staging' ELSE 'production-release' END AS pipeline_step_name,
@@ -507,8 +507,8 @@ def _(d):
 
 @frame("repo_runs", "orders", "customer")
 def _(d):
-    return f"""SELECT DISTINCT concat('flow-', o_orderkey % 50) AS pipeline_id, concat('P', c_nationkey % 10) AS project_name,
-        concat('ISS-', o_orderkey) AS ticket_key, o_orderdate AS pipeline_started_at, cast(o_orderkey AS string) AS run_step
+    return f"""SELECT concat('flow-', o_orderkey) AS pipeline_id, concat('P', c_nationkey % 10) AS project_name,
+        concat('ISS-', o_orderkey) AS ticket_key, o_orderdate AS pipeline_started_at
       FROM {d.orders} JOIN {d.customer} ON o_custkey = c_custkey WHERE o_orderkey % 2 = 0"""
 
 
