@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("scope", "delivery", "activity", "assist", "quality", "flow")
+FAMILIES = ("scope", "delivery", "activity", "assist", "quality", "flow", "profile")
 
 
 def load_all():
