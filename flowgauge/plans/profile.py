@@ -113,7 +113,7 @@ def _(t):
     return pf.combo_matrix(daily, "day", "n", RANGES, {f: c for f, (_, c) in FILTERS.items()})
 
 
-TOKEN = "[A-Za-z0-9_.]+@[a-z]+[.][a-z]+"
+TOKEN = "[A-Za-z0-9_.]+@[a-z0-9.]+[.][a-z]+"
 
 
 @query("tokens_in_documents", "X12", "", f"""
