@@ -165,18 +165,23 @@ def weekly_scorecard(sums: DataFrame) -> DataFrame:
 
 
 def daily_snapshot(sums: DataFrame, start: str, end: str, keys: Sequence[str] = ("level", "sub_level")) -> DataFrame:
-    """One row per key and day of the whole range; days without activity are filled with 0."""
-    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    spine = sums.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct().withColumn("date", F.explode(days))
+    """One row per key and day of the whole range, for the keys with any activity in it; idle days are filled with 0.
+
+    Each row spreads over the days up to the key's next row, so the relation is read once and not joined to a calendar.
+    The window runs over at most one row per key and day.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     measures = [c for c in sums.columns if c not in (*keys, "period", "is_total")]
-    on = F.col("date") == F.col("period")
-    for k in keys:
-        on = on & F.col(f"_{k}").eqNullSafe(F.col(k))
-    return spine.join(sums, on, "left").select(
-        *[F.col(f"_{k}").alias(k) for k in keys],
-        "date",
-        *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures],
+    in_key = Window.partitionBy(*keys).orderBy("period")
+    begins = F.when(F.row_number().over(in_key) == 1, first).otherwise(F.col("period"))
+    ends = F.coalesce(F.date_sub(F.lead("period").over(in_key), 1), last)
+    spread = (
+        sums.filter(F.col("period").between(first, last))
+        .withColumns({"_begins": begins, "_ends": ends})
+        .withColumn("date", F.explode(F.sequence("_begins", "_ends")))
     )
+    active = F.col("date") == F.col("period")
+    return spread.select(*keys, "date", *[F.when(active, F.col(m)).otherwise(0).alias(m) for m in measures])
 
 
 METRIC_COLUMNS: Mapping[str, Sequence[str]] = {

@@ -17,36 +17,42 @@ from flowgauge.schemas import FILTER_NAMES, LEVELS
 ANY = "x"
 
 
+def filter_rows(groups: DataFrame, values: DataFrame) -> DataFrame:
+    """Active groups joined to their active values: one row per group, filter name and metric id."""
+    rows = values.filter("active").select(
+        "filter_group_id", "tool_type", "filter_name", "filter_values", F.explode("kpi_uuids").alias("kpi")
+    )
+    return rows.join(groups.filter("active").select("filter_group_id", *LEVELS), "filter_group_id")
+
+
 def flatten_filters(groups: DataFrame, values: DataFrame, names: Sequence[str] = FILTER_NAMES) -> DataFrame:
-    """Groups joined to their values: one row per group, tool type and metric id, one array column per filter name.
+    """One row per group, tool type and metric id, with one array column per filter name.
 
-    A filter that is not set stays NULL, which later means "no restriction". Inactive rows are left out.
+    A filter that is not set stays NULL, which later means "no restriction". Arrays hold what the configuration lists
+    for one group and metric; where only the values of one filter are needed, ``scope_values`` builds no arrays.
     """
-    rows = (
-        values.filter("active")
-        .select("filter_group_id", "tool_type", "filter_name", "filter_values", F.explode("kpi_uuids").alias("kpi"))
-        .join(groups.filter("active").select("filter_group_id", *LEVELS), "filter_group_id")
-    )
 
     def values_of(name: str) -> Column:
         found = F.flatten(F.collect_list(F.when(F.col("filter_name") == name, F.col("filter_values"))))
         tidy = F.array_sort(F.array_distinct(found))
         return F.when(F.size(tidy) > 0, tidy).alias(name)
 
-    return rows.groupBy("filter_group_id", *LEVELS, "tool_type", "kpi").agg(*[values_of(n) for n in names])
+    wanted = filter_rows(groups, values).filter(F.col("filter_name").isin(list(names)))
+    return wanted.groupBy("filter_group_id", *LEVELS, "tool_type", "kpi").agg(*[values_of(n) for n in names])
 
 
 def in_scope(kpi: str | None = None, **levels: str | Sequence[str]) -> Column:
-    """Predicate on a flattened filter relation: one metric id and the wanted level values."""
+    """Predicate on filter rows or flattened filters: one metric id and the wanted level values."""
     parts = [F.col("kpi") == kpi] if kpi else []
     for level, wanted in levels.items():
         parts.append(F.col(level).isin([wanted] if isinstance(wanted, str) else list(wanted)))
     return all_of(parts) if parts else F.lit(True)
 
 
-def scope_values(flat: DataFrame, column: str, kpi: str, **levels: str | Sequence[str]) -> DataFrame:
-    """Distinct values of one filter in scope. NULL and empty arrays give no rows."""
-    return flat.filter(in_scope(kpi, **levels)).select(F.explode(column).alias(column)).distinct()
+def scope_values(rows: DataFrame, name: str, kpi: str, **levels: str | Sequence[str]) -> DataFrame:
+    """Distinct values of one filter in scope, from filter rows. NULL and empty arrays give no rows."""
+    named = rows.filter((F.col("filter_name") == name) & in_scope(kpi, **levels))
+    return named.select(F.explode("filter_values").alias(name)).distinct()
 
 
 def scope_values_outer(flat: DataFrame, columns: Sequence[str], kpi: str, **levels: str | Sequence[str]) -> DataFrame:
@@ -166,8 +172,9 @@ def commit_prefix_join(commits: DataFrame, urls: DataFrame, url: str = "project_
     The repository is cut out of the commit's own URL, so the prefix test is an equi join.
     """
     keys = urls.select(git_url_key(url).alias("matched_url")).distinct()
-    repo = F.regexp_extract(commits["web_url"], r"^(.*?)/commit/", 1)
-    return commits.join(keys, repo == keys["matched_url"])
+    found = commits.filter(F.contains("web_url", F.lit("/commit/")))
+    repo = F.substring_index(found["web_url"], "/commit/", 1)
+    return found.join(keys, repo == keys["matched_url"])
 
 
 def offering_filter(df: DataFrame, toggle: bool, enabled: bool, column: str = "level_1") -> DataFrame:

@@ -242,7 +242,7 @@ def _(t):
 
 @query("tool_picker", "A22", "flat", "SELECT DISTINCT coalesce(tool_type, 'x') AS tool FROM flat WHERE kpi = 'kpi-assist'")
 def _(t):
-    named = fl.scope_values_outer(flat(t), ["org_name", "team_names"], "kpi-assist")
+    named = fl.scope_values_outer(flat(t, "org_name", "team_names"), ["org_name", "team_names"], "kpi-assist")
     return named.select(F.coalesce("tool_type", F.lit(fl.ANY)).alias("tool")).distinct()
 
 

@@ -9,7 +9,7 @@ from flowgauge.functions.columns import ratio, year_month
 from flowgauge.operators import delivery as dl
 from flowgauge.operators import filters as fl
 from flowgauge.plans.registry import query, rnd, secs
-from flowgauge.plans.scope import CTFC_MATCH, flat
+from flowgauge.plans.scope import CTFC_MATCH, ctfc_filters, rows
 
 WINDOW = ("1996-01-01", "2000-12-31")
 
@@ -39,7 +39,7 @@ def trunc(grain, c):
 
 def deploys_in_scope(t):
     """Deploys of the repositories that the filter hierarchy lists for one region, whatever the URL spelling."""
-    urls = fl.scope_values(flat(t), "project_url", "kpi-df", level_1="ASIA")
+    urls = fl.scope_values(rows(t), "project_url", "kpi-df", level_1="ASIA")
     return fl.url_semi_join(t.deploys, urls)
 
 
@@ -123,7 +123,7 @@ CYCLE = f"""SELECT * FROM (SELECT *, date_diff('day', issue_created, issue_updat
 
 
 def cycle_issues(t):
-    return dl.cycle_time_issues(t.issue_history, flat(t).filter(fl.in_scope("kpi-ctfc")), *WINDOW)
+    return dl.cycle_time_issues(t.issue_history, ctfc_filters(t), *WINDOW)
 
 
 @query("cycle_time_per_issue", "D5", "flat issue_history", f"""
@@ -157,8 +157,12 @@ PARTS = {
 }
 
 
-def sums(t, grain, metrics=tuple(PARTS)):
-    return dl.with_sublevels(dl.combine([PARTS[m](t, grain) for m in metrics]))
+def sums(t, grain, metrics=tuple(PARTS), window=None):
+    per_team = dl.combine([PARTS[m](t, grain) for m in metrics])
+    if window:
+        # The period is a grouping key, so Catalyst moves this filter below the aggregates and joins to the scans.
+        per_team = per_team.filter(F.col("period").between(F.lit(window[0]).cast("date"), F.lit(window[1]).cast("date")))
+    return dl.with_sublevels(per_team)
 
 
 SCORE_USES = "flat deploys deploy_commits incidents issue_history"
@@ -226,10 +230,10 @@ DAYS = ("1998-01-01", "1998-03-31")
 @query("scorecard_daily_snapshot", "D9", SCORE_USES, f"""
 WITH s AS ({sums_sql('day')})
 SELECT k.level, k.sub_level, d.day AS date, {', '.join(f'coalesce(s.{m}, 0) AS {m}' for m in dl.ADDITIVE)}
-FROM (SELECT DISTINCT level, sub_level FROM s) k CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '{DAYS[0]}', DATE '{DAYS[1]}', INTERVAL 1 DAY)) AS DATE) AS day) d
+FROM (SELECT DISTINCT level, sub_level FROM s WHERE period BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[1]}') k CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '{DAYS[0]}', DATE '{DAYS[1]}', INTERVAL 1 DAY)) AS DATE) AS day) d
 LEFT JOIN s ON s.level = k.level AND s.sub_level IS NOT DISTINCT FROM k.sub_level AND s.period = d.day""")
 def _(t):
-    return dl.daily_snapshot(sums(t, "day"), *DAYS)
+    return dl.daily_snapshot(sums(t, "day", window=DAYS), *DAYS)
 
 
 @query("deployments_split_by_fraction", "D12", "deploys", f"""

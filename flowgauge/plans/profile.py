@@ -12,7 +12,7 @@ from flowgauge.operators import flow as fw
 from flowgauge.operators import profile as pf
 from flowgauge.operators import release as rl
 from flowgauge.plans.registry import query, rnd
-from flowgauge.plans.scope import CTFC_MATCH, flat, with_board_ids
+from flowgauge.plans.scope import CTFC_MATCH, ctfc_filters, flat, with_board_ids
 from flowgauge.session import scratch_path
 from flowgauge.sources import tables as tb
 
@@ -89,7 +89,7 @@ def _(t):
     source = t.issue_history
     changes = source.filter(F.lower("issue_changelog_itemsfield").isin("status", "epic status"))
     inside = changes.filter(F.to_date("issue_updated").between(F.lit("1999-01-01").cast("date"), F.lit("1999-12-31").cast("date")))
-    filt = flat(t).filter(fl.in_scope("kpi-ctfc"))
+    filt = ctfc_filters(t)
     matched = fl.array_filter_join(with_board_ids(inside), filt)
     issues = dl.cycle_time_issues(source, filt, "1999-01-01", "1999-12-31")
     return pf.stage_funnel(
@@ -133,7 +133,7 @@ def _(t):
 @query("wired_project_urls", "X13", "flat deploys", """
 SELECT DISTINCT project_url, project_url IN (SELECT unnest(project_url) FROM flat) AS is_wired FROM deploys""")
 def _(t):
-    return pf.wired(t.deploys, flat(t).select(F.explode("project_url").alias("project_url")), "project_url")
+    return pf.wired(t.deploys, flat(t, "project_url").select(F.explode("project_url").alias("project_url")), "project_url")
 
 
 @query("join_match_count", "X14", "deploys deploy_commits", """

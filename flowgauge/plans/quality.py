@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from flowgauge.operators import filters as fl
 from flowgauge.operators import quality as ql
 from flowgauge.plans.registry import query, rnd
-from flowgauge.plans.scope import flat
+from flowgauge.plans.scope import flat, rows
 
 WINDOW = ("2000-01-01", "2001-06-30")
 
 
 def names(t, **levels):
-    return fl.scope_values(flat(t), "project_name", "kpi-quality", **levels)
+    return fl.scope_values(rows(t), "project_name", "kpi-quality", **levels)
 
 
 NAMES = "SELECT lower(n) AS n FROM (SELECT unnest(project_name) AS n FROM flat WHERE kpi = 'kpi-quality')"
@@ -137,7 +137,7 @@ WHERE a.Severity NOT IN ('Information', 'BestPractice') AND IsPresent = true AND
 
 
 def web(t):
-    filt = flat(t).filter(fl.in_scope("kpi-web"))
+    filt = flat(t, "project_name").filter(fl.in_scope("kpi-web"))
     return ql.web_findings(t.web_scans, t.web_issues, filt, *WINDOW)
 
 
@@ -197,9 +197,8 @@ s AS (SELECT {JUNIT} FROM test_runs JOIN u ON git_url = u.u WHERE git_url IS NOT
 SELECT pipeline_id, step_id, run_count, count(*) AS n FROM s WHERE CAST(created_at AS DATE) BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'
 GROUP BY pipeline_id, step_id, run_count""")
 def _(t):
-    f = flat(t)
-    urls = fl.scope_values(f, "project_url", "kpi-tests", level_1="ASIA")
-    tags = fl.scope_values(f, "pipeline_tags", "kpi-tests", level_1="ASIA")
+    urls = fl.scope_values(rows(t), "project_url", "kpi-tests", level_1="ASIA")
+    tags = fl.scope_values(rows(t), "pipeline_tags", "kpi-tests", level_1="ASIA")
     return ql.test_drilldown(t.test_runs, urls, tags, *WINDOW)
 
 

@@ -8,8 +8,12 @@ from flowgauge.operators import filters as fl
 from flowgauge.plans.registry import query
 
 
-def flat(t):
-    return fl.flatten_filters(t.filter_groups, t.filter_values)
+def rows(t):
+    return fl.filter_rows(t.filter_groups, t.filter_values)
+
+
+def flat(t, *names):
+    return fl.flatten_filters(t.filter_groups, t.filter_values, *([names] if names else []))
 
 
 @query("filters_flattened", "F1", "flat", """
@@ -28,14 +32,14 @@ SELECT level, count(*) AS runs FROM deploys WHERE regexp_replace(project_url, '\
   SELECT regexp_replace(u, '\.git$', '') FROM (SELECT unnest(project_url) AS u FROM flat WHERE kpi = 'kpi-df' AND level_1 = 'ASIA'))
 GROUP BY level""")
 def _(t):
-    urls = fl.scope_values(flat(t), "project_url", "kpi-df", level_1="ASIA")
+    urls = fl.scope_values(rows(t), "project_url", "kpi-df", level_1="ASIA")
     return fl.url_semi_join(t.deploys, urls).groupBy("level").agg(F.count("*").alias("runs"))
 
 
 @query("scope_values_by_level", "F2", "flat", """
 SELECT DISTINCT unnest(project_name) AS project_name FROM flat WHERE kpi = 'kpi-ctfc' AND level_4 = 'area-1'""")
 def _(t):
-    return fl.scope_values(flat(t), "project_name", "kpi-ctfc", level_4="area-1")
+    return fl.scope_values(rows(t), "project_name", "kpi-ctfc", level_4="area-1")
 
 
 OUTER = """SELECT DISTINCT tool_type, coalesce(o, 'x') AS org_name, coalesce(m, 'x') AS team_names
@@ -44,7 +48,7 @@ OUTER = """SELECT DISTINCT tool_type, coalesce(o, 'x') AS org_name, coalesce(m,
 
 @query("scope_values_with_sentinel", "F3", "flat", OUTER)
 def _(t):
-    return fl.scope_values_outer(flat(t), ["org_name", "team_names"], "kpi-assist")
+    return fl.scope_values_outer(flat(t, "org_name", "team_names"), ["org_name", "team_names"], "kpi-assist")
 
 
 def level_fact(t):
@@ -67,7 +71,7 @@ FROM a JOIN f ON f.tool_type = a.tool AND ((f.team_names <> 'x' AND a.level = 't
   OR (f.team_names = 'x' AND a.level = 'organization' AND (f.org_name = 'x' OR a.level_name = f.org_name)))
 GROUP BY tool, level, level_name""")
 def _(t):
-    filt = fl.scope_values_outer(flat(t), ["org_name", "team_names"], "kpi-assist")
+    filt = fl.scope_values_outer(flat(t, "org_name", "team_names"), ["org_name", "team_names"], "kpi-assist")
     return (
         fl.wildcard_join(level_fact(t), filt)
         .groupBy("tool", "level", "level_name")
@@ -80,7 +84,7 @@ WITH f AS ({OUTER}), a AS ({LEVEL_FACT})
 SELECT tool, level_name, count(*) AS n_rows FROM a JOIN f ON f.tool_type = a.tool AND a.level = 'organization'
   AND a.level_name = f.org_name GROUP BY tool, level_name""")
 def _(t):
-    filt = fl.scope_values_outer(flat(t), ["org_name", "team_names"], "kpi-assist")
+    filt = fl.scope_values_outer(flat(t, "org_name", "team_names"), ["org_name", "team_names"], "kpi-assist")
     return fl.strict_join(level_fact(t), filt).groupBy("tool", "level_name").agg(F.count("*").alias("n_rows"))
 
 
@@ -92,6 +96,10 @@ CTFC_MATCH = """EXISTS (SELECT 1 FROM flat f WHERE f.kpi = 'kpi-ctfc'
     AND (f.include_issue_types IS NULL OR list_contains(f.include_issue_types, s.issue_type)))"""
 
 
+def ctfc_filters(t):
+    return flat(t, "project_name", "board_ids", "issue_status", "include_issue_types").filter(fl.in_scope("kpi-ctfc"))
+
+
 def with_board_ids(df):
     return df.withColumn("board_ids", F.transform("board_info", lambda b: b["board_id"].cast("string")))
 
@@ -100,7 +108,7 @@ def with_board_ids(df):
 SELECT issue_project, issue_status, issue_type, count(*) AS n FROM issue_history s WHERE {CTFC_MATCH}
 GROUP BY issue_project, issue_status, issue_type""")
 def _(t):
-    filt = flat(t).filter(fl.in_scope("kpi-ctfc"))
+    filt = ctfc_filters(t)
     return (
         fl.array_filter_join(with_board_ids(t.issue_history), filt)
         .groupBy("issue_project", "issue_status", "issue_type")
@@ -114,7 +122,7 @@ SELECT f.level_3, f.tool_type, count(*) AS runs FROM deploys p JOIN (
   ON p.project_url = f.u OR p.project_url = concat(f.u, '.git') OR concat(p.project_url, '.git') = f.u
 GROUP BY f.level_3, f.tool_type""")
 def _(t):
-    urls = flat(t).filter(fl.in_scope("kpi-ltfc")).select("level_3", "tool_type", F.explode("project_url").alias("filter_url"))
+    urls = flat(t, "project_url").filter(fl.in_scope("kpi-ltfc")).select("level_3", "tool_type", F.explode("project_url").alias("filter_url"))
     joined = fl.url_join(t.deploys, urls, "project_url", "filter_url")
     return joined.groupBy("level_3", "tool_type").agg(F.count("*").alias("runs"))
 
@@ -124,7 +132,7 @@ SELECT f.u AS matched_url, count(*) AS commits, count(DISTINCT commit_id) AS dis
   SELECT DISTINCT regexp_replace(u, '\.git$', '') AS u FROM (SELECT unnest(project_url) AS u FROM flat
   WHERE kpi = 'kpi-ltfc' AND level_1 IN ('ASIA', 'EUROPE'))) f ON c.web_url LIKE concat(f.u, '/commit/%') GROUP BY f.u""")
 def _(t):
-    urls = fl.scope_values(flat(t), "project_url", "kpi-ltfc", level_1=["ASIA", "EUROPE"])
+    urls = fl.scope_values(rows(t), "project_url", "kpi-ltfc", level_1=["ASIA", "EUROPE"])
     return (
         fl.commit_prefix_join(t.deploy_commits, urls)
         .groupBy("matched_url")
@@ -140,7 +148,7 @@ SELECT d.level, count(*) AS runs FROM deploys d JOIN s ON d.level = s.level_3 WH
 
 def offering_plan(toggle, enabled):
     def plan(t):
-        scope = fl.offering_filter(flat(t).filter(fl.in_scope("kpi-df")), toggle, enabled, "level_2")
+        scope = fl.offering_filter(flat(t, "project_url", "deployment_stages", "pipeline_status_success").filter(fl.in_scope("kpi-df")), toggle, enabled, "level_2")
         d = t.deploys
         return d.join(scope, d["level"] == scope["level_3"]).groupBy("level").agg(F.count("*").alias("runs"))
 
@@ -216,7 +224,7 @@ def _(t):
 SELECT WebsiteName, count(*) AS n FROM web_scans s WHERE EXISTS (SELECT 1 FROM flat f WHERE f.kpi = 'kpi-web'
   AND f.level_1 = 'AFRICA' AND list_contains(f.project_name, s.WebsiteName)) GROUP BY WebsiteName""")
 def _(t):
-    filt = flat(t).filter(fl.in_scope("kpi-web", level_1="AFRICA"))
+    filt = flat(t, "project_name").filter(fl.in_scope("kpi-web", level_1="AFRICA"))
     return (
         fl.name_in_arrays(t.web_scans, filt, "WebsiteName", "project_name").groupBy("WebsiteName").agg(F.count("*").alias("n"))
     )
@@ -236,14 +244,14 @@ TAG_SQL = """SELECT repository, count(*) AS n FROM test_runs r WHERE EXISTS (SEL
 @query("test_runs_by_tag", "F18", "flat test_runs", TAG_SQL.format(
     "SELECT unnest(pipeline_tags) AS tag FROM flat WHERE kpi = 'kpi-tests' AND level_1 = 'AMERICA'"))
 def _(t):
-    wanted = fl.scope_values(flat(t), "pipeline_tags", "kpi-tests", level_1="AMERICA")
+    wanted = fl.scope_values(rows(t), "pipeline_tags", "kpi-tests", level_1="AMERICA")
     return fl.tag_wildcard(t.test_runs, wanted).groupBy("repository").agg(F.count("*").alias("n"))
 
 
 @query("test_runs_by_tag_wildcard", "F18", "flat test_runs", TAG_SQL.format(
     "SELECT coalesce(g, 'X') AS tag FROM flat LEFT JOIN unnest(pipeline_tags) AS x(g) ON true WHERE kpi = 'kpi-tests'"))
 def _(t):
-    tags = flat(t).filter(fl.in_scope("kpi-tests")).select(F.explode_outer("pipeline_tags").alias("tag"))
+    tags = flat(t, "project_url", "pipeline_tags").filter(fl.in_scope("kpi-tests")).select(F.explode_outer("pipeline_tags").alias("tag"))
     tags = tags.select(F.coalesce("tag", F.lit("X")).alias("tag"))
     return fl.tag_wildcard(t.test_runs, tags).groupBy("repository").agg(F.count("*").alias("n"))
 
@@ -263,8 +271,8 @@ SELECT org_name, pipeline_step_conclusion, count(*) AS n FROM flow_steps WHERE o
   AND (lower(pipeline_step_type) LIKE '%review%' OR lower(pipeline_step_name) LIKE '%review%')
 GROUP BY org_name, pipeline_step_conclusion""")
 def _(t):
-    rows = fl.stage_filter(t.flow_steps, "code_review", F.col("org_name") == "org-3")
-    return rows.groupBy("org_name", "pipeline_step_conclusion").agg(F.count("*").alias("n"))
+    steps = fl.stage_filter(t.flow_steps, "code_review", F.col("org_name") == "org-3")
+    return steps.groupBy("org_name", "pipeline_step_conclusion").agg(F.count("*").alias("n"))
 
 
 @query("commits_with_fallback_scope", "F21", "commits", """
@@ -284,7 +292,7 @@ def _(t):
 SELECT project_url, count(*) AS n FROM commits WHERE project_url IN (SELECT unnest(project_url) FROM flat WHERE kpi = 'kpi-commits')
 GROUP BY project_url""")
 def _(t):
-    scope = fl.scope_values(flat(t), "project_url", "kpi-commits")
+    scope = fl.scope_values(rows(t), "project_url", "kpi-commits")
     return fl.semi_scope(t.commits, scope, "project_url").groupBy("project_url").agg(F.count("*").alias("n"))
 
 
