@@ -164,14 +164,16 @@ def weekly_scorecard(sums: DataFrame) -> DataFrame:
     return score(sums).withColumns({"year_month": year_month("period"), "week_name": week_label("period")})
 
 
-def daily_snapshot(sums: DataFrame, start: str, end: str, keys: Sequence[str] = ("level", "sub_level")) -> DataFrame:
+def daily_snapshot(
+    sums: DataFrame, start: str, end: str, keys: Sequence[str] = ("level", "sub_level", "is_total")
+) -> DataFrame:
     """One row per key and day of the whole range, for the keys with any activity in it; idle days are filled with 0.
 
     Each row spreads over the days up to the key's next row, so the relation is read once and not joined to a calendar.
     The window runs over at most one row per key and day.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    measures = [c for c in sums.columns if c not in (*keys, "period", "is_total")]
+    measures = [c for c in sums.columns if c not in (*keys, "period")]
     in_key = Window.partitionBy(*keys).orderBy("period")
     begins = F.when(F.row_number().over(in_key) == 1, first).otherwise(F.col("period"))
     ends = F.coalesce(F.date_sub(F.lead("period").over(in_key), 1), last)

@@ -24,13 +24,15 @@ def latest_record(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
-    """All rows that carry the newest stamp of their own key (ties kept).
+    """All rows that carry the newest stamp of their own key (ties kept). NULL is a key like any other.
 
     The newest stamp is taken per key: a newer snapshot of one key must not hide the others. It is an aggregate joined
     back, not a window, so a snapshot of any size stays spread over its tasks.
     """
-    newest = df.groupBy(*keys).agg(F.max(stamp).alias("_newest"))
-    on = [df[k] == newest[k] for k in keys] + [df[stamp] == newest["_newest"]]
+    newest = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(stamp).alias("_newest"))
+    on = F.col(stamp) == F.col("_newest")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
     return df.join(newest, on, "left_semi")
 
 
@@ -40,17 +42,16 @@ def previous_value(
     """The value of the previous row of the same key, in ascending order of the order columns.
 
     ``bucket`` is a coarse, order-preserving part of the first order column, such as its day. Rows are ordered inside
-    (key, bucket) only; what crosses a bucket's start comes from a summary with one row per key and bucket.
+    (key, bucket) only. What crosses a bucket's start comes from a summary with one row per key and bucket, which takes
+    part in the window as the bucket's first row.
     """
-    rows = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    lasts = rows.groupBy(*keys, "_bucket").agg(F.max_by(value, F.struct(*order)).alias("_last"))
-    lasts = lasts.withColumn("_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop("_last")
-    marked = rows.withColumn("_at", F.row_number().over(inside)).withColumn("_before", F.lag(value).over(inside))
-    joined = marked.join(lasts, [*keys, "_bucket"])
-    return joined.withColumn(alias, F.when(F.col("_at") == 1, F.col("_carried")).otherwise(F.col("_before"))).drop(
-        "_bucket", "_at", "_before", "_carried"
-    )
+    rows = df.withColumns({"_bucket": bucket, "_value": F.col(value), "_real": F.lit(True)})
+    lasts = rows.groupBy(*keys, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_last"))
+    carried = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket"))
+    heads = lasts.select(*keys, "_bucket", carried.alias("_value"), F.lit(False).alias("_real"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_real", *order)
+    both = rows.unionByName(heads, allowMissingColumns=True).withColumn(alias, F.lag("_value").over(inside))
+    return both.filter("_real").drop("_bucket", "_value", "_real")
 
 
 def running_total(df: DataFrame, keys: Sequence[str], day: str, value: str, alias: str) -> DataFrame:
@@ -62,22 +63,26 @@ def running_total(df: DataFrame, keys: Sequence[str], day: str, value: str, alia
 def position_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str, bucket: Column) -> DataFrame:
     """0-based position of each row inside its key, ascending by the order columns, with the key's row count.
 
-    ``bucket`` is a coarse, order-preserving part of the first order column. Rows are numbered inside (key, bucket);
-    offsets and the total come from a summary with one row per key and bucket.
+    ``bucket`` is a coarse, order-preserving part of the first order column. Rows are numbered inside (key, bucket) only;
+    offset and count come from a summary with one row per key and bucket, which joins the window as its first row.
     """
-    rows = df.withColumn("_bucket", bucket)
+    rows = df.withColumns({"_bucket": bucket, "_real": F.lit(True)})
     sizes = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(
+    heads = sizes.select(
         *keys,
         "_bucket",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.sum("_n").over(Window.partitionBy(*keys)).alias(f"{alias}_count"),
+        F.lit(False).alias("_real"),
     )
-    inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order)) - 1
-    return (
-        rows.withColumn("_inside", inside)
-        .join(sizes, [*keys, "_bucket"])
-        .withColumn(alias, F.col("_offset") + F.col("_inside"))
-        .drop("_bucket", "_inside", "_offset")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_real", *order)
+    numbered = rows.unionByName(heads, allowMissingColumns=True).withColumns(
+        {
+            # The summary row is number 1, so the first real row is number 2 and has position 0.
+            "_row": F.row_number().over(inside) - 2,
+            "_offset": F.first("_offset").over(inside),
+            f"{alias}_count": F.first(f"{alias}_count").over(inside),
+        }
     )
+    return numbered.filter("_real").withColumn(alias, F.col("_offset") + F.col("_row")).drop("_bucket", "_real", "_row", "_offset")

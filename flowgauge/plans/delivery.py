@@ -229,9 +229,9 @@ DAYS = ("1998-01-01", "1998-03-31")
 
 @query("scorecard_daily_snapshot", "D9", SCORE_USES, f"""
 WITH s AS ({sums_sql('day')})
-SELECT k.level, k.sub_level, d.day AS date, {', '.join(f'coalesce(s.{m}, 0) AS {m}' for m in dl.ADDITIVE)}
-FROM (SELECT DISTINCT level, sub_level FROM s WHERE period BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[1]}') k CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '{DAYS[0]}', DATE '{DAYS[1]}', INTERVAL 1 DAY)) AS DATE) AS day) d
-LEFT JOIN s ON s.level = k.level AND s.sub_level IS NOT DISTINCT FROM k.sub_level AND s.period = d.day""")
+SELECT k.level, k.sub_level, k.is_total, d.day AS date, {', '.join(f'coalesce(s.{m}, 0) AS {m}' for m in dl.ADDITIVE)}
+FROM (SELECT DISTINCT level, sub_level, is_total FROM s WHERE period BETWEEN DATE '{DAYS[0]}' AND DATE '{DAYS[1]}') k CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '{DAYS[0]}', DATE '{DAYS[1]}', INTERVAL 1 DAY)) AS DATE) AS day) d
+LEFT JOIN s ON s.level = k.level AND s.sub_level IS NOT DISTINCT FROM k.sub_level AND s.is_total = k.is_total AND s.period = d.day""")
 def _(t):
     return dl.daily_snapshot(sums(t, "day", window=DAYS), *DAYS)
 
