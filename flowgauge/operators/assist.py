@@ -282,7 +282,8 @@ def tool_security(commits: DataFrame, deploys: DataFrame, scans: DataFrame) -> D
 
 def engagement(usage: DataFrame, keys: Sequence[str] = ("org_name",)) -> DataFrame:
     """Active users, mean features per user and mean active days per user."""
-    per_user = usage.groupBy(*keys, "user_login").agg(
+    # Repeated uses are dropped first: two distinct counts side by side double whatever rows reach them.
+    per_user = usage.select(*keys, "user_login", "feature", "usage_date").distinct().groupBy(*keys, "user_login").agg(
         F.count_distinct("feature").alias("features"), F.count_distinct("usage_date").alias("days")
     )
     n = F.count("*")

@@ -164,9 +164,8 @@ def stage_badges(fact: DataFrame) -> DataFrame:
 
 def ai_assisted_commits(fact: DataFrame, keys: Sequence[str] = ("org_name",)) -> DataFrame:
     """Distinct commits and AI-assisted ones. Every spelling of the flag counts; comparing 'Y' with TRUE gave 0."""
-    return fact.groupBy(*keys).agg(
-        F.count_distinct("commit_id").alias("commits"),
-        F.count_distinct(F.when(flag("copilot_commit_flag"), F.col("commit_id"))).alias("ai_assisted_commits"),
+    per_commit = fact.groupBy(*keys, "commit_id").agg(F.bool_or(flag("copilot_commit_flag")).alias("assisted"))
+    return per_commit.groupBy(*keys).agg(
+        F.count("commit_id").alias("commits"),
+        F.count_if(F.col("assisted") & F.col("commit_id").isNotNull()).alias("ai_assisted_commits"),
     )
-
-

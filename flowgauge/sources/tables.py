@@ -77,10 +77,12 @@ def preview_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def export_scope(df: DataFrame, path: str, scope: str) -> None:
-    """Snapshot a table as one folder per scope value. Rows are spread by a salt, so a large scope has many writers."""
-    df.repartition(F.col(scope), F.pmod(F.xxhash64(*df.columns), F.lit(16))).write.partitionBy(scope).mode("errorifexists").parquet(
-        path
-    )
+    """Snapshot a table as one folder per scope value.
+
+    Rows are rebalanced by scope: small scopes share a task, and Spark splits a large one over as many writers as its
+    size needs.
+    """
+    df.hint("rebalance", F.col(scope)).write.partitionBy(scope).mode("errorifexists").parquet(path)
 
 
 def restore_scope(spark: SparkSession, path: str, schema: str, scope: str, values: Sequence[str]) -> DataFrame:
