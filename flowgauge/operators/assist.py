@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.functions.columns import col, is_weekday, ratio, seconds_between
-from flowgauge.operators.ordering import position_in_key, running_total, top_rows
+from flowgauge.operators.ordering import position_in_key, running_total, spread_to_next, top_rows
 
 SUMS = (
     "user_initiated_interaction_count",
@@ -324,12 +324,12 @@ def trailing_users(
     deltas = spans.select(*keys, "width_name", F.inline(marks)).groupBy(*keys, "width_name", "usage_date").agg(
         F.sum("delta").alias("delta")
     )
-    spine = deltas.select(*keys, "width_name").distinct()
-    spine = spine.withColumn("usage_date", F.explode(F.sequence(day(start), day(end)))).withColumn("delta", F.lit(0))
-    daily = deltas.unionByName(spine).groupBy(*keys, "width_name", "usage_date").agg(F.sum("delta").alias("delta"))
-    counted = running_total(daily, [*keys, "width_name"], "usage_date", "delta", "users").filter(F.col("usage_date") <= day(end))
-    return counted.groupBy(*keys, "usage_date").agg(
-        *[F.coalesce(F.max(F.when(F.col("width_name") == n, F.col("users"))), F.lit(0)).cast("bigint").alias(n) for n in widths]
+    named = [*keys, "width_name"]
+    counted = running_total(deltas, named, "usage_date", "delta", "users")
+    daily = spread_to_next(counted, named, "usage_date", day(start), day(end), "_day")
+    users = F.when(F.col("_day") >= F.col("usage_date"), F.col("users")).otherwise(0)
+    return daily.groupBy(*keys, F.col("_day").alias("usage_date")).agg(
+        *[F.coalesce(F.max(F.when(F.col("width_name") == n, users)), F.lit(0)).cast("bigint").alias(n) for n in widths]
     )
 
 

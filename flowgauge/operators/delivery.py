@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.functions.bands import band
 from flowgauge.functions.columns import period_start, ratio, seconds_between, week_label, year_month
 from flowgauge.operators.filters import array_filter_join
-from flowgauge.operators.ordering import latest_record, previous_value
+from flowgauge.operators.ordering import latest_record, previous_value, spread_to_next
 
 KEYS = ("level", "team")
 
@@ -167,21 +167,9 @@ def weekly_scorecard(sums: DataFrame) -> DataFrame:
 def daily_snapshot(
     sums: DataFrame, start: str, end: str, keys: Sequence[str] = ("level", "sub_level", "is_total")
 ) -> DataFrame:
-    """One row per key and day of the whole range, for the keys with any activity in it; idle days are filled with 0.
-
-    Each row spreads over the days up to the key's next row, so the relation is read once and not joined to a calendar.
-    The window runs over at most one row per key and day.
-    """
-    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    """One row per key and day of the whole range, for the keys with any activity in it; idle days are filled with 0."""
     measures = [c for c in sums.columns if c not in (*keys, "period")]
-    in_key = Window.partitionBy(*keys).orderBy("period")
-    begins = F.when(F.row_number().over(in_key) == 1, first).otherwise(F.col("period"))
-    ends = F.coalesce(F.date_sub(F.lead("period").over(in_key), 1), last)
-    spread = (
-        sums.filter(F.col("period").between(first, last))
-        .withColumns({"_begins": begins, "_ends": ends})
-        .withColumn("date", F.explode(F.sequence("_begins", "_ends")))
-    )
+    spread = spread_to_next(sums, keys, "period", F.lit(start).cast("date"), F.lit(end).cast("date"), "date")
     active = F.col("date") == F.col("period")
     return spread.select(*keys, "date", *[F.when(active, F.col(m)).otherwise(0).alias(m) for m in measures])
 

@@ -86,3 +86,16 @@ def position_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], al
         }
     )
     return numbered.filter("_real").withColumn(alias, F.col("_offset") + F.col("_row")).drop("_bucket", "_real", "_row", "_offset")
+
+
+def spread_to_next(df: DataFrame, keys: Sequence[str], at: str, start: Column, end: Column, alias: str) -> DataFrame:
+    """Every day of a range for each key that has a row in it: a row covers the days up to the key's next row.
+
+    The first row also covers the days before it; compare ``alias`` with ``at`` to tell them. The input has at most one
+    row per key and day, and is read once: there is no calendar to join.
+    """
+    in_key = Window.partitionBy(*keys).orderBy(at)
+    begins = F.when(F.row_number().over(in_key) == 1, start).otherwise(F.col(at))
+    ends = F.coalesce(F.date_sub(F.lead(at).over(in_key), 1), end)
+    inside = df.filter(F.col(at).between(start, end)).withColumns({"_begins": begins, "_ends": ends})
+    return inside.withColumn(alias, F.explode(F.sequence("_begins", "_ends"))).drop("_begins", "_ends")

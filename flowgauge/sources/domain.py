@@ -26,6 +26,9 @@ class SparkText:
     def rec(self, **fields: str) -> str:
         return f"named_struct({', '.join(f'{chr(39)}{k}{chr(39)}, {v}' for k, v in fields.items())})"
 
+    def rows(self, array: str) -> str:
+        return f"explode({array})"
+
     def json(self, **fields: str) -> str:
         return f"to_json({self.rec(**fields)})"
 
@@ -58,6 +61,9 @@ class DuckText(SparkText):
     def rec(self, **fields: str) -> str:
         return f"struct_pack({', '.join(f'{k} := {v}' for k, v in fields.items())})"
 
+    def rows(self, array: str) -> str:
+        return f"unnest({array})"
+
     def json(self, **fields: str) -> str:
         return f"CAST(to_json({self.rec(**fields)}) AS VARCHAR)"
 
@@ -132,13 +138,19 @@ def _(d):
         ("pipeline_tags", "'github'", d.arr(f"concat('tag-', {n} % 9)"), ("tests",), f"{n} % 2 = 1"),
         ("project_name", "'scanner'", d.arr(f"concat('SVC-', {n})", f"concat('SVC-', {n} + 25)"), ("quality", "web"), "1 = 1"),
     ]
-    picks = [
-        f"""SELECT concat('fv-', {n}, '-{i}') AS id, concat('fg-', {n}) AS filter_group_id, {tool_type} AS tool_type,
-          '{name}' AS filter_name, {values} AS filter_values, {d.arr(*[f"'kpi-{k}'" for k in kpis])} AS kpi_uuids,
-          {n} <> 23 AS active FROM {d.nation} WHERE {cond}"""
-        for i, (name, tool_type, values, kpis, cond) in enumerate(rows)
-    ]
-    return " UNION ALL ".join(picks)
+    entries = d.arr(
+        *[
+            d.rec(
+                id=f"concat('fv-', {n}, '-{i}')", tool_type=tool_type, filter_name=f"'{name}'", filter_values=values,
+                kpi_uuids=d.arr(*[f"'kpi-{k}'" for k in kpis]), listed=cond,
+            )
+            for i, (name, tool_type, values, kpis, cond) in enumerate(rows)
+        ]
+    )
+    return f"""SELECT e.id AS id, filter_group_id, e.tool_type AS tool_type, e.filter_name AS filter_name,
+        e.filter_values AS filter_values, e.kpi_uuids AS kpi_uuids, active
+      FROM (SELECT concat('fg-', {n}) AS filter_group_id, {n} <> 23 AS active, {d.rows(entries)} AS e FROM {d.nation}) AS x
+      WHERE e.listed"""
 
 
 # ---- deployments, commits, issues ---------------------------------------------------------------------------------
@@ -223,7 +235,7 @@ def _(d):
 @frame("boards", "supplier")
 def _(d):
     return f"""SELECT s_suppkey AS board_id, concat('board-', s_suppkey) AS board_name, concat('org-', s_nationkey % 6) AS org_name
-      FROM {d.supplier} WHERE s_suppkey % 12 <> 7"""
+      FROM {d.supplier} WHERE s_acctbal >= 500"""
 
 
 @frame("commits", "lineitem")
@@ -489,7 +501,7 @@ def _(d):
         o_orderdate AS pr_created_datetime, concat('dev', o_custkey % 150) AS pr_user_name, 'update' AS pr_title,
         CASE o_orderstatus WHEN 'F' THEN 'merged' WHEN 'P' THEN 'closed' ELSE 'open' END AS pr_state,
         concat('org-', o_custkey % 6) AS org_name
-      FROM {d.orders} WHERE o_orderkey % 3 <> 0"""
+      FROM {d.orders} WHERE o_orderpriority <> '5-LOW'"""
 
 
 @frame("flow_steps", "orders")
@@ -509,7 +521,7 @@ def _(d):
 def _(d):
     return f"""SELECT concat('flow-', o_orderkey) AS pipeline_id, concat('P', c_nationkey % 10) AS project_name,
         concat('ISS-', o_orderkey) AS ticket_key, o_orderdate AS pipeline_started_at
-      FROM {d.orders} JOIN {d.customer} ON o_custkey = c_custkey WHERE o_orderkey % 2 = 0"""
+      FROM {d.orders} JOIN {d.customer} ON o_custkey = c_custkey WHERE o_orderpriority <> '4-NOT SPECIFIED'"""
 
 
 @frame("job_logs", "documents")
