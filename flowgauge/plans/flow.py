@@ -182,10 +182,12 @@ query("release_pass_rates", "R6", "releases", f"{rate_sql('builds', 'build', 'bu
 
 
 @query("release_open_risks", "R7", "releases", f"""
-SELECT * FROM (SELECT fix_version, count(*) AS vulnerabilities, count(*) FILTER ({text('last_activity_date')} > {text('activity_date')}) AS resolved_vulnerabilities
-  FROM {objects('vulnerabilities')} GROUP BY fix_version) JOIN (SELECT fix_version, count(*) FILTER ({text('IsPresent')} = 'true' AND {text('IsAddressed')} = 'false') AS open_web_findings
-  FROM {objects('web_vulnerabilities')} GROUP BY fix_version) USING (fix_version) JOIN (SELECT fix_version, count(*) FILTER ({text('status')} = 'OPEN') AS open_bugs,
-  {rnd(f"sum(CASE WHEN {text('status')} = 'OPEN' THEN date_diff('day', CAST({text('creation_date')} AS DATE), DATE '2002-01-01') END) * 1.0 / count(*) FILTER ({text('status')} = 'OPEN')")} AS mean_bug_age_days
+SELECT fix_version, coalesce(vulnerabilities, 0) AS vulnerabilities, coalesce(resolved_vulnerabilities, 0) AS resolved_vulnerabilities,
+  coalesce(open_web_findings, 0) AS open_web_findings, coalesce(open_bugs, 0) AS open_bugs, mean_bug_age_days
+FROM (SELECT fix_version, count(*) AS vulnerabilities, count(*) FILTER ({text('last_activity_date')} > {text('activity_date')}) AS resolved_vulnerabilities
+  FROM {objects('vulnerabilities')} GROUP BY fix_version) FULL JOIN (SELECT fix_version, count(*) FILTER ({text('IsPresent')} = 'true' AND {text('IsAddressed')} = 'false') AS open_web_findings
+  FROM {objects('web_vulnerabilities')} GROUP BY fix_version) USING (fix_version) FULL JOIN (SELECT fix_version, count(*) FILTER ({text('status')} = 'OPEN') AS open_bugs,
+  {rnd(f"sum(CASE WHEN {text('status')} = 'OPEN' THEN date_diff('day', CAST({text('creation_date')} AS DATE), DATE '2002-01-01') END) * 1.0 / nullif(count(*) FILTER ({text('status')} = 'OPEN'), 0)")} AS mean_bug_age_days
   FROM {objects('bugs')} GROUP BY fix_version) USING (fix_version)""")
 def _(t):
     return rl.open_risks(t.releases, "2002-01-01")
