@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import checkpointed, word_count
+from flowgauge.llm.common import NO_ID, checkpointed, in_order, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 ITEM = "doc long, source string, size long, rows long, copies double, bucket long, final boolean"
@@ -20,23 +20,18 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
 
     Sources weigh ``weights`` in turn by code point, null last. They share ``share`` of all sizes by weight; a target stops
     at ``most`` times its source's size, and what is over is shared again until none is above. The level at which the
-    sources below it are full is found in one pass over the sources in order of size per weight. The relation has one row per
-    source, small next to the documents; its two running windows see nothing else.
+    sources below it are full is found from running sums over the sources in order of size per weight.
     """
-    ranked = sizes.withColumn("_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    ranked = in_order(sizes, ["source"], [F.col("source").asc_nulls_last()], "_rank", {})
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
-    limited = ranked.withColumns({"_w": weight, "_cap": most * F.col("source_size")})
-    before = Window.orderBy(F.col("_cap") / F.col("_w"), "_rank").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    level = (share * F.sum("source_size").over(whole) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / (
-        F.sum("_w").over(whole) - F.coalesce(F.sum("_w").over(before), F.lit(0.0))
-    )
-    # The first source that stays under its limit sets the level of all that follow.
-    leveled = limited.withColumn("_level", level)
-    level_of_all = F.min(F.when(F.col("_level") <= F.col("_cap") / F.col("_w"), F.col("_level"))).over(whole)
-    return leveled.withColumn("_all", level_of_all).select(
-        "source", "source_size", F.least("_cap", F.coalesce(F.col("_w") * F.col("_all"), F.col("_cap"))).alias("target")
-    )
+    limited = ranked.withColumn("_w", weight).withColumns({"_cap": most * F.col("source_size"), "_per": most * F.col("source_size") / F.col("_w")})
+    filled = in_order(limited, ["_per", "_rank"], [F.col("_per"), F.col("_rank")], "_at", {"_caps": "_cap", "_ws": "_w"})
+    totals = filled.agg(F.sum("source_size").alias("size"), F.sum("_w").alias("w")).first()
+    level = (F.lit(share * (totals["size"] or 0)) - F.col("_caps")) / (F.lit(totals["w"] or 0.0) - F.col("_ws"))
+    # Once a source stays under its limit, all later ones do, at levels that only fall: the first one's is the greatest.
+    least = filled.select(F.max(F.when(level <= F.col("_per"), level))).first()[0]
+    goal = F.col("_cap") if least is None else F.least(F.col("_cap"), F.col("_w") * F.lit(least))
+    return filled.select("source", "source_size", goal.alias("target"))
 
 
 def uniform(key: np.ndarray, other: np.ndarray, seed: int) -> np.ndarray:
@@ -76,20 +71,21 @@ def settle(ids: np.ndarray, size: np.ndarray, copies: np.ndarray, seed: int) ->
 
 
 def rounded(items: DataFrame, fanout: int = 16, seed: int = 17) -> DataFrame:
-    """Items with whole copies. ``items``: doc, source, size (of all its rows), rows, copies, bucket.
+    """Items with whole copies. ``items``: doc, source, size, rows, copies, bucket.
 
     Each (source, bucket) settles its own items and leaves at most one open; the open ones of ``fanout`` neighbouring
-    buckets meet in the next round, up a tree, until each source has at most one, which is rounded at random. A hot
+    buckets meet in the next round, up a tree, until each source has at most one, which is rounded to the nearest.
+    Items meet from the largest down, so that what stays open at the end is small. A hot
     source is many buckets, so no task holds more than a bucket, and later rounds hold one row per bucket.
     """
 
     def group(last: bool):
         def run(g: pd.DataFrame) -> pd.DataFrame:
-            g = g.sort_values(["size", "doc"], kind="stable").reset_index(drop=True)
-            copies, left = settle(g["doc"].to_numpy(np.int64), g["size"].to_numpy(float), g["copies"].to_numpy(float), seed)
+            g = g.sort_values(["size", "doc"], ascending=False, kind="stable").reset_index(drop=True)
+            ids, words = g["doc"].to_numpy(np.int64), g["size"].to_numpy(float) * g["rows"].to_numpy(float)
+            copies, left = settle(ids, words, g["copies"].to_numpy(float), seed)
             if left >= 0 and last:
-                up = uniform(g["doc"].to_numpy(np.int64)[[left]], np.array([-1]), seed)[0] < copies[left] - np.floor(copies[left])
-                copies[left], left = np.floor(copies[left]) + up, -1
+                copies[left], left = np.round(copies[left]), -1
             g["copies"] = copies
             g["final"] = np.arange(len(g)) != left
             return g
@@ -123,26 +119,46 @@ def plan_mix(
     """One row per (doc, source, size): source_size, target and the whole number of ``copies`` of each of its rows.
 
     Every document of a source has the same expected copies, target / source_size. Dependent rounding keeps a source's
-    taken words at its target but for less than one document. The result does not depend on how rows are partitioned, and reruns agree.
+    taken words at its target but for at most half a document. The result does not depend on how rows are partitioned, and reruns agree.
     Rows that agree in id, source and size are one item and share their copies. Documents of size 0 are taken as
     often as their expected copies round down to. Null ids and sources are values of their own.
     """
-    sized = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(source).cast("string").alias("source"), size.alias("size"))
+    sized = docs.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID).cast("long")).alias("doc"), F.col(source).cast("string").alias("source"), size.alias("size")
+    )
     items = checkpointed(sized.groupBy("doc", "source", "size").agg(F.count("*").alias("rows")))
-    per_source = items.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("n"))
-    goal = checkpointed(targets(per_source.select("source", "source_size"), weights, share, most))
-    goal = goal.join(per_source.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    goal = goal.withColumnRenamed("source", "_source")
-    aimed = items.join(goal, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    per_source = checkpointed(items.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("n")))
+    goal = targets(per_source, weights, share, most)
+    aimed = checkpointed(goal.join(per_source.drop("source_size").withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
+    aimed = aimed.withColumnRenamed("source", "_source")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    aimed = aimed.withColumn("copies", copies)
-    ready = aimed.select(
-        F.coalesce("doc", F.lit(0).cast("long")).alias("doc"),
+    ready = items.join(aimed, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc",
         "source",
-        (F.col("size") * F.col("rows")).alias("size"),
+        "size",
         "rows",
-        F.when(F.col("size") > 0, F.col("copies")).otherwise(F.floor("copies").cast("double")).alias("copies"),
+        F.when(F.col("size") > 0, copies).otherwise(F.floor(copies).cast("double")).alias("copies"),
         F.pmod(F.xxhash64("doc", "size"), F.ceil(F.col("n") / per_bucket).cast("long")).alias("bucket"),
-        F.col("doc").isNull().alias("no_id"),
     )
-    raise NotImplementedError(ready)
+    taken = rounded(ready).select("doc", "source", "size", "rows", F.round("copies").cast("long").alias("copies"))
+    return taken.join(aimed, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "n")
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """One row per document: doc_id, source, size in words, source_size, target, and the whole ``copies`` that the mix takes.
+
+    Null texts have size 0. Everything else is said at ``plan_mix``. No rows give no rows; other columns are not read.
+    """
+    plan = plan_mix(docs, word_count(F.col(text)), doc_id=doc_id, source=source, **how)
+    each = plan.withColumn("_row", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
+    return each.select(F.nullif(F.col("doc"), F.lit(NO_ID).cast("long")).alias("doc_id"), "source", "size", "source_size", "target", "copies")
+
+
+def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """The mix itself: every row of ``docs``, with its columns, as often as it is taken."""
+    plan = plan_mix(docs, word_count(F.col(text)), doc_id=doc_id, source=source, **how).filter("copies > 0")
+    plan = plan.select(F.col("doc").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
+    keyed = docs.withColumns({"_k_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID).cast("long")), "_k_size": word_count(F.col(text))})
+    on = (F.col("_k_doc") == F.col("_doc")) & (F.col("_k_size") == F.col("_size")) & F.col(source).cast("string").eqNullSafe(F.col("_source"))
+    rows = keyed.join(plan, on).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
+    return rows.select(*docs.columns)

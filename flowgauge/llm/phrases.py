@@ -17,13 +17,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import stored
+from flowgauge.llm.common import NO_ID, stored
 
 U = np.uint64
 BASES = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))  # odd, so that they can be inverted modulo 2^64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-NO_ID = -(1 << 63)  # stands for a null id inside the operators: the least of all
 SLICE = 1 << 20  # bytes of text that are worked on at once, or one text if it is longer
 
 
@@ -143,10 +142,11 @@ class Sampling:
         return row[lo], at, hashed[at], fragment, lo, hi - lo + 1
 
 
-def prepared(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID).cast("long")).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
-    )
+def prepared(docs: DataFrame, doc_id: str, text: str, carried: Column | None = None) -> DataFrame:
+    """``doc`` without nulls, the UTF-8 bytes of ``text``, and a struct of columns to carry along."""
+    doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID).cast("long")).alias("doc")
+    extra = [] if carried is None else [carried.alias("carried")]
+    return docs.select(doc, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), *extra)
 
 
 def told_apart(texts: DataFrame) -> bool:
@@ -178,7 +178,7 @@ def all_runs(texts: DataFrame, how: Sampling, apart: bool) -> DataFrame:
                 columns = (doc[at:to][row], marks[at:to][row] + place - s.first[row], a.view(np.int64), f.view(np.int64), (place - lo).astype(np.int32), n.astype(np.int32))
                 yield pa.record_batch([pa.array(c) for c in columns], schema=RUNS_ARROW)
 
-    return texts.mapInArrow(run, RUNS)
+    return texts.select("doc", "text").mapInArrow(run, RUNS)
 
 
 def place() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import chat, language, packing, simhash, substrings, urls
+from flowgauge.llm import chat, language, mixing, packing, simhash, substrings, urls
 from flowgauge.llm.common import read
 
 RULES = (
@@ -53,6 +53,11 @@ def op4_remove_repeated_substrings(spark: SparkSession, folder: str) -> DataFram
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixing.mix(read(spark, folder, "documents"), weights=(5.0, 2.0, 1.0), share=1.5, most=2.0)
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.near_duplicates(read(spark, folder, "documents"), shingle=4, distance=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -74,6 +79,7 @@ QUERIES = {
     "op1_pack_sum_of_squares": op1_pack_sum_of_squares,
     "op2_format_chats": op2_format_chats,
     "op4_remove_repeated_substrings": op4_remove_repeated_substrings,
+    "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_duplicates": op7_simhash_near_duplicates,
     "op8_url_filter_cascade": op8_url_filter_cascade,
     "op10_identify_language": op10_identify_language,

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.phrases import NO_ID, Hashes, Sampling, U, labelled_runs, mark, place, prepared, slices, told_apart, word_symbols
+from flowgauge.llm.common import NO_ID
+from flowgauge.llm.phrases import Hashes, Sampling, U, labelled_runs, mark, place, prepared, slices, told_apart, word_symbols
 
 FACTORS = "array<struct<start: long, length: long, source_doc: long, source_start: long>>"
 RESULT = f"doc long, n_words long, n_removed long, kept binary, factors {FACTORS}"
@@ -29,8 +30,10 @@ def greedy_factors(pos, lead, windows, source_doc, source_pos, window: int) -> t
     return start[heads], ends, source_doc[heads], start[heads] - shift[heads]
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, kept text and the copied factors of every row.
+def remove_repeats(
+    docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: str = "doc_id", text: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """doc_id, n_words, n_removed, kept text and the copied factors of every row, and in ``carried`` its ``carry`` columns.
 
     A word is removed if a window of ``window`` words over it also starts earlier: in a smaller id, or before in the
     same text. Windows are judged on the input. Words are what stands between ASCII white space, unchanged.
@@ -46,7 +49,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: s
     give no rows; other columns are not read. A text is worked on whole, in memory in proportion to it.
     """
     how = Sampling(word_symbols, window, phrase)
-    texts = prepared(docs, doc_id, text)
+    carried = F.struct(F.lit(True).alias("_"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(carry)])
+    texts = prepared(docs, doc_id, text).select("doc", "text") if not carry else prepared(docs, doc_id, text, carried)
     apart = told_apart(texts)
     runs = labelled_runs(texts, how, apart)
     per_doc = runs.groupBy("doc").agg(F.collect_list(F.struct("pos", "lead", "windows", "known", F.col("source.doc").alias("s_doc"), F.col("source.pos").alias("s_pos"))).alias("runs"))
@@ -54,7 +58,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: s
     def boundary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, marks = batch.column(0).to_numpy(), mark(batch.column(1), apart)
-            lists = Lists(batch.column(2), marks)
+            lists = Lists(batch.column("runs"), marks)
             for at, to, data, offsets in slices(batch.column(1)):
                 s = word_symbols(data, offsets)
                 one, two = Hashes(s.symbols, 0), Hashes(s.symbols ^ (s.symbols >> U(17)), 1)
@@ -65,7 +69,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: s
                 columns = (doc[at:to][row], marks[at:to][row] + start - s.first[row], one.of(start, start + window).view(np.int64), two.of(start, start + window).view(np.int64))
                 yield pa.record_batch([pa.array(c) for c in columns], names=["doc", "pos", "h", "g"])
 
-    looked_up = texts.join(per_doc.filter(F.exists("runs", lambda r: ~r["known"])), "doc").select("doc", "text", "runs")
+    looked_up = texts.join(per_doc.filter(F.exists("runs", lambda r: ~r["known"])), "doc").select(*texts.columns, "runs")
     windows = looked_up.mapInArrow(boundary, "doc long, pos long, h long, g long")
     firsts = windows.groupBy("h", "g").agg(F.min(place()).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     again = windows.join(firsts, ["h", "g"]).filter(place() != F.col("first")).groupBy("doc").agg(F.collect_set("pos").alias("starts"))
@@ -73,7 +77,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: s
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, marks = batch.column(0).to_numpy(), mark(batch.column(1), apart)
-            lists, singles = Lists(batch.column(2), marks), Lists(batch.column(3), marks)
+            lists, singles = Lists(batch.column("runs"), marks), Lists(batch.column("starts"), marks)
             for at, to, data, offsets in slices(batch.column(1)):
                 s = word_symbols(data, offsets)
                 row, pos, lead, n, known, s_doc, s_pos = lists.of(at, to)
@@ -103,16 +107,29 @@ def remove_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: s
                     out["factors"].append([dict(start=p, length=q - p, source_doc=None if d == NO_ID else d, source_start=r & LOW) for p, q, d, r in zip(*(c.tolist() for c in found), strict=True)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc[at:to]), pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept"], pa.binary())]
-                    + [pa.array(out["factors"], pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "length", "source_doc", "source_start")])))],
-                    names=["doc", "n_words", "n_removed", "kept", "factors"],
+                    + [pa.array(out["factors"], pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "length", "source_doc", "source_start")])))]
+                    + ([batch.column("carried").slice(at, to - at)] if carry else []),
+                    names=["doc", "n_words", "n_removed", "kept", "factors"] + (["carried"] if carry else []),
                 )
 
-    all_texts = texts.join(per_doc, "doc", "left").join(again, "doc", "left").select("doc", "text", "runs", F.transform("starts", lambda p: F.struct(p.alias("pos"))).alias("starts"))
-    return all_texts.mapInArrow(cut, RESULT).select(
-        F.nullif(F.col("doc"), F.lit(NO_ID).cast("long")).alias("doc_id"), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"), "factors"
+    all_texts = texts.join(per_doc, "doc", "left").join(again, "doc", "left").select(*texts.columns, "runs", F.transform("starts", lambda p: F.struct(p.alias("pos"))).alias("starts"))
+    schema = RESULT + (f", carried {texts.schema['carried'].dataType.simpleString()}" if carry else "")
+    out = all_texts.mapInArrow(cut, schema)
+    return out.select(
+        F.nullif(F.col("doc"), F.lit(NO_ID).cast("long")).alias("doc_id"), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"), "factors", *out.columns[5:]
     )
 
 
+def without_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows with their texts cut down to the words kept; other columns as they are. Null texts stay null."""
+    carry = [c for c in docs.columns if c != text]
+    flagged = docs.withColumn("_null_text", F.col(text).isNull())
+    cut = remove_repeats(flagged, window, phrase, doc_id, text, [*carry, "_null_text"])
+    kept = F.when(~F.col(f"carried._{len(carry)}"), F.col("kept"))
+    columns = {c: F.col(f"carried._{i}") for i, c in enumerate(carry)} | {text: kept}
+    return cut.select(*[columns[c].alias(c) for c in docs.columns])
+
+
 def within(counts: np.ndarray) -> np.ndarray:
     """0, 1, ... counts[i] - 1 for each i in turn."""
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
