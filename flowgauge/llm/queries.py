@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import chat, language, mixing, packing, simhash, substrings, urls
+from flowgauge.llm import chat, embeddings, hamming, language, mixing, packing, simhash, substrings, suffixes, urls
 from flowgauge.llm.common import read
 
 RULES = (
@@ -48,11 +48,21 @@ def op2_format_chats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = embeddings.near_vectors(read(spark, folder, "embeddings"), least_cos=0.95)
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op4_remove_repeated_substrings(spark: SparkSession, folder: str) -> DataFrame:
     out = substrings.remove_repeats(read(spark, folder, "documents"), window=20)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_remove_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffixes.remove_repeats(read(spark, folder, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.mix(read(spark, folder, "documents"), weights=(5.0, 2.0, 1.0), share=1.5, most=2.0)
     return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -63,6 +73,11 @@ def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_nearest_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes = read(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding"), bits=32, fold=2).alias("code"))
+    return hamming.nearest(codes, codes.filter("id % 20 = 0").withColumnRenamed("id", "query_id"), k=10)
+
+
 def op10_identify_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = language.train(docs.filter(~language.held_out(F.col("doc_id"))))
@@ -78,13 +93,19 @@ def op8_url_filter_cascade(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_pack_sum_of_squares": op1_pack_sum_of_squares,
     "op2_format_chats": op2_format_chats,
+    "op3_near_vectors": op3_near_vectors,
     "op4_remove_repeated_substrings": op4_remove_repeated_substrings,
+    "op5_remove_repeated_bytes": op5_remove_repeated_bytes,
     "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_duplicates": op7_simhash_near_duplicates,
     "op8_url_filter_cascade": op8_url_filter_cascade,
+    "op9_nearest_codes": op9_nearest_codes,
     "op10_identify_language": op10_identify_language,
 }
 
+# Bit i of a code, spelled out: components 2i + 1 and 2i + 2, counted from 1.
+CODE_SQL = " + ".join(f"CASE WHEN embedding[{2 * i + 1}]::DOUBLE + embedding[{2 * i + 2}]::DOUBLE > 0 THEN {2**i} ELSE 0 END" for i in range(32))
+
 ORACLE_SQL = {
     "op2_format_chats": r"""
 WITH t AS (
@@ -120,5 +141,28 @@ r AS (
     WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/'
   END AS rule FROM p)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM r
+""",
+    "op9_nearest_codes": f"""
+WITH c AS (SELECT vec_id, CAST({CODE_SQL} AS BIGINT) AS code FROM embeddings WHERE len(embedding) = 64),
+p AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS id, CAST(bit_count(xor(a.code, b.code)) AS BIGINT) AS distance
+  FROM c a, c b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank, id, distance
+FROM p QUALIFY rank <= 10
+""",
+    "op3_near_vectors": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+  WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m.b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(m.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN m ON m.a = vec_id LEFT JOIN n ON n.a = vec_id
 """,
 }

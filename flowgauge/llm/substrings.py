@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.llm.common import NO_ID
-from flowgauge.llm.phrases import Hashes, Sampling, U, labelled_runs, mark, place, prepared, slices, told_apart, word_symbols
+from flowgauge.llm.phrases import LOW, Hashes, Lists, Sampling, U, labelled_runs, mark, place, prepared, slices, told_apart, within, word_symbols
 
 FACTORS = "array<struct<start: long, length: long, source_doc: long, source_start: long>>"
 RESULT = f"doc long, n_words long, n_removed long, kept binary, factors {FACTORS}"
-LOW = (1 << 32) - 1
 
 
 def greedy_factors(pos, lead, windows, source_doc, source_pos, window: int) -> tuple[np.ndarray, ...]:
@@ -128,27 +127,3 @@ def without_repeats(docs: DataFrame, window: int = 20, phrase: int = 6, doc_id:
     kept = F.when(~F.col(f"carried._{len(carry)}"), F.col("kept"))
     columns = {c: F.col(f"carried._{i}") for i, c in enumerate(carry)} | {text: kept}
     return cut.select(*[columns[c].alias(c) for c in docs.columns])
-
-
-def within(counts: np.ndarray) -> np.ndarray:
-    """0, 1, ... counts[i] - 1 for each i in turn."""
-    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
-class Lists:
-    """Numpy columns of an Arrow column of lists of structs. The first field is a place, whose mark must be the text's."""
-
-    def __init__(self, column: pa.Array, marks: np.ndarray):
-        self.marks = marks
-        self.offsets = np.concatenate(([0], np.cumsum(np.nan_to_num(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64))))
-        flat = column.flatten()
-        self.columns = [f.to_numpy(zero_copy_only=False) for f in flat.flatten()] if len(flat) else [np.zeros(0, np.int64)] * flat.type.num_fields
-
-    def of(self, at: int, to: int) -> tuple[np.ndarray, ...]:
-        """Row within at:to, and the fields, of the entries of these rows."""
-        part = slice(self.offsets[at], self.offsets[to])
-        row = np.repeat(np.arange(to - at), np.diff(self.offsets[at : to + 1]))
-        columns = [c[part] for c in self.columns]
-        mine = (columns[0] & ~LOW) == self.marks[at:to][row]
-        columns[0] = columns[0] & LOW
-        return row[mine], *(c.astype(bool)[mine] if c.dtype == bool or c.dtype == object else c[mine].astype(np.int64) for c in columns)
