@@ -71,8 +71,9 @@ def bucket_repeats(table: pa.Table, length: int, phrase: int) -> Iterator[pa.Rec
     """The repeats among one bucket's suffixes, and what must be compared with other buckets.
 
     A string that starts o bytes before a sampled suffix is o bytes before it and length - o of it; the sorted suffixes
-    and the sorted texts before them number both. All strings but the first of each kind are repeats. Only phrases that the
-    bucket's edges cut can also stand in another bucket: the first of each of their strings is handed on, with its bytes.
+    and the sorted texts before them number both. All strings but the first of each kind are repeats. Only strings whose
+    part in the suffix is also that of the bucket's first or last suffix can stand in another bucket: the first of each
+    is handed on, with its bytes.
     """
     n = table.num_rows
     doc, pos = table["doc"].to_numpy(), table["pos"].to_numpy()
@@ -81,21 +82,19 @@ def bucket_repeats(table: pa.Table, length: int, phrase: int) -> Iterator[pa.Rec
     right, left = Ordered(suffix), Ordered(before)
     earlier = np.lexsort((pos, doc))
     lead, windows = lead[earlier], windows[earlier]
-    ends = suffix[right.order[[0, -1]], :phrase]
-    at_edge = ((suffix[:, :phrase] == ends[0]).all(axis=1) | (suffix[:, :phrase] == ends[1]).all(axis=1))[earlier]
     repeated = np.zeros((n, length - phrase + 2), np.int8)
     for o in range(int(lead.max()) + 1):
         mine = np.flatnonzero((lead >= o) & (lead - windows < o))
         if not len(mine):
             continue
-        rows = earlier[mine]
-        key = right.classes(length - o)[rows] * n + left.classes(o)[rows]
+        rows, kinds = earlier[mine], right.classes(length - o)
+        key = kinds[rows] * n + left.classes(o)[rows]
         order = np.argsort(key, kind="stable")
         first = np.ones(len(order), bool)
         first[1:] = key[order[1:]] != key[order[:-1]]
         repeated[rows[order[~first]], lead[mine[order[~first]]] - o + 1] = 1
-        handed = order[first]
-        handed = rows[handed[at_edge[mine[handed]]]]
+        handed = rows[order[first]]
+        handed = handed[np.isin(kinds[handed], kinds[right.order[[0, -1]]])]
         if len(handed):
             strings = np.concatenate([before[handed, :o][:, ::-1], suffix[handed, : length - o]], axis=1)
             yield pa.record_batch(
@@ -121,8 +120,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, phrase: int = 32, doc_id:
     One suffix in about half of length - phrase is sampled, at the phrase of least hash of each string, so equal strings
     are sampled alike. Suffixes whose whole surroundings stand earlier are known repeats at once, and suffixes whose
     phrase stands nowhere else are none. The rest are dealt to buckets by splitters that Spark samples from their
-    leading bytes, sorted in each bucket by multikey quicksort and compared with their neighbours; strings of a phrase
-    that a bucket's edge cuts are then compared across buckets. Ties in the bytes are split by id and place, so a
+    leading bytes, sorted in each bucket by multikey quicksort and compared with their neighbours; strings that
+    a bucket's edge may cut are then compared across buckets. Ties in the bytes are split by id and place, so a
     bucket's size does not depend on how often a passage repeats.
 
     Null and empty texts have no bytes. A null id counts as the least id. Rows with one id and equal texts are one document
