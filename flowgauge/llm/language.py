@@ -113,7 +113,7 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     for name, last in sorted(lasts.items()):
         chosen = chosen | ((F.col("lang") == name) & (F.col("h") <= last))
     rows = usable.filter(chosen).drop_duplicates(["lang", "h"]).orderBy("lang", "h").toPandas()
-    x = np.stack([features(t.encode()) for t in rows["text"]])
+    x = np.stack([features(t.encode()).astype(np.float32) for t in rows["text"]])
     names = rows["lang"].to_numpy()
     families: dict[str, list[str]] = {}
     for name in sorted(lasts):
