@@ -112,8 +112,8 @@ def apportion(df: DataFrame, keys: Sequence[str], category: str, weight: str, to
     parts = parts.withColumn("_sum", F.sum("_w").over(per_key)).withColumn("_total", F.max("_total").over(per_key))
     parts = parts.withColumns(
         {
-            "_floor": F.expr("CASE WHEN _sum > 0 THEN (_total * _w) div _sum ELSE 0L END"),
-            "_rest": F.expr("CASE WHEN _sum > 0 THEN (_total * _w) % _sum ELSE 0L END"),
+            "_floor": F.expr("CASE WHEN _sum > 0 THEN CAST((CAST(_total AS DECIMAL(19, 0)) * CAST(_w AS DECIMAL(19, 0))) div _sum AS BIGINT) ELSE 0L END"),
+            "_rest": F.expr("CASE WHEN _sum > 0 THEN CAST((CAST(_total AS DECIMAL(19, 0)) * CAST(_w AS DECIMAL(19, 0))) % _sum AS BIGINT) ELSE 0L END"),
         }
     )
     order = per_key.orderBy(F.desc("_rest"), F.asc(category))
@@ -134,14 +134,14 @@ def allocation_steps(seats: DataFrame, keys: Sequence[str] = ("org_name",)) -> D
     return running_total(per_day, keys, "from_day", "_added", "allocated").drop("_added")
 
 
-def as_of(df: DataFrame, steps: DataFrame, keys: Sequence[str], at: str, value: str, until: str) -> DataFrame:
+def as_of(df: DataFrame, steps: DataFrame, keys: Sequence[str], at: str, value: str) -> DataFrame:
     """The value of a step function on each row's day; NULL before the first step.
 
-    Steps become one row per key and day up to ``until``, so the lookup is an equi join on key and day and not a range
+    Steps become one row per key and day up to the last day of the facts, so the lookup is an equi join on key and day and not a range
     join. Steps are a short history per key; the facts are never sorted.
     """
     following = F.lead("from_day").over(Window.partitionBy(*keys).orderBy("from_day"))
-    last = F.coalesce(F.date_sub(following, 1), F.greatest(day(until), F.col("from_day")))
+    last = F.coalesce(F.date_sub(following, 1), F.greatest(df.select(F.max(at)).scalar(), F.col("from_day")))
     daily = steps.withColumn("_last", last).select(*keys, F.explode(F.sequence("from_day", "_last")).alias(at), value)
     return df.join(daily, [*keys, at], "left")
 
@@ -234,16 +234,20 @@ def integration_rate(commits: DataFrame) -> DataFrame:
 
 
 def tool_velocity(commits: DataFrame) -> DataFrame:
-    """Per tool: mean hours from the first commit of a pull request to its creation."""
+    """Per tool: mean hours from the first commit of a pull request to its creation.
+
+    Pull requests opened before their first commit count with negative hours, and are also counted apart.
+    """
     firsts = (
         commits.select("pr_id", "pr_created_datetime", "commit_timestamp", F.explode("ai_tool").alias("tool"))
         .groupBy("tool", "pr_id", "pr_created_datetime")
         .agg(F.min("commit_timestamp").alias("first_commit"))
-        .filter(F.col("first_commit") <= F.col("pr_created_datetime"))
     )
     spent = seconds_between("first_commit", "pr_created_datetime")
     return firsts.groupBy("tool").agg(
-        F.count("*").alias("pull_requests"), F.round(ratio(F.sum(spent), F.count("*") * 3600), 2).alias("mean_hours")
+        F.count("*").alias("pull_requests"),
+        F.count_if(F.col("first_commit") > F.col("pr_created_datetime")).alias("opened_before_first_commit"),
+        F.round(ratio(F.sum(spent), F.count("*") * 3600), 2).alias("mean_hours")
     )
 
 
@@ -321,7 +325,10 @@ def trailing_users(
         F.struct(F.greatest(F.col("usage_date"), day(start)).alias("usage_date"), F.lit(1).alias("delta")),
         F.struct(F.col("_stop").alias("usage_date"), F.lit(-1).alias("delta")),
     )
-    deltas = spans.select(*keys, "width_name", F.inline(marks)).groupBy(*keys, "width_name", "usage_date").agg(
+    # Every key of the whole input has a mark, so that those without activity in the range show as 0.
+    quiet = usage.select(*keys).distinct().select(*keys, F.inline(names), day(start).alias("usage_date"), F.lit(0).alias("delta"))
+    marked = spans.select(*keys, "width_name", F.inline(marks)).unionByName(quiet.drop("width"))
+    deltas = marked.groupBy(*keys, "width_name", "usage_date").agg(
         F.sum("delta").alias("delta")
     )
     named = [*keys, "width_name"]

@@ -52,33 +52,6 @@ def tag_windows(df: DataFrame, at: str, windows: Mapping[str, tuple[int, int]],
     return df.withColumn("window_name", F.explode(names))
 
 
-def window_multiplier(at: str | Column, windows: Mapping[str, tuple[int, int]], factors: Mapping[str, float], anchor: str) -> Column:
-    """Activity factor of the first window that holds the day; 1 outside."""
-    out = F.lit(1.0)
-    for name in reversed(list(windows)):
-        out = F.when(in_window(at, windows[name], anchor), F.lit(float(factors[name]))).otherwise(out)
-    return out
-
-
-def trend_position(at: str | Column, start: str, end: str) -> Column:
-    """Position of a day between two dates, clamped to 0..1."""
-    whole = F.greatest(F.datediff(day(end), day(start)), F.lit(1))
-    part = F.datediff(col(at).cast("date"), day(start)) / whole
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), part))
-
-
-def lerp(a: float, b: float, t: Column) -> Column:
-    return F.lit(float(a)) + F.lit(float(b - a)) * t
-
-
-def phase_position(index: str | Column, inflection: int, total: int) -> Column:
-    """Position within each of the two phases around an inflection index, 0 to 1 in both."""
-    i = col(index)
-    before = i / F.lit(max(inflection - 1, 1))
-    after = (i - inflection) / F.lit(max(total - inflection - 1, 1))
-    return F.when(i < inflection, before).otherwise(after)
-
-
 def business_day_picks(days: DataFrame, n: int, at: str = "day") -> DataFrame:
     """Business days of each month, with their number and whether they are among n evenly spaced picks.
 
@@ -127,36 +100,6 @@ def sprint_windows(bounds: DataFrame, as_of: str, length: int = 14) -> DataFrame
     )
 
 
-def hash_noise(value: str | Column, pct: float, *keys: str | Column) -> Column:
-    """Value with up to +-pct percent of noise, the same for the same keys; whole and never negative."""
-    factor = F.lit(1.0) + (unit_hash(*keys) * 2 - 1) * F.lit(pct / 100.0)
-    return F.greatest(F.lit(0), F.floor(col(value) * factor + 0.5)).cast("bigint")
-
-
-def weighted_pick(weights: Mapping[str, int], *keys: str | Column) -> Column:
-    """A category drawn by integer weights from the hash of the keys. A short CASE over cumulative weights, no join."""
-    point = F.pmod(key_hash(*keys), F.lit(sum(weights.values())))
-    out, edge = F.when(F.lit(False), ""), 0
-    for name, weight in weights.items():
-        edge += weight
-        out = out.when(point < edge, F.lit(name))
-    return out
-
-
-def synth_activity(users: DataFrame, start: str, end: str, first: float, last: float, rate: float, pct: float = 20.0) -> DataFrame:
-    """Synthetic user-day activity: a trend between two dates with noise, and accepted lines within generated ones.
-
-    Each user row fans out to its own days, so the size is users times days and every executor makes its share.
-    """
-    days = users.withColumn("usage_date", F.explode(F.sequence(day(start), day(end)))).filter(is_weekday("usage_date"))
-    base = lerp(first, last, trend_position("usage_date", start, end))
-    generated = hash_noise(base, pct, "user_login", "usage_date")
-    accepted = F.least(F.col("code_generation_activity_count"), F.floor(F.col("code_generation_activity_count") * rate + 0.5))
-    return days.withColumn("code_generation_activity_count", generated).withColumn(
-        "code_acceptance_activity_count", accepted.cast("bigint")
-    )
-
-
 def month_list(df: DataFrame, at: str) -> DataFrame:
     """Every month between the first and last date of a relation, with its yyyymm key and label."""
     lo, hi = F.trunc(F.min(F.to_date(at)), "month"), F.trunc(F.max(F.to_date(at)), "month")

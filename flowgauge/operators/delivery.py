@@ -46,15 +46,20 @@ def deployment_frequency(deploys: DataFrame, grain: str, keys: Sequence[str] = K
 
 
 def lead_time(deploys: DataFrame, commits: DataFrame, grain: str, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Commit to deploy, in days, over the commits a successful deploy shipped. A commit dated after it is left out."""
+    """Commit to deploy, in days, over the commits a successful deploy shipped.
+
+    A commit dated after its deploy counts with negative days, and is also counted apart.
+    """
     shipped = deploys.filter(F.col("pipeline_commit_sha").isNotNull() & (F.col("pipeline_status") == "success"))
     joined = shipped.join(
         commits.select("to_sha", "committed_date"),
-        (F.col("pipeline_commit_sha") == F.col("to_sha")) & (F.col("committed_date") <= F.col("pipeline_started_at")),
+        F.col("pipeline_commit_sha") == F.col("to_sha"),
     )
     days = F.datediff("pipeline_started_at", "committed_date")
     return joined.groupBy(*keys, period_start("pipeline_started_at", grain).alias("period")).agg(
-        F.count("*").alias("commits_count"), F.sum(days).alias("total_ltfc")
+        F.count("*").alias("commits_count"),
+        F.count_if(F.col("committed_date") > F.col("pipeline_started_at")).alias("commits_after_deploy"),
+        F.sum(days).alias("total_ltfc"),
     )
 
 
@@ -188,19 +193,6 @@ def metric_table(scorecard: DataFrame, metric: str, label: str) -> DataFrame:
     return scorecard.select("level", "sub_level", "year_month", label, *METRIC_COLUMNS[metric])
 
 
-def scale_counts(df: DataFrame, fractions: Mapping[str, float], counts: Sequence[str], name: str = "sub_level") -> DataFrame:
-    """Split counts by fixed fractions; rates and averages stay as they are, the frequency band is set again."""
-    shares = F.array(
-        *[F.struct(F.lit(k).alias(name), F.lit(float(v)).alias("_fraction")) for k, v in fractions.items()]
-    )
-    kept = [c for c in df.columns if c != name]
-    out = df.select(*kept, F.inline(shares))
-    out = out.withColumns({c: F.round(F.col(c) * F.col("_fraction"), 0).cast("bigint") for c in counts})
-    if "total_deployments" in counts:
-        out = out.withColumn("df_flag", band("df", "total_deployments"))
-    return out.drop("_fraction")
-
-
 def phase(day: str | Column, cut: str) -> Column:
     """``before`` or ``after`` an inflection date; the date itself is ``after``."""
     day = F.col(day) if isinstance(day, str) else day

@@ -28,14 +28,15 @@ def filter_rows(groups: DataFrame, values: DataFrame) -> DataFrame:
 def flatten_filters(groups: DataFrame, values: DataFrame, names: Sequence[str] = FILTER_NAMES) -> DataFrame:
     """One row per group, tool type and metric id, with one array column per filter name.
 
-    A filter that is not set stays NULL, which later means "no restriction". Arrays hold what the configuration lists
+    A filter that is not set stays NULL, which later means "no restriction"; one set to an empty list allows nothing.
+    Arrays hold what the configuration lists
     for one group and metric; where only the values of one filter are needed, ``scope_values`` builds no arrays.
     """
 
     def values_of(name: str) -> Column:
         found = F.flatten(F.collect_list(F.when(F.col("filter_name") == name, F.col("filter_values"))))
         tidy = F.array_sort(F.array_distinct(found))
-        return F.when(F.size(tidy) > 0, tidy).alias(name)
+        return F.when(F.count_if((F.col("filter_name") == name) & F.col("filter_values").isNotNull()) > 0, tidy).alias(name)
 
     wanted = filter_rows(groups, values).filter(F.col("filter_name").isin(list(names)))
     return wanted.groupBy("filter_group_id", *LEVELS, "tool_type", "kpi").agg(*[values_of(n) for n in names])
@@ -113,7 +114,8 @@ def array_filter_join(
     """Fact rows that satisfy at least one filter row, where a NULL array means "no restriction".
 
     A filter row matches when the project is equal or not set, the boards overlap or are not set, at least one of the
-    two is set, the status is listed, and the type is listed if types are given. The fact is never joined on those OR
+    two is set, the status is listed, and the type is listed if types are given. An empty array lists nothing, so its row matches
+    nothing. The fact is never joined on those OR
     conditions: its distinct (project, boards, status, type) combinations are matched through equi keys, and the fact is
     then semi-joined to the combinations that passed.
     """
@@ -122,6 +124,7 @@ def array_filter_join(
     ).distinct()
     wanted = (
         filt.filter(F.col("issue_status").isNotNull())
+        .filter(all_of([F.col(c).isNull() | (F.size(c) > 0) for c in ("project_name", "board_ids", "include_issue_types")]))
         .withColumn("_p", F.explode_outer("project_name"))
         .withColumn("_b", F.explode_outer("board_ids"))
         .filter(F.col("_p").isNotNull() | F.col("_b").isNotNull())

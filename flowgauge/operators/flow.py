@@ -91,10 +91,10 @@ def entity_counts(fact: DataFrame, key: str) -> DataFrame:
     )
 
 
-def sprint_label(at: Column, start: str, length: int, count: int, prefix: str = "Sprint") -> Column:
-    """Sprint of a day by its offset from the start; days outside fall into the first or the last sprint."""
+def sprint_label(at: Column, start: str, length: int, prefix: str = "Sprint") -> Column:
+    """Sprint of a day by its offset from the start, without an end; days before the start are labelled so."""
     number = F.floor(F.datediff(at, F.lit(start).cast("date")) / F.lit(length)) + 1
-    return F.concat(F.lit(f"{prefix} "), F.least(F.lit(count), F.greatest(F.lit(1), number)).cast("string"))
+    return F.when(number < 1, f"Before {prefix} 1").otherwise(F.concat(F.lit(f"{prefix} "), number.cast("string")))
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:

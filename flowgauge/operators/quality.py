@@ -91,9 +91,9 @@ def key_alignment(measures: DataFrame, issues: DataFrame) -> DataFrame:
 
 
 def line_coverage() -> Column:
-    """Covered lines in percent of the lines to cover, 1 digit; never below 0."""
+    """Covered lines in percent of the lines to cover, 1 digit."""
     to_cover, uncovered = F.col("project_lines_to_cover_value"), F.col("project_uncovered_lines_value")
-    return F.round(ratio(F.greatest(to_cover - uncovered, F.lit(0)), to_cover, 100), 1)
+    return F.round(ratio(to_cover - uncovered, to_cover, 100), 1)
 
 
 def quality_gate() -> Column:

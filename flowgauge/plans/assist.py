@@ -153,7 +153,7 @@ SELECT org_name, usage_date, nullif(n, 0) AS total_seats, least(active, n) AS ac
 def _(t):
     users = t.assist.groupBy("org_name", "usage_date").agg(F.count_distinct("user_login").alias("active"))
     steps = aa.allocation_steps(t.seats)
-    joined = aa.as_of(users, steps, ["org_name"], "usage_date", "allocated", "2024-01-31")
+    joined = aa.as_of(users, steps, ["org_name"], "usage_date", "allocated")
     split = aa.billing_snapshot(F.col("allocated"), F.col("active"))
     return joined.select("org_name", "usage_date", *[e.alias(n) for n, e in split.items()])
 
@@ -262,9 +262,9 @@ def _(t):
 
 
 @query("tool_velocity", "A25", "commits_prs", f"""
-SELECT tool, count(*) AS pull_requests, {rnd(f"sum({secs('f', 'c')}) / (count(*) * 3600.0)")} AS mean_hours FROM (
+SELECT tool, count(*) AS pull_requests, count(*) FILTER (f > c) AS opened_before_first_commit, {rnd(f"sum({secs('f', 'c')}) / (count(*) * 3600.0)")} AS mean_hours FROM (
   SELECT tool, pr_id, pr_created_datetime AS c, min(commit_timestamp) AS f FROM (SELECT *, unnest(ai_tool) AS tool FROM commits_prs)
-  GROUP BY tool, pr_id, pr_created_datetime) WHERE f <= c GROUP BY tool""")
+  GROUP BY tool, pr_id, pr_created_datetime) GROUP BY tool""")
 def _(t):
     return aa.tool_velocity(t.commits_prs)
 

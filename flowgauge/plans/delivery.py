@@ -71,16 +71,16 @@ FROM (SELECT level, date_trunc('month', pipeline_started_at) AS p, count(*) FILT
 
 
 @query("lead_time_monthly", "D2 D6", "deploys deploy_commits", f"""
-SELECT level, {YM.format('p')} AS year_month, n AS commits_count, total AS total_ltfc, {rnd('total * 1.0 / n')} AS average_ltfc,
+SELECT level, {YM.format('p')} AS year_month, n AS commits_count, late AS commits_after_deploy, total AS total_ltfc, {rnd('total * 1.0 / n')} AS average_ltfc,
   {band_sql('ltfc', rnd('total * 1.0 / n'))} AS ltfc_flag
-FROM (SELECT level, date_trunc('month', pipeline_started_at) AS p, count(*) AS n,
+FROM (SELECT level, date_trunc('month', pipeline_started_at) AS p, count(*) AS n, count(*) FILTER (committed_date > pipeline_started_at) AS late,
     CAST(sum(date_diff('day', committed_date, pipeline_started_at)) AS BIGINT) AS total
-  FROM deploys JOIN deploy_commits ON pipeline_commit_sha = to_sha WHERE committed_date <= pipeline_started_at GROUP BY level, p)""")
+  FROM deploys JOIN deploy_commits ON pipeline_commit_sha = to_sha GROUP BY level, p)""")
 def _(t):
     sums = dl.lead_time(t.deploys, t.deploy_commits, "month", keys=("level",))
     average = F.round(ratio(F.col("total_ltfc"), F.col("commits_count")), 2)
     return sums.select(
-        "level", year_month("period").alias("year_month"), "commits_count", "total_ltfc", average.alias("average_ltfc"),
+        "level", year_month("period").alias("year_month"), "commits_count", "commits_after_deploy", "total_ltfc", average.alias("average_ltfc"),
         band("ltfc", average).alias("ltfc_flag"),
     )
 
@@ -150,7 +150,7 @@ def _(t):
 
 PARTS = {
     "df": lambda t, grain: dl.deployment_frequency(t.deploys, grain),
-    "ltfc": lambda t, grain: dl.lead_time(t.deploys, t.deploy_commits, grain),
+    "ltfc": lambda t, grain: dl.lead_time(t.deploys, t.deploy_commits, grain).drop("commits_after_deploy"),
     "cfr": lambda t, grain: dl.change_failures(t.incidents, grain),
     "mttr": lambda t, grain: dl.restore_times(t.incidents, grain),
     "ctfc": lambda t, grain: dl.cycle_time(cycle_issues(t), grain),
@@ -183,7 +183,7 @@ def sums_sql(grain):
         arm("pipeline_started_at", "deploys WHERE step_name = 'deploy' AND pipeline_status IN ('success', 'failed')",
             success_deployments="CASE WHEN pipeline_status = 'success' THEN 1 ELSE 0 END",
             failed_deployments="CASE WHEN pipeline_status = 'failed' THEN 1 ELSE 0 END"),
-        arm("pipeline_started_at", "deploys JOIN deploy_commits ON pipeline_commit_sha = to_sha WHERE committed_date <= pipeline_started_at",
+        arm("pipeline_started_at", "deploys JOIN deploy_commits ON pipeline_commit_sha = to_sha",
             commits_count="1", total_ltfc="date_diff('day', committed_date, pipeline_started_at)"),
         arm("issue_created", "incidents WHERE issue_resolution_date IS NOT NULL", cfr_total_changes="1",
             cfr_total_failures="CASE WHEN cfr_total_failures_key IS NULL THEN 0 ELSE 1 END"),
@@ -236,23 +236,6 @@ def _(t):
     return dl.daily_snapshot(sums(t, "day", window=DAYS), *DAYS)
 
 
-@query("deployments_split_by_fraction", "D12", "deploys", f"""
-WITH m AS (SELECT level, date_trunc('month', pipeline_started_at) AS p, count(*) FILTER (pipeline_status = 'success') AS s,
-    count(*) FILTER (pipeline_status = 'failed') AS f FROM deploys WHERE step_name = 'deploy' AND pipeline_status IN ('success', 'failed') GROUP BY level, p),
- x AS (SELECT level, p, sub_level, fr, s, f FROM m, (VALUES ('backend', 0.6::DOUBLE), ('frontend', 0.4::DOUBLE)) v(sub_level, fr))
-SELECT level, sub_level, {YM.format('p')} AS year_month, CAST(round(s * fr) AS BIGINT) AS success_deployments,
-  CAST(round((s + f) * fr) AS BIGINT) AS total_deployments, {rnd('f * 100.0 / (s + f)')} AS cfr_value,
-  {band_sql('df', 'CAST(round((s + f) * fr) AS BIGINT)')} AS df_flag FROM x""")
-def _(t):
-    m = dl.deployment_frequency(t.deploys, "month", keys=("level",))
-    total = F.col("success_deployments") + F.col("failed_deployments")
-    m = m.select(
-        "level", year_month("period").alias("year_month"), "success_deployments", total.alias("total_deployments"),
-        F.round(ratio(F.col("failed_deployments"), total, 100), 2).alias("cfr_value"),
-    )
-    return dl.scale_counts(m, {"backend": 0.6, "frontend": 0.4}, ["success_deployments", "total_deployments"])
-
-
 @query("deployments_before_and_after", "D13", "deploys", f"""
 SELECT level, CASE WHEN CAST(pipeline_started_at AS DATE) < DATE '1998-06-01' THEN 'before' ELSE 'after' END AS phase, count(*) AS runs,
   {rnd("count(*) FILTER (pipeline_status = 'failed') * 100.0 / count(*)")} AS failed_percent FROM deploys GROUP BY level, phase""")

@@ -195,34 +195,6 @@ def _(t):
     return cl.tag_windows(t.orders, "o_orderdate", WINDOWS, ANCHOR).groupBy("window_name").agg(F.count("*").alias("n"))
 
 
-@query("orders_with_window_multiplier", "K4", "", f"""
-SELECT CASE WHEN {window_sql('d', WINDOWS['incident_week'])} THEN 0.2::DOUBLE WHEN {window_sql('d', WINDOWS['hotfix_week'])} THEN 1.45::DOUBLE ELSE 1.0::DOUBLE END AS factor, count(*) AS n
-FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY factor""")
-def _(t):
-    windows = {k: WINDOWS[k] for k in ("incident_week", "hotfix_week")}
-    factor = cl.window_multiplier("o_orderdate", windows, {"incident_week": 0.2, "hotfix_week": 1.45}, ANCHOR)
-    return t.orders.groupBy(factor.alias("factor")).agg(F.count("*").alias("n"))
-
-
-@query("trend_by_day", "K5", "", f"""
-SELECT d AS day, n, {rnd('8 + 72 * t', 4)} AS expected FROM (SELECT d, count(*) AS n,
-  greatest(0.0::DOUBLE, least(1.0::DOUBLE, CAST(date_diff('day', DATE '1996-01-01', d) AS DOUBLE) / date_diff('day', DATE '1996-01-01', DATE '2000-12-31'))) AS t
-  FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY d)""")
-def _(t):
-    daily = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
-    expected = cl.lerp(8, 80, cl.trend_position("day", "1996-01-01", "2000-12-31"))
-    return daily.select("day", "n", F.round(expected, 4).alias("expected"))
-
-
-@query("phase_position_by_month", "K6", "", f"""
-SELECT m AS month, i AS month_index, {rnd('CASE WHEN i < 30 THEN i / 29.0 ELSE (i - 30) / 49.0 END', 4)} AS position FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m,
-  CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS INTEGER) AS i FROM orders)""")
-def _(t):
-    months = t.orders.select(F.trunc(F.to_date("o_orderdate"), "month").alias("month")).distinct()
-    index = (F.year("month") - 1995) * 12 + F.month("month") - 1
-    return months.select("month", index.alias("month_index"), F.round(cl.phase_position(index, 30, 80), 4).alias("position"))
-
-
 @query("business_day_picks", "K7", "", f"""
 WITH b AS (SELECT day, CAST(date_trunc('month', day) AS DATE) AS month FROM {SPINE} WHERE isodow(day) < 6),
 r AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY day) - 1 AS i, count(*) OVER (PARTITION BY month) AS business_days FROM b)
@@ -257,42 +229,6 @@ def _(t):
     return days.join(daily, "day", "left").groupBy(*sprints.columns).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("issues"))
 
 
-HASH = "CAST(concat('0x', substr(md5({0}), 1, 8)) AS BIGINT)"
-
-
-@query("noisy_order_values", "K10", "", f"""
-SELECT o_orderkey, CAST(greatest(0, floor(o_totalprice * (1.0::DOUBLE + (({HASH.format("concat_ws('|', o_orderkey, o_custkey)")} / 4294967296.0::DOUBLE) * 2 - 1) * 0.12::DOUBLE) + 0.5)) AS BIGINT) AS noisy FROM orders""")
-def _(t):
-    return t.orders.select("o_orderkey", cl.hash_noise("o_totalprice", 12, "o_orderkey", "o_custkey").alias("noisy"))
-
-
-WEIGHTS = {"run": 55, "update": 25, "create": 15, "delete": 5}
-
-
-@query("weighted_event_picks", "K11", "", f"""
-SELECT pick, count(*) AS n FROM (SELECT CASE WHEN h < 55 THEN 'run' WHEN h < 80 THEN 'update' WHEN h < 95 THEN 'create' ELSE 'delete' END AS pick
-  FROM (SELECT {HASH.format("concat_ws('|', event_id)")} % 100 AS h FROM events)) GROUP BY pick""")
-def _(t):
-    return t.events.groupBy(cl.weighted_pick(WEIGHTS, "event_id").alias("pick")).agg(F.count("*").alias("n"))
-
-
-@query("synthetic_activity_by_day", "K12", "assist", f"""
-WITH d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-06-30', INTERVAL 1 DAY)) AS DATE) AS usage_date),
-g AS (SELECT org_name, user_login, usage_date, CAST(greatest(0, floor((5.0::DOUBLE + 35.0::DOUBLE * greatest(0.0::DOUBLE, least(1.0::DOUBLE, CAST(date_diff('day', DATE '2024-01-01', usage_date) AS DOUBLE) / 181)))
-  * (1.0::DOUBLE + (({HASH.format("concat_ws('|', user_login, usage_date)")} / 4294967296.0::DOUBLE) * 2 - 1) * 0.2::DOUBLE) + 0.5)) AS BIGINT) AS gen
-  FROM (SELECT DISTINCT org_name, user_login FROM assist) CROSS JOIN d WHERE isodow(usage_date) < 6)
-SELECT org_name, usage_date, count(*) AS users, CAST(sum(gen) AS BIGINT) AS generated, CAST(sum(least(gen, CAST(floor(gen * 0.35::DOUBLE + 0.5) AS BIGINT))) AS BIGINT) AS accepted,
-  CAST(0 AS BIGINT) AS violations FROM g GROUP BY org_name, usage_date""")
-def _(t):
-    users = t.assist.select("org_name", "user_login").distinct()
-    rows = cl.synth_activity(users, "2024-01-01", "2024-06-30", 5, 40, 0.35)
-    rule = fw.usage_rules()["accepted_within_generated"]
-    return rows.groupBy("org_name", "usage_date").agg(
-        F.count("*").alias("users"), F.sum("code_generation_activity_count").alias("generated"),
-        F.sum("code_acceptance_activity_count").alias("accepted"), F.count_if(~rule).alias("violations"),
-    )
-
-
 @query("months_with_orders", "K13", "", """
 WITH m AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS DATE) AS month FROM orders)
 SELECT month, CAST(year(month) * 100 + month(month) AS INTEGER) AS year_month, strftime(month, '%b %Y') AS month_name,

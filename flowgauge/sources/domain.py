@@ -211,9 +211,9 @@ def _(d):
         CASE l_returnflag WHEN 'A' THEN 'Done' WHEN 'R' THEN 'Completed' ELSE 'In Progress' END AS issue_status,
         CASE WHEN l_linestatus = 'O' THEN 'status' WHEN l_partkey % 2 = 0 THEN 'Epic Status' ELSE 'assignee' END
           AS issue_changelog_itemsfield,
-        o_orderdate AS issue_created, l_shipdate AS issue_updated,
+        CASE WHEN l_shipdate < o_orderdate THEN l_shipdate ELSE o_orderdate END AS issue_created, l_shipdate AS issue_updated,
         {ISSUE_BOARDS(d, 'l_suppkey')} AS board_info
-      FROM {d.lineitem} JOIN {d.orders} ON l_orderkey = o_orderkey WHERE l_shipdate >= o_orderdate"""
+      FROM {d.lineitem} JOIN {d.orders} ON l_orderkey = o_orderkey"""
 
 
 @frame("issues", "orders")
@@ -234,8 +234,8 @@ def _(d):
 
 @frame("boards", "supplier")
 def _(d):
-    return f"""SELECT s_suppkey AS board_id, concat('board-', s_suppkey) AS board_name, concat('org-', s_nationkey % 6) AS org_name
-      FROM {d.supplier} WHERE s_acctbal >= 500"""
+    return f"""SELECT CASE WHEN s_acctbal >= 500 THEN s_suppkey ELSE s_suppkey + 1000000000 END AS board_id, concat('board-', s_suppkey) AS board_name, concat('org-', s_nationkey % 6) AS org_name
+      FROM {d.supplier}"""
 
 
 @frame("commits", "lineitem")
@@ -497,16 +497,16 @@ def _(d):
 
 @frame("flow_prs", "orders")
 def _(d):
-    return f"""SELECT concat('ISS-', o_orderkey) AS ticket_key, concat('PR-', o_orderkey) AS pr_id,
+    return f"""SELECT concat(CASE WHEN o_orderpriority = '5-LOW' THEN 'EXT-' ELSE 'ISS-' END, o_orderkey) AS ticket_key, concat('PR-', o_orderkey) AS pr_id,
         o_orderdate AS pr_created_datetime, concat('dev', o_custkey % 150) AS pr_user_name, 'update' AS pr_title,
         CASE o_orderstatus WHEN 'F' THEN 'merged' WHEN 'P' THEN 'closed' ELSE 'open' END AS pr_state,
         concat('org-', o_custkey % 6) AS org_name
-      FROM {d.orders} WHERE o_orderpriority <> '5-LOW'"""
+      FROM {d.orders}"""
 
 
 @frame("flow_steps", "orders")
 def _(d):
-    return f"""SELECT concat('ISS-', o_orderkey) AS ticket_key, concat('flow-', o_orderkey) AS pipeline_id,
+    return f"""SELECT concat(CASE WHEN o_orderstatus = 'O' THEN 'EXT-' ELSE 'ISS-' END, o_orderkey) AS ticket_key, concat('flow-', o_orderkey) AS pipeline_id,
         {d.hours('o_orderdate', '5')} AS pipeline_started_at,
         CASE o_orderkey % 7 WHEN 0 THEN 'code-review' WHEN 1 THEN 'build-and-test' WHEN 2 THEN 'security-scan'
           WHEN 3 THEN 'sonar-quality' WHEN 4 THEN 'qa-tests' WHEN 5 THEN 'deploy-staging' ELSE 'production-release' END AS pipeline_step_name,
@@ -514,14 +514,14 @@ def _(d):
           WHEN 5 THEN 'deploy' ELSE 'production' END AS pipeline_step_type,
         CASE WHEN o_orderstatus = 'P' THEN 'failure' ELSE 'success' END AS pipeline_step_conclusion,
         concat('org-', o_custkey % 6) AS org_name
-      FROM {d.orders} WHERE o_orderstatus <> 'O'"""
+      FROM {d.orders}"""
 
 
 @frame("repo_runs", "orders", "customer")
 def _(d):
-    return f"""SELECT concat('flow-', o_orderkey) AS pipeline_id, concat('P', c_nationkey % 10) AS project_name,
+    return f"""SELECT concat(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'other-' ELSE 'flow-' END, o_orderkey) AS pipeline_id, concat('P', c_nationkey % 10) AS project_name,
         concat('ISS-', o_orderkey) AS ticket_key, o_orderdate AS pipeline_started_at
-      FROM {d.orders} JOIN {d.customer} ON o_custkey = c_custkey WHERE o_orderpriority <> '4-NOT SPECIFIED'"""
+      FROM {d.orders} JOIN {d.customer} ON o_custkey = c_custkey"""
 
 
 @frame("job_logs", "documents")

@@ -7,10 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowgauge.operators.ordering import position_in_key, top_rows
 from flowgauge.schemas import RAW
 
-LITERAL_ROWS_TO_BROADCAST = 10_000
-
 
 def read_table(spark: SparkSession, folder: str, name: str, n: int | None = None) -> DataFrame:
     """A named parquet table with its declared schema, optionally a bounded peek at it."""
@@ -19,9 +18,8 @@ def read_table(spark: SparkSession, folder: str, name: str, n: int | None = None
 
 
 def literal_rel(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A relation written out in code, such as a dictionary. Its size is known here, so a short one is broadcast."""
-    df = spark.createDataFrame(list(rows), schema)
-    return F.broadcast(df) if len(rows) <= LITERAL_ROWS_TO_BROADCAST else df
+    """A relation written out in code, such as a dictionary. Spark knows its size and joins it accordingly."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def append(df: DataFrame, path: str) -> DataFrame:
@@ -31,8 +29,9 @@ def append(df: DataFrame, path: str) -> DataFrame:
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus the source rows whose key it does not have yet."""
-    return target.unionByName(source.join(target.select(*keys).distinct(), list(keys), "left_anti"))
+    """Target plus one source row for each key that it does not have yet: the least, by its columns in order."""
+    order = [F.col(c) for c in source.columns]
+    return target.unionByName(top_rows(source, keys, order, 1, "_rank").drop("_rank").join(target.select(*keys).distinct(), list(keys), "left_anti"))
 
 
 def keep_after_delete(df: DataFrame, scope: Column) -> DataFrame:
@@ -115,12 +114,12 @@ def seats_view(seats: DataFrame, org_map: DataFrame, cleansed_orgs: Sequence[str
 def pack_json(df: DataFrame, keys: Sequence[str], columns: Sequence[str], alias: str, per_row: int = 1000) -> DataFrame:
     """JSON objects packed into arrays per key, about ``per_row`` to an array.
 
-    A key with more objects gets several rows, told apart by ``part``, so that no key is ever collected whole. The
-    parts come from a hash of the object, sized by the key's count.
+    A key with more objects gets several rows, told apart by ``part``, so that no key is ever collected whole. Objects are
+    numbered inside their key, so equal objects are spread like others.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(per_row)).cast("bigint")
-    rows = df.join(sizes, list(keys)).withColumn("part", F.pmod(F.xxhash64(*columns), parts))
+    hashed = df.withColumn("_hash", F.pmod(F.xxhash64(*columns), F.lit(64)))
+    placed = position_in_key(hashed, keys, ["_hash", *columns], "_at", F.col("_hash"))
+    rows = placed.withColumn("part", F.floor(F.col("_at") / F.lit(per_row)).cast("bigint"))
     packed = rows.groupBy(*keys, "part").agg(F.collect_list(F.to_json(F.struct(*columns))).alias(alias))
     return packed
 

@@ -65,7 +65,7 @@ def test_trailing_users_against_brute_force(spark, rows):
 def test_as_of_before_first_step_is_null(spark, rows):
     steps = spark.createDataFrame([("o", date(2024, 1, 3), 5), ("o", date(2024, 1, 6), 8)], "org_name string, from_day date, allocated int")
     df = spark.createDataFrame([("o", date(2024, 1, d)) for d in (2, 3, 5, 6, 30)] + [("p", date(2024, 1, 5))], "org_name string, usage_date date")
-    got = rows(aa.as_of(df, steps, ["org_name"], "usage_date", "allocated", "2024-01-31"), "org_name", "usage_date", "allocated")
+    got = rows(aa.as_of(df, steps, ["org_name"], "usage_date", "allocated"), "org_name", "usage_date", "allocated")
     assert [r[2] for r in sorted(got)] == [None, 5, 5, 8, 8, None]
 
 
@@ -102,3 +102,21 @@ def test_sample_is_stable_and_sized(spark, rows):
     first, second = (rows(aa.sample_n(x, 5, "u", ["g"])) for x in (df, df.repartition(9)))
     assert first == second and len(first) == 10
     assert rows(aa.sample_n(df, 7, "u")) == rows(aa.sample_n(df.repartition(3), 7, "u"))
+
+
+def test_as_of_reaches_the_last_fact(spark):
+    facts = spark.createDataFrame([("o", date(2024, 3, 1)), ("o", date(2023, 12, 1))], "org_name string, usage_date date")
+    steps = spark.createDataFrame([("o", date(2024, 1, 1), 5)], "org_name string, from_day date, allocated long")
+    got = {r.usage_date: r.allocated for r in aa.as_of(facts, steps, ["org_name"], "usage_date", "allocated").collect()}
+    assert got == {date(2024, 3, 1): 5, date(2023, 12, 1): None}
+
+
+def test_trailing_users_lists_quiet_organisations(spark):
+    usage = spark.createDataFrame([("o1", "u", date(2024, 1, 10)), ("o2", "v", date(2023, 1, 1))], "org_name string, user_login string, usage_date date")
+    got = {(r.org_name, r.usage_date.day): r.wau for r in aa.trailing_users(usage, {"wau": 7}, "2024-01-10", "2024-01-11").collect()}
+    assert got == {("o1", 10): 1, ("o1", 11): 1, ("o2", 10): 0, ("o2", 11): 0}
+
+
+def test_apportion_of_great_weights(spark):
+    df = spark.createDataFrame([("k", "a", 5 * 10**12, 3 * 10**6), ("k", "b", 5 * 10**12, 3 * 10**6)], "k string, c string, w long, total long")
+    assert {r.share for r in aa.apportion(df, ["k"], "c", "w", "total").collect()} == {1500000}

@@ -37,10 +37,11 @@ def values(spark):
     )
 
 
-def test_flatten_keeps_unset_filters_null(groups, values, rows):
+def test_flatten_keeps_unset_and_empty_apart(groups, values, rows):
     flat = fl.flatten_filters(groups, values)
     got = rows(flat, "filter_group_id", "kpi", "project_name", "issue_status", "board_ids")
-    assert got == [("g1", "k1", ["A", "B", "C"], None, None), ("g1", "k2", ["A", "B"], None, None), ("g2", "k1", None, None, ["7"])]
+    # The empty list of issue_status is kept: it allows nothing, while NULL sets no restriction.
+    assert got == [("g1", "k1", ["A", "B", "C"], [], None), ("g1", "k2", ["A", "B"], None, None), ("g2", "k1", None, None, ["7"])]
 
 
 def test_scope_values_agree_with_the_flattened_arrays(groups, values, rows):
@@ -85,12 +86,11 @@ def test_array_filter_join_matches_the_nested_loop(spark, rows):
     filt = spark.createDataFrame(
         filts, "project_name array<string>, board_ids array<string>, issue_status array<string>, include_issue_types array<string>"
     )
-    # An empty array is what explode_outer makes of it: not set.
+    # An empty array lists nothing, so its row matches nothing; only a missing one sets no restriction.
     want = set()
     for p, b, s, t, i in facts:
         for fp, fb, fs, ft in filts:
-            fp, fb, ft = fp or None, fb or None, ft or None
-            if fs and (fp or fb) and (fp is None or p in fp) and (fb is None or overlap(fb, b)) and s in fs and (ft is None or t in ft):
+            if fs and not (fp is None and fb is None) and (fp is None or p in fp) and (fb is None or overlap(fb, b)) and s in fs and (ft is None or t in ft):
                 want.add((i,))
     assert rows(fl.array_filter_join(fact, filt), "id") == sorted(want, key=repr)
 

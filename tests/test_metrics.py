@@ -76,9 +76,9 @@ def test_frequency_counts_finished_deploy_steps_only(deploys, rows):
     assert got == [(2, 1)]
 
 
-def test_lead_time_leaves_out_commits_after_the_deploy(spark, deploys, rows):
+def test_lead_time_counts_commits_after_the_deploy_apart(spark, deploys, rows):
     commits = spark.createDataFrame([("s1", datetime(2023, 12, 30)), ("s1", at(2)), ("s3", at(3)), ("zz", at(1))], f"to_sha string, committed_date {NTZ}")
-    assert rows(dl.lead_time(deploys, commits, "month", ["level"]), "commits_count", "total_ltfc") == [(2, 2)]
+    assert rows(dl.lead_time(deploys, commits, "month", ["level"]), "commits_count", "commits_after_deploy", "total_ltfc") == [(3, 1, 1)]
 
 
 def test_total_row_is_told_from_a_null_team(deploys, rows):
@@ -104,12 +104,6 @@ def test_deploy_chain_skips_failed_runs(deploys, rows):
     assert rows(dl.deploy_chain(deploys), "run_id", "from_sha") == [(1, None), (3, "s1"), (4, "s3")]
 
 
-def test_scale_counts_keeps_rates(spark, rows):
-    df = spark.createDataFrame([(10, 20, 42.0)], "success_deployments long, total_deployments long, cfr_value double")
-    got = rows(dl.scale_counts(df, {"a": 0.6, "b": 0.4}, ["success_deployments", "total_deployments"]), "sub_level", "success_deployments", "total_deployments", "cfr_value", "df_flag")
-    assert got == [("a", 6, 12, 42.0, "high"), ("b", 4, 8, 42.0, "medium")]
-
-
 def test_survey_dimensions_have_both_periods_and_do_not_inflate(spark, rows):
     answers = [("s1", "r1", "q0", "5", at(20)), ("s2", "r1", "q0", "5", at(21)), ("s3", "r1", "q0", "3", at(22)), ("s0", "r1", "q0", "1", at(10))]
     df = spark.createDataFrame(answers, f"survey_id string, response_id string, question_id string, answer string, last_submitted_timestamp {NTZ}")
