@@ -30,9 +30,10 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 10, bits: int = 32, s
 
     ``index`` has id and code, ``queries`` query_id and code; codes are LONG with ``bits`` bits. Codes are cut into
     ``segments``; if not given, so many that a segment has about as many bits as the number of entries, which keeps the
-    buckets short. Round r looks up the segment values at exactly r bits from the queries'; a pair is verified in the
-    round and segment where its nearest segments meet, so once. After round r all codes within segments * (r + 1) - 1
-    bits are known, and a query is done as soon as its kth verified distance is no greater; the others go on.
+    buckets short. The search radii of the segments grow in turn, one bit of one segment a step: step t looks up the
+    values of segment t % segments at exactly t // segments bits from the queries'. A pair is verified in the first step
+    that meets it, so once. A code not met so far is over t bits away, for each segment is further than its radius; so a
+    query is done as soon as its kth verified distance is t or less, and only the others go on.
     No candidate is left out, and the last round covers everything.
 
     Equal codes are one entry with its k + 1 least ids, and equal queries are asked once, so a code that many rows
@@ -58,25 +59,25 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 10, bits: int = 32, s
     cut = entries.select("code", "ids", F.posexplode(F.array(*[segment(F.col("code"), s) for s in range(segments)])).alias("s", "value"))
     cut = checkpointed(cut)
     active, done, best = checkpointed(asked.select("q").distinct()), None, None
-    for r in range(width + 1):
+    last = segments * (width + 1) - 1
+    for step in range(last + 1):
+        r, s = divmod(step, segments)
         flips = F.array(*[F.lit(sum(1 << b for b in chosen)).cast("long") for chosen in combinations(range(width), r)])
-        probes = active.select("q", F.posexplode(F.array(*[segment(F.col("q"), s) for s in range(segments)])).alias("s", "own"))
-        probes = probes.select("q", "s", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("own")))).alias("value"))
-        met = probes.join(cut, ["s", "value"])
-        # The pair belongs to this segment if no other is nearer, and none before it is as near.
-        apart = [F.bit_count(segment(F.col("q"), s).bitwiseXOR(segment(F.col("code"), s))) for s in range(segments)]
+        probes = active.select("q", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(segment(F.col("q"), s)))).alias("value"))
+        met = probes.join(cut.filter(F.col("s") == s).drop("s"), "value")
+        # Met before, if a segment whose radius has grown already is within it, or one still to grow within the last.
         first = F.lit(True)
-        for s, d in enumerate(apart):
-            first = first & F.when(F.col("s") > s, d > r).otherwise(d >= r)
+        for other in range(segments):
+            apart = F.bit_count(segment(F.col("q"), other).bitwiseXOR(segment(F.col("code"), other)))
+            first = first & (apart > r if other < s else apart >= r)
         found = met.filter(first).select("q", "ids", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("long").alias("distance"))
         # Of codes at one distance, and of all codes, only k + 1 ids can be among the nearest.
         flat = found.select("q", F.explode("ids").alias("id"), "distance")
         flat = flat if best is None else flat.unionByName(best.join(active, "q"))
         best = checkpointed(top_rows(flat, ["q"], [F.col("distance"), F.col("id")], k + 1, "_r").drop("_r"))
-        reach = segments * (r + 1) - 1
         state = best.groupBy("q").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
-        over = state.filter((F.col("n") > k) & (F.col("far") <= reach)).select("q")
-        finished = best.join(over, "q") if r < width else best
+        over = state.filter((F.col("n") > k) & (F.col("far") <= step)).select("q")
+        finished = best.join(over, "q") if step < last else best
         done = finished if done is None else done.unionByName(finished)
         active = checkpointed(active.join(over, "q", "left_anti"))
         if active.isEmpty():
