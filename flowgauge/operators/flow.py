@@ -11,12 +11,16 @@ from flowgauge.functions.columns import flag
 from flowgauge.operators.filters import STAGES, stage_is
 
 
+def stacked(commits: DataFrame, prs: DataFrame, steps: DataFrame) -> DataFrame:
+    """Commits, pull requests and steps in one relation. A row is of one kind: only that kind's id is set."""
+    return commits.unionByName(prs, allowMissingColumns=True).unionByName(steps, allowMissingColumns=True)
+
+
 def build_flow_fact(commits: DataFrame, prs: DataFrame, steps: DataFrame, issues: DataFrame) -> DataFrame:
     """Sparse wide fact: one row per commit, pull request or step, with the issue's context on every row.
 
     The three kinds are stacked first, so the issue context is joined once.
     """
-    events = commits.unionByName(prs, allowMissingColumns=True).unionByName(steps, allowMissingColumns=True)
     context = issues.select(
         F.col("issue_key").alias("ticket_key"),
         F.col("sprint_name").alias("jira_sprint"),
@@ -24,7 +28,7 @@ def build_flow_fact(commits: DataFrame, prs: DataFrame, steps: DataFrame, issues
         F.col("issue_status").alias("jira_status"),
         F.col("issue_project").alias("project_name"),
     )
-    return events.join(context, "ticket_key", "left")
+    return stacked(commits, prs, steps).join(context, "ticket_key", "left")
 
 
 def issue_stream(fact: DataFrame, key: str) -> DataFrame:
@@ -66,24 +70,30 @@ def issue_stream(fact: DataFrame, key: str) -> DataFrame:
     return rows.orderBy(F.desc("at"), "data_type", "id")
 
 
-def top_issues(fact: DataFrame, k: int | None = None) -> DataFrame:
-    """Issues by number of flow rows, with distinct commits and pull requests; ties in key order."""
-    out = (
-        fact.filter(F.col("ticket_key").isNotNull() & (F.col("ticket_key") != ""))
-        .groupBy(F.col("ticket_key").alias("issue_key"))
-        .agg(
-            F.max("jira_sprint").alias("sprint"),
-            F.count("*").alias("flow_refs"),
-            F.count_distinct("commit_id").alias("commit_count"),
-            F.count_distinct("pr_id").alias("pr_count"),
-        )
+def top_issues(events: DataFrame, issues: DataFrame, k: int | None = None) -> DataFrame:
+    """Issues by number of flow rows, with distinct commits and pull requests; ties in key order.
+
+    Rows are counted per entity first, so the second aggregate only adds and nothing is expanded for the distinct
+    counts. The sprint is looked up for the issues that are left, not for every event.
+    """
+    per_entity = (
+        events.filter(F.col("ticket_key") != "")
+        .groupBy(F.col("ticket_key").alias("issue_key"), "commit_id", "pr_id", "pipeline_id")
+        .agg(F.count("*").alias("n"))
+    )
+    counted = (
+        per_entity.groupBy("issue_key")
+        .agg(F.sum("n").alias("flow_refs"), F.count("commit_id").alias("commit_count"), F.count("pr_id").alias("pr_count"))
         .orderBy(F.desc("flow_refs"), "issue_key")
     )
-    return out if k is None else out.limit(k)
+    top = counted if k is None else counted.limit(k)
+    sprints = issues.select("issue_key", "sprint_name")
+    out = top.join(sprints, "issue_key", "left").groupBy("issue_key", "flow_refs", "commit_count", "pr_count").agg(F.max("sprint_name").alias("sprint"))
+    return out.select("issue_key", "sprint", "flow_refs", "commit_count", "pr_count").orderBy(F.desc("flow_refs"), "issue_key")
 
 
-def entity_counts(fact: DataFrame, key: str) -> DataFrame:
-    return fact.filter(F.col("ticket_key") == key).agg(
+def entity_counts(events: DataFrame, key: str) -> DataFrame:
+    return events.filter(F.col("ticket_key") == key).agg(
         F.count("*").alias("total_rows"),
         F.count_distinct("commit_id").alias("distinct_commits"),
         F.count_distinct("pr_id").alias("distinct_prs"),
@@ -114,12 +124,12 @@ def usage_rules() -> dict[str, Column]:
 
 
 def failed_steps(
-    runs: DataFrame, details: DataFrame, logs: DataFrame, flow: DataFrame, as_of: str, days: int = 30
+    runs: DataFrame, details: DataFrame, logs: DataFrame, events: DataFrame, as_of: str, days: int = 30
 ) -> DataFrame:
-    """Failed steps of the last days with their ticket, log and the ticket's number of flow rows.
+    """Failed steps of the last days with their ticket, the length of their log and the ticket's number of flow rows.
 
-    Runs meet their details on run and project, and logs on the step id as text. Flow rows are counted per ticket before
-    they are joined.
+    Runs meet their details on run and project, and logs on the step id as text. A log is reduced to its length before
+    it moves, and flow rows are counted for the failed tickets only.
     """
     failed = runs.filter((F.col("step_conclusion") == "failure") & F.col("step_id").isNotNull()).select(
         "pipeline_id", "project_name", "step_id", "step_name"
@@ -127,10 +137,11 @@ def failed_steps(
     recent = details.filter(
         F.to_date("pipeline_started_at").between(F.date_sub(F.lit(as_of).cast("date"), days), F.lit(as_of).cast("date"))
     ).select("pipeline_id", "project_name", "ticket_key", "pipeline_started_at")
-    refs = flow.groupBy("ticket_key").agg(F.count("*").alias("flow_rows"))
+    hits = failed.join(recent, ["pipeline_id", "project_name"])
+    refs = events.join(hits.select("ticket_key"), "ticket_key", "left_semi").groupBy("ticket_key").agg(F.count("*").alias("flow_rows"))
+    lengths = logs.select(F.col("job").alias("step_id"), F.length("logs").cast("bigint").alias("log_length"))
     return (
-        failed.join(recent, ["pipeline_id", "project_name"])
-        .join(logs.select(F.col("job").alias("step_id"), "logs"), "step_id")
+        hits.join(lengths, "step_id")
         .join(refs, "ticket_key", "left")
         .withColumn("flow_rows", F.coalesce("flow_rows", F.lit(0)))
     )

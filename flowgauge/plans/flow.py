@@ -16,6 +16,10 @@ FACT = """(SELECT e.*, i.sprint_name AS jira_sprint, i.issue_type AS jira_issue_
   LEFT JOIN issues i ON e.ticket_key = i.issue_key)"""
 
 
+def events(t):
+    return fw.stacked(t.flow_commits, t.flow_prs, t.flow_steps)
+
+
 def fact(t):
     return fw.build_flow_fact(t.flow_commits, t.flow_prs, t.flow_steps, t.issues)
 
@@ -38,14 +42,14 @@ def _(t):
 SELECT ticket_key AS issue_key, max(jira_sprint) AS sprint, count(*) AS flow_refs, count(DISTINCT commit_id) AS commit_count, count(DISTINCT pr_id) AS pr_count
 FROM {FACT} WHERE ticket_key IS NOT NULL AND ticket_key <> '' GROUP BY ticket_key ORDER BY flow_refs DESC, ticket_key LIMIT 50""")
 def _(t):
-    return fw.top_issues(fact(t), 50)
+    return fw.top_issues(events(t), t.issues, 50)
 
 
 @query("entity_counts_of_issue", "V3", USES, f"""
 SELECT count(*) AS total_rows, count(DISTINCT commit_id) AS distinct_commits, count(DISTINCT pr_id) AS distinct_prs,
   count(DISTINCT pipeline_id) AS distinct_runs FROM {FACT} WHERE ticket_key = 'ISS-157'""")
 def _(t):
-    return fw.entity_counts(fact(t), "ISS-157")
+    return fw.entity_counts(events(t), "ISS-157")
 
 
 @query("flow_fact_profile", "V4", USES, f"""
@@ -82,10 +86,8 @@ SELECT d.pipeline_id, d.project_name, d.step_id, r.ticket_key, length(l.logs) AS
 FROM deploys d JOIN repo_runs r ON d.pipeline_id = r.pipeline_id AND d.project_name = r.project_name JOIN job_logs l ON l.job = d.step_id
 WHERE d.step_conclusion = 'failure' AND d.step_id IS NOT NULL AND CAST(r.pipeline_started_at AS DATE) BETWEEN DATE '2001-06-30' - 900 AND DATE '2001-06-30'""")
 def _(t):
-    out = fw.failed_steps(t.deploys, t.repo_runs, t.job_logs, fact(t), "2001-06-30", 900)
-    return out.select(
-        "pipeline_id", "project_name", "step_id", "ticket_key", F.length("logs").cast("bigint").alias("log_length"), "flow_rows"
-    )
+    out = fw.failed_steps(t.deploys, t.repo_runs, t.job_logs, events(t), "2001-06-30", 900)
+    return out.select("pipeline_id", "project_name", "step_id", "ticket_key", "log_length", "flow_rows")
 
 
 @query("distinct_failures_by_project", "V8", "deploys", """

@@ -35,6 +35,18 @@ def test_only_written_out_relations_carry_a_broadcast_hint(spark):
     assert hinted == set()
 
 
+def nodes(spark, name, kind):
+    plan = QUERIES[name].run(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    return sum(line.lstrip(" :+-").startswith(kind) for line in plan.splitlines())
+
+
+def test_event_counts_expand_nothing_and_join_no_context(spark):
+    assert nodes(spark, "top_issues_by_flow", "Expand") == 0
+    assert nodes(spark, "top_issues_by_flow", "Join LeftOuter") == 1  # the sprint, after the cut to the top issues
+    assert nodes(spark, "entity_counts_of_issue", "Join LeftOuter") == 0
+    assert nodes(spark, "failed_steps_with_logs", "Join LeftOuter") == 1
+
+
 @pytest.mark.parametrize("name", sorted(FRAMES))
 def test_domain_frames_have_their_declared_schema(spark, tables, name):
     want = spark.createDataFrame([], DOMAIN[name]).schema
