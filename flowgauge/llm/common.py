@@ -71,3 +71,23 @@ def in_order(df: DataFrame, keys: list[str], order: list[Column], number: str, s
     return rows.withColumns({number: F.col(number) + F.col("_n")} | {a: F.col(a) + F.col(f"_sum_{a}") for a in sums}).drop(
         "_range", "_n", *[f"_sum_{a}" for a in sums]
     )
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], n: str, by: list[str] | None = None, parts: int = 1000, least_heavy: int = 256) -> DataFrame:
+    """``rows`` joined to ``facts``, which has one row per key and in ``n`` the number of ``rows`` with it.
+
+    A key with over 1/``parts`` of all rows is heavy; there are fewer than ``parts`` such keys, whatever the data, so
+    the list of them can be broadcast. The rows of a heavy key are dealt over as many salts as they are times too many,
+    by a hash of the columns ``by`` (all, if not given), and its fact is repeated for each, so no task reads more than a
+    small share of the rows. ``facts`` is read three times; hand it in as a stored table.
+    """
+    total, most = facts.agg(F.sum(n), F.max(n)).first()
+    limit = max((total or 0) // parts, least_heavy)
+    if (most or 0) <= limit:
+        return rows.join(facts, keys)
+    salts = F.ceil(F.col(n) / limit).cast("int")
+    heavy = facts.filter(F.col(n) > limit).select(*[F.col(k).alias(f"_k_{k}") for k in keys], salts.alias("_salts"))
+    on = [F.col(k) == F.col(f"_k_{k}") for k in keys]
+    dealt = rows.join(F.broadcast(heavy), on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*(by or rows.columns)), F.col("_salts")).cast("int"), F.lit(0)))
+    spread = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return dealt.drop("_salts", *[f"_k_{k}" for k in keys]).join(spread, [*keys, "_salt"]).drop("_salt")

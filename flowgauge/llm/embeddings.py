@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import checkpointed
+from flowgauge.llm.common import checkpointed, spread_join, stored
 from flowgauge.llm.components import components
 
-SLACK = 1 + 1e-5  # budgets are widened by this, so that rounding can only add candidates
+SPREAD = 37.5  # byte steps for one standard deviation of a component of a random unit vector
+SAMPLE = 20_000  # vectors that trees are fitted on
+CELL = 128  # rows of a cell inside a task
 
 
 @functools.lru_cache(8)
@@ -29,72 +32,129 @@ def blocks_of(dim: int, width: int) -> tuple[tuple[int, int], ...]:
     return tuple(zip(edges[:-1], edges[1:], strict=True))
 
 
-def cells(unit: np.ndarray, block: tuple[int, int], radius: float, axes: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """Rows, cell keys and whether it is the home cell: grid cells, ``radius`` wide, of the block's first axes.
+def rotated(raw: np.ndarray) -> np.ndarray:
+    """Rotated unit vectors in double precision."""
+    whole = raw.astype(np.float64)
+    whole /= np.abs(whole).max(axis=1)[:, None]  # so that squares neither overflow nor vanish
+    whole /= np.sqrt((whole**2).sum(axis=1))[:, None]
+    return whole @ rotation(raw.shape[1])
+
+
+def scale(dim: int) -> float:
+    return SPREAD * float(np.sqrt(dim))
+
+
+def in_bytes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One byte per component, and each vector's distance from what its bytes say."""
+    s = scale(unit.shape[1])
+    coded = np.clip(np.rint(unit * s), -127, 127)
+    return coded.astype(np.int8), np.sqrt(((unit - coded / s) ** 2).sum(axis=1)) + 1e-6
+
+
+@functools.lru_cache(8)
+def reach(dim: int, width: int, least_cos: float) -> tuple[float, ...]:
+    """Per block the squared distance of byte vectors within which every linked pair meets in at least one block.
 
-    A row also visits every cell after its home, in the order of cell coordinates, that its ball of ``radius`` meets. So
-    of two rows in reach of each other, the one with the earlier home visits the home of the other.
+    Linked unit vectors are at most 2 - 2 * least_cos apart, squared, so in some block at most that block's share. Bytes
+    are off by up to half a step per component; cutting off large components brings vectors no further apart.
     """
-    part = unit[:, block[0] : min(block[1], block[0] + axes)]
-    home = np.floor(part / radius).astype(np.int64)
-    low = part - home * radius
-    rows = np.arange(len(part))
-
-    def key(c: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(c), np.int64)
-        for i in range(c.shape[1]):
-            out = out * 4096 + (c[:, i] + 2048)
-        return out
-
-    yield rows, key(home), True
-    for step in np.ndindex(*[3] * part.shape[1]):
-        move = np.array(step) - 1
-        if tuple(move) <= (0,) * part.shape[1]:
-            continue
-        gap = np.where(move > 0, radius - low, np.where(move < 0, low, 0.0))
-        near = (gap**2).sum(axis=1) <= radius**2
-        if near.any():
-            yield rows[near], key(home[near] + move), False
-
-
-def links_in_cell(raw, unit, home, side, block: int, bounds, budget: np.ndarray, least_cos: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked pairs of rows that meet first in this block, at least one of them at home, of different sides if there
-    are two."""
-    lo, hi = bounds[block]
-    part = unit[:, lo:hi]
-    norms = (part * part).sum(axis=1)
-    two_sides = len(side) and (side != side[0]).any()
-    homes = np.flatnonzero(home)
-    for at in range(0, len(homes), 512):
-        mine = homes[at : at + 512]
-        near = norms[mine, None] + norms[None, :] - 2 * (part[mine] @ part.T) <= budget[block] * SLACK + 1e-5
-        if two_sides:
-            near &= side[mine, None] != side[None, :]
-        a, b = np.nonzero(near)
-        a = mine[a]
-        keep = ~home[b] | (a < b)
-        a, b = a[keep], b[keep]
-        for i in range(0, len(a), 1 << 15):
-            x, y = a[i : i + (1 << 15)], b[i : i + (1 << 15)]
-            gap = (unit[x].astype(np.float64) - unit[y].astype(np.float64)) ** 2
-            met = np.full(len(x), -1)
-            for j in reversed(range(len(bounds))):
-                met[gap[:, bounds[j][0] : bounds[j][1]].sum(axis=1) <= budget[j]] = j
-            x, y = x[met == block], y[met == block]
-            p, q = raw[x].astype(np.float64), raw[y].astype(np.float64)
-            cos = (p * q).sum(axis=1) / np.sqrt((p * p).sum(axis=1) * (q * q).sum(axis=1))
-            yield x[cos >= least_cos], y[cos >= least_cos]
+    most = (2 - 2 * least_cos) * (1 + 1e-6) + 1e-9
+    return tuple((scale(dim) * np.sqrt(most * (hi - lo) / dim) + np.sqrt(hi - lo)) ** 2 for lo, hi in blocks_of(dim, width))
 
 
-def rotated(raw: np.ndarray) -> np.ndarray:
-    """Rotated unit vectors, the same numbers for a vector wherever it stands: products are taken of 256 rows at a time."""
-    n, dim = raw.shape
-    whole = np.zeros((-(-n // 256) * 256, dim))
-    whole[:n] = raw
-    with np.errstate(invalid="ignore"):
-        whole[:n] /= np.sqrt((whole[:n] ** 2).sum(axis=1))[:, None]
-    turn = rotation(dim)
-    return np.concatenate([whole[i : i + 256] @ turn for i in range(0, len(whole), 256)] or [whole])[:n].astype(np.float32)
+@dataclass(frozen=True)
+class Node:
+    """A cut of one component, or a leaf with its number and the number of chunks its rows are dealt over."""
+
+    axis: int = -1
+    cut: int = 0
+    low: Node | None = None
+    high: Node | None = None
+    leaf: int = 0
+    chunks: int = 1
+
+
+def fit_tree(points: np.ndarray, rows_each: float, most: int, radius2: float) -> Node:
+    """Median cuts over all components of a block until a leaf stands for ``most`` rows or cannot be cut to use.
+
+    ``points`` is a sample of which each stands for ``rows_each`` rows. A leaf as narrow as the join's reach would hand
+    all of its rows to both halves; it stays whole, and its rows are dealt over chunks.
+    """
+    numbers = iter(range(1 << 30))
+
+    def grow(part: np.ndarray) -> Node:
+        n = len(part) * rows_each
+        if n > most and len(part) > 8:
+            low, mid, high = np.quantile(part, (0.1, 0.5, 0.9), axis=0, method="nearest").astype(np.int64)
+            axis = int(np.argmax(high - low))
+            left = part[:, axis] < mid[axis]
+            if (high - low)[axis] ** 2 > radius2 and left.any():
+                return Node(axis, int(mid[axis]), grow(part[left]), grow(part[~left]))
+        return Node(leaf=next(numbers), chunks=max(1, int(np.ceil(n / (2 * most)))))
+
+    return grow(points)
+
+
+def route(node: Node, points: np.ndarray, rows: np.ndarray, over: np.ndarray, guest: np.ndarray, radius2: float) -> Iterator[tuple]:
+    """Leaf, rows and whether they are guests, for every leaf that a row is at home in or that is in its reach after that."""
+    if not len(rows):
+        return
+    if node.low is None:
+        yield node, rows, guest
+        return
+    gap = points[rows, node.axis].astype(np.float64) - node.cut
+    low = gap < 0
+    across = over.copy()
+    across[:, node.axis] = np.maximum(across[:, node.axis], gap**2)
+    near = across.sum(axis=1) <= radius2
+    for child, mine, other in ((node.low, low, ~low & guest & near), (node.high, ~low, low & near)):
+        for_them = np.concatenate([over[mine], across[other]])
+        yield from route(child, points, np.concatenate([rows[mine], rows[other]]), for_them, np.concatenate([guest[mine], np.ones(other.sum(), bool)]), radius2)
+
+
+def meetings(points: np.ndarray, home: np.ndarray, side: np.ndarray, radius2: float, seen: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows within reach, at least one of them at home and of different sides if there are two.
+
+    Rows are cut at medians into cells of up to CELL rows; a cell is compared with the rows of later cells that its
+    bounding box can reach. ``seen`` gets the number of compared pairs.
+    """
+    n, points = len(points), points.astype(np.float32)
+    order, stack, starts = np.arange(n), [(0, n)], []
+    while stack:
+        a, b = stack.pop()
+        if b - a <= CELL:
+            starts.append(a)
+            continue
+        part = points[order[a:b]]
+        axis = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
+        order[a:b] = order[a:b][np.argpartition(part[:, axis], (b - a) // 2)]
+        stack += [(a, (a + b) // 2), ((a + b) // 2, b)]
+    starts = np.array(sorted(starts), np.int64)
+    stops = np.append(starts[1:], n)
+    p, home, side = points[order], home[order], side[order]
+    norms = (p * p).sum(axis=1)
+    low, high = np.minimum.reduceat(p, starts), np.maximum.reduceat(p, starts)
+    homes = np.add.reduceat(home.astype(np.int64), starts)
+    two = n > 0 and (side != side[0]).any()
+    for c, (a, b) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
+        gap = np.maximum(0, np.maximum(low[c:] - high[c], low[c] - high[c:]))
+        meet = ((gap**2).sum(axis=1) <= radius2) & ((homes[c:] > 0) | (homes[c] > 0))
+        later = a + np.flatnonzero(np.repeat(meet, (stops - starts)[c:]))
+        if not homes[c]:
+            later = later[home[later]]
+        gap = np.maximum(0, np.maximum(p[later] - high[c], low[c] - p[later]))
+        later = later[(gap**2).sum(axis=1) <= radius2]
+        for at in range(0, len(later), 1 << 14):
+            y = later[at : at + (1 << 14)]
+            if seen is not None:
+                seen[0] += (b - a) * len(y)
+            near = norms[a:b, None] + norms[None, y] - 2 * (p[a:b] @ p[y].T) <= radius2
+            i, j = np.nonzero(near)
+            i, j = i + a, y[j]
+            keep = (i < j) & (home[i] | home[j])
+            if two:
+                keep &= side[i] != side[j]
+            yield order[i[keep]], order[j[keep]]
 
 
 class Forest:
@@ -127,97 +187,180 @@ class Forest:
         self.label = to[self.label]
 
 
+def by_dim(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, rows and matrix of the vectors of each length."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+    for dim in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == dim)
+        yield dim, at, flat[(ends[at] - dim)[:, None] + np.arange(dim)]
+
+
+def usable(vector: str) -> Column:
+    """Whether a vector has components, all of them finite numbers and not all of them zero."""
+    finite = F.forall(F.col(vector), lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists(F.col(vector), lambda x: x != 0)
+    return F.coalesce(finite & (F.size(vector) > 0), F.lit(False))
+
+
 def near_vectors(
-    vectors: DataFrame, least_cos: float = 0.95, width: int = 8, axes: int = 3, chunk: int = 4096, vec_id: str = "vec_id", vector: str = "embedding"
+    vectors: DataFrame, least_cos: float = 0.95, width: int = 8, leaf_rows: int = 32_768, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """vec_id, n_links and component_id of every vector: links are pairs of other vectors with cosine >= ``least_cos``.
 
-    Unit vectors are rotated and split into blocks of about ``width`` components. Two linked ones differ by at most
-    2 - 2 * least_cos in squared distance, so in some block by at most its share. Each block is range-joined on a grid
-    over its first ``axes`` components; whatever meets there within the block's budget is verified with the cosine of the
-    whole vectors in double precision, in the first block where it meets, so each link counts once. A cell gives
-    counts per vector and the links of a spanning forest, not its pairs; cells of over ``chunk`` rows are cut, and the
-    cuts' pairs go to different tasks. ``component_id`` is the least id that links reach.
-
-    Equal vectors are one row that counts for all of its copies. Vectors that are null, zero or hold null or non-finite
-    components link with nothing and are their own component. Only vectors of equal length are compared. Null ids are kept;
-    repeated ids are vectors of their own. No rows give no rows; other columns are not read.
+    Unit vectors are rotated, coded in one byte per component, and split into blocks of about ``width`` components. Two
+    linked ones differ in some block by at most its share of the squared distance. Each block is range-joined: a tree of
+    median cuts over all its components, fitted on a bounded sample and as deep as there are vectors, deals a row to the
+    leaf it is at home in and to later leaves within its reach. Inside a leaf, cells of a few rows are compared with
+    those that their bounding boxes reach. What meets is verified in the first block where it meets, so each link counts
+    once: the bytes, with each vector's known distance from its bytes, tell links from others except close to the
+    limit; there, whole vectors are fetched and their cosine is taken in double precision. A task gives counts per
+    vector and links of a spanning forest, not its pairs. A leaf too narrow to be cut is dealt over chunks, and pairs of
+    chunks go to different tasks. ``component_id`` is the least id that links reach.
+
+    Equal vectors (told by 128 bits of hash) are one row that counts for all of its copies. Vectors that are null, zero
+    or hold null or non-finite components link with nothing and are their own component. Only vectors of equal length
+    are compared. Null ids are kept; repeated ids are vectors of their own. No rows give no rows; other columns are not
+    read.
     """
-    finite = F.forall(F.col(vector), lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists(F.col(vector), lambda x: x != 0)
-    good = F.coalesce(finite & (F.size(vector) > 0), F.lit(False))
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.when(good, F.col(vector)).alias("vec"))
-    kinds = rows.filter("vec IS NOT NULL").groupBy("vec").agg(F.min("vec_id").alias("first"), F.count("*").alias("weight"))
-    kinds = checkpointed(kinds.withColumn("v", F.monotonically_increasing_id()))
-    kind = kinds.schema["vec"].dataType.simpleString()
-    most = 2 - 2 * least_cos
-
-    def budgets(dim: int):
-        bounds = blocks_of(dim, width)
-        return bounds, np.array([most * (hi - lo) / dim * (1 + 1e-4) + 1e-6 for lo, hi in bounds])
-
-    def by_dim(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        lengths = column.value_lengths().to_numpy(zero_copy_only=False)
-        flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
-        for dim in np.unique(lengths).tolist():
-            at = np.flatnonzero(lengths == dim)
-            yield dim, at, flat[(ends[at] - dim)[:, None] + np.arange(dim)]
+    keys = ["k1", "k2"]
+    hashed = vectors.select(
+        F.col(vec_id).alias("vec_id"), F.when(usable(vector), F.col(vector)).alias("vec"), F.xxhash64(vector).alias("k1"), F.xxhash64(F.lit(1), vector).alias("k2")
+    )
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
                 for dim, at, raw in by_dim(batch.column("vec")):
-                    unit = rotated(raw)
-                    bounds, budget = budgets(dim)
-                    for block, edges in enumerate(bounds):
-                        for mine, cell, home in cells(unit, edges, float(np.sqrt(budget[block] * SLACK)) * (1 + 1e-4), axes):
-                            n = len(mine)
-                            taken = batch.take(pa.array(at[mine]))
-                            yield pa.record_batch(
-                                [pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, block, np.int32)), pa.array(cell), pa.array(np.full(n, home))]
-                                + [taken.column(c) for c in ("v", "weight", "vec")],
-                                names=["dim", "block", "cell", "home", "v", "weight", "vec"],
-                            )
-
-    keys = ["dim", "block", "cell"]
-    dealt = kinds.select("v", "weight", "vec").mapInArrow(deal, f"dim int, block int, cell long, home boolean, v long, weight long, vec {kind}")
-    sizes = dealt.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).filter("homes > 0 AND n > 1")
-    sizes = sizes.select(*keys, F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    cut = dealt.join(sizes, keys).withColumn("mine", F.pmod(F.hash("v"), F.col("chunks")))
-    paired = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        *keys, F.least("mine", "_other").alias("i"), F.greatest("mine", "_other").alias("j"), "mine", "home", "v", "weight", "vec"
+                    coded, off = in_bytes(rotated(raw))
+                    rest = batch.select(["vec_id", *keys]).take(pa.array(at))
+                    q = pa.array([row.tobytes() for row in coded], pa.binary())
+                    yield pa.record_batch([*rest.columns, pa.array(np.full(len(at), dim, np.int32)), pa.array(off.astype(np.float32)), q], names=["vec_id", *keys, "dim", "off", "q"])
+
+    id_type = hashed.schema["vec_id"].dataType.simpleString()
+    coded = stored(hashed.filter("vec IS NOT NULL").mapInArrow(code, f"vec_id {id_type}, k1 long, k2 long, dim int, off float, q binary"))
+    kinds = coded.groupBy(*keys).agg(F.min("vec_id").alias("first"), F.count("*").alias("weight"), F.max(F.struct("q", "off", "dim")).alias("c"))
+    kinds = stored(kinds.select(F.monotonically_increasing_id().alias("v"), *keys, "first", "weight", "c.dim", "c.off", "c.q"))
+    trees = fitted_trees(kinds, width, least_cos, leaf_rows)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, v, weight, off = (batch.column(c).to_numpy() for c in ("dim", "v", "weight", "off"))
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                q = np.frombuffer(b"".join(batch.column("q").take(pa.array(at)).to_pylist()), np.int8).reshape(-1, dim)
+                out = {c: [] for c in ("block", "leaf", "i", "j", "v", "weight", "off", "q", "home", "side")}
+                for block, ((lo, hi), radius2) in enumerate(zip(blocks_of(dim, width), reach(dim, width, least_cos), strict=True)):
+                    part = q[:, lo:hi]
+                    n = len(part)
+                    tree = trees.get((dim, block), Node())
+                    for node, rows, guest in route(tree, part, np.arange(n), np.zeros((n, hi - lo)), np.zeros(n, bool), radius2):
+                        side = v[at[rows]] % node.chunks
+                        for i in range(node.chunks):
+                            for j in range(i, node.chunks):
+                                mine = (side == i) | (side == j)
+                                these = rows[mine]
+                                if len(these):
+                                    for c, value in (("block", block), ("leaf", node.leaf), ("i", i), ("j", j), ("v", v[at[these]].tobytes())):
+                                        out[c].append(value)
+                                    for c, values in (("weight", weight[at[these]]), ("off", off[at[these]]), ("q", q[these]), ("home", ~guest[mine]), ("side", side[mine] == j)):
+                                        out[c].append(values.tobytes())
+                yield pa.record_batch(
+                    [pa.array([dim] * len(out["block"]), pa.int32())]
+                    + [pa.array(out[c], pa.int32()) for c in ("block", "leaf", "i", "j")]
+                    + [pa.array(out[c], pa.binary()) for c in ("v", "weight", "off", "q", "home", "side")],
+                    names=["dim", *out],
+                )
+
+    group = ["dim", "block", "leaf", "i", "j"]
+    dealt = kinds.select("v", "weight", "dim", "off", "q").mapInArrow(
+        deal, "dim int, block int, leaf int, i int, j int, v binary, weight binary, off binary, q binary, home binary, side binary"
     )
-    keys += ["i", "j"]
+    limit = float(np.sqrt(2 - 2 * least_cos))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_tables(batches, keys):
-            block, v, weight = table["block"][0].as_py(), table["v"].to_numpy(), table["weight"].to_numpy()
-            dim, _, raw = next(by_dim(table["vec"].combine_chunks()))
-            bounds, budget = budgets(dim)
-            home, side = table["home"].to_numpy(zero_copy_only=False).astype(bool), table["mine"].to_numpy()
-            counts, forest, edges = np.zeros(len(v), np.int64), Forest(len(v)), []
-            for a, b in links_in_cell(raw, rotated(raw), home, side, block, bounds, budget, least_cos):
-                np.add.at(counts, a, weight[b])
-                np.add.at(counts, b, weight[a])
-                edges.extend(forest.join(a, b))
+        for table in sorted_tables(batches, group):
+            dim, block = table["dim"][0].as_py(), table["block"][0].as_py()
+            kinds_of = {"v": np.int64, "weight": np.int64, "off": np.float32, "q": np.int8, "home": bool, "side": bool}
+            v, weight, off, q, home, side = (np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in kinds_of.items())
+            q, bounds, radii = q.reshape(-1, dim), blocks_of(dim, width), reach(dim, width, least_cos)
+            lo, hi = bounds[block]
+            counts, forest, edges, unsure = np.zeros(len(v), np.int64), Forest(len(v)), [], []
+            for x, y in meetings(q[:, lo:hi], home, side, radii[block]):
+                for at in range(0, len(x), 1 << 15):
+                    a, b = x[at : at + (1 << 15)], y[at : at + (1 << 15)]
+                    apart = (q[a].astype(np.int32) - q[b]) ** 2
+                    first = np.ones(len(a), bool)
+                    for (s, t), radius2 in zip(bounds[:block], radii[:block], strict=True):
+                        first &= apart[:, s:t].sum(axis=1) > radius2
+                    a, b, far = a[first], b[first], np.sqrt(apart[first].sum(axis=1)) / scale(dim)
+                    doubt = off[a] + off[b]
+                    sure = far + doubt <= limit * (1 - 1e-6)
+                    open_ = ~sure & (far - doubt <= limit * (1 + 1e-6))
+                    unsure.append(np.stack([v[a[open_]], v[b[open_]]], axis=1))
+                    a, b = a[sure], b[sure]
+                    np.add.at(counts, a, weight[b])
+                    np.add.at(counts, b, weight[a])
+                    edges.extend(forest.join(a, b))
             some, ends = np.flatnonzero(counts), np.array(edges, np.int64).reshape(-1, 2)
+            pairs = np.concatenate([np.zeros((0, 2), np.int64), *unsure])
+            n = (len(some), len(ends), len(pairs))
             yield pa.record_batch(
-                [pa.array(np.concatenate([v[some], v[ends[:, 0]]])), pa.array(np.concatenate([counts[some], np.zeros(len(ends), np.int64)]))]
-                + [pa.array([None] * len(some) + v[ends[:, 1]].tolist(), pa.int64())],
-                names=["v", "n", "other"],
+                [pa.array(np.repeat(np.array([0, 1, 2], np.int32), n)), pa.array(np.concatenate([v[some], v[ends[:, 0]], pairs[:, 0]]))]
+                + [pa.array(np.concatenate([counts[some], v[ends[:, 1]], pairs[:, 1]]))],
+                names=["what", "v", "other"],
             )
 
-    found = checkpointed(paired.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "v long, n long, other long"))
-    links = found.groupBy("v").agg(F.sum("n").alias("links"))
-    groups = components(found.filter("other IS NOT NULL").select(F.col("v").alias("a"), F.col("other").alias("b")))
-    known = kinds.join(links, "v", "left").join(groups.withColumnRenamed("node", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
-    least = known.groupBy("component").agg(F.min("first").alias("component_id"))
-    judged = known.join(least, "component").select(F.col("vec").alias("_vec"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
-    out = rows.filter("vec IS NOT NULL").join(judged, F.col("vec") == F.col("_vec")).select("vec_id", "n_links", "component_id")
-    alone = rows.filter("vec IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    found = stored(dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "what int, v long, other long"))
+    verified = stored(verified_links(found.filter("what = 2").select(F.col("v").alias("a"), F.col("other").alias("b")), kinds, hashed, least_cos))
+    both = verified.select(F.col("a").alias("v"), F.col("b_weight").alias("n")).unionByName(verified.select(F.col("b").alias("v"), F.col("a_weight").alias("n")))
+    counted = found.filter("what = 0").select("v", F.col("other").alias("n")).unionByName(both)
+    links = counted.groupBy("v").agg(F.sum("n").alias("links"))
+    ends = found.filter("what = 1").select(F.col("v").alias("a"), F.col("other").alias("b")).unionByName(verified.select("a", "b"))
+    groups = components(ends).withColumnRenamed("node", "v")
+    known = kinds.select("v", *keys, "first", "weight").join(links, "v", "left").join(groups, "v", "left").withColumn("component", F.coalesce("component", "v"))
+    known = stored(known)
+    least = stored(known.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("n")))
+    judged = spread_join(known, least, ["component"], "n")
+    judged = stored(judged.select(*keys, (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id", "weight"))
+    out = spread_join(coded.select("vec_id", *keys), judged, keys, "weight").select("vec_id", "n_links", "component_id")
+    alone = hashed.filter("vec IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone)
 
 
+def fitted_trees(kinds: DataFrame, width: int, least_cos: float, leaf_rows: int) -> dict[tuple[int, int], Node]:
+    """A tree for each block of each length that more than ``leaf_rows`` vectors have, from a sample of at most about
+    SAMPLE vectors in all."""
+    sizes = {r["dim"]: r["n"] for r in kinds.groupBy("dim").agg(F.count("*").alias("n")).filter(F.col("n") > leaf_rows).collect()}
+    if not sizes:
+        return {}
+    share = min(1.0, SAMPLE / sum(sizes.values()))
+    few = F.pmod(F.col("k1"), F.lit(1_000_003)) < int(share * 1_000_003)
+    sample = kinds.filter(F.col("dim").isin(list(sizes)) & few).select("dim", "q").toPandas()
+    trees = {}
+    for dim, rows in sample.groupby("dim")["q"]:
+        points = np.frombuffer(b"".join(rows), np.int8).reshape(-1, dim).astype(np.int64)
+        for block, ((lo, hi), radius2) in enumerate(zip(blocks_of(dim, width), reach(dim, width, least_cos), strict=True)):
+            trees[dim, block] = fit_tree(points[:, lo:hi], sizes[dim] / len(points), leaf_rows, radius2)
+    return trees
+
+
+def verified_links(pairs: DataFrame, kinds: DataFrame, hashed: DataFrame, least_cos: float) -> DataFrame:
+    """The pairs (``a``, ``b``) whose whole vectors have the cosine, in double precision, with both weights."""
+    named = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct().join(kinds.select("v", "k1", "k2", "weight"), "v")
+    whole = hashed.join(named, ["k1", "k2"]).groupBy("v").agg(F.any_value("vec").alias("vec"), F.any_value("weight").alias("weight"))
+    whole = checkpointed(whole)
+    sides = [whole.select(F.col("v").alias(s), F.col("vec").alias(f"{s}_vec"), F.col("weight").alias(f"{s}_weight")) for s in ("a", "b")]
+
+    def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, q = ([np.array(v, np.float64) for v in batch.column(c).to_pylist()] for c in ("a_vec", "b_vec"))
+            cos = np.array([(x * y).sum() / np.sqrt((x * x).sum() * (y * y).sum()) for x, y in zip(p, q, strict=True)])
+            yield batch.select(["a", "b", "a_weight", "b_weight"]).filter(pa.array(cos >= least_cos))
+
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(cosines, "a long, b long, a_weight long, b_weight long")
+
+
 def sorted_tables(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """One table for each run of equal keys, from batches sorted by the keys."""
     held: list[pa.RecordBatch] = []

@@ -13,17 +13,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import NO_ID, stored
+from flowgauge.llm.common import NO_ID, spread_join, stored
 
 U = np.uint64
 BASES = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))  # odd, so that they can be inverted modulo 2^64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-LOW = (1 << 32) - 1  # the half of a place that is a position
 SLICE = 1 << 20  # bytes of text that are worked on at once, or one text if it is longer
 
 
@@ -144,65 +142,65 @@ class Sampling:
 
 
 def prepared(docs: DataFrame, doc_id: str, text: str, carried: Column | None = None) -> DataFrame:
-    """``doc`` without nulls, the UTF-8 bytes of ``text``, and a struct of columns to carry along."""
+    """``doc`` without nulls, ``mark``, the UTF-8 bytes of ``text``, and a struct of columns to carry along.
+
+    Texts are told apart by (doc, mark). The mark is 0 where ids are unique, else 64 bits of a hash of the text, so that
+    rows of one id, null ids included, never share their places.
+    """
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID).cast("long")).alias("doc")
+    repeated = not docs.select(doc).groupBy("doc").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    whole = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    mark = F.xxhash64(whole) if repeated else F.lit(0).cast("long")
     extra = [] if carried is None else [carried.alias("carried")]
-    return docs.select(doc, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), *extra)
-
-
-def told_apart(texts: DataFrame) -> bool:
-    """Whether some id stands for several rows, so that places must also carry a hash of the text."""
-    return not texts.groupBy("doc").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
-
-
-def mark(column: pa.Array, apart: bool) -> np.ndarray:
-    """High half of the places of each text: 0, or a hash of the text where ids repeat."""
-    if not apart:
-        return np.zeros(len(column), np.int64)
-    return np.array([(xxhash.xxh32_intdigest(t) >> 1) << 32 for t in column.to_pylist()], np.int64)
+    return docs.select(doc, mark.alias("mark"), whole.alias("text"), *extra)
 
 
-RUNS = "doc long, pos long, a long, f long, lead int, windows int"
-RUNS_ARROW = pa.schema([("doc", pa.int64()), ("pos", pa.int64()), ("a", pa.int64()), ("f", pa.int64()), ("lead", pa.int32()), ("windows", pa.int32())])
+RUNS = "doc long, mark long, pos long, a long, f long, lead int, windows int"
+RUNS_ARROW = pa.schema(
+    [(c, pa.int64()) for c in ("doc", "mark", "pos", "a", "f")] + [(c, pa.int32()) for c in ("lead", "windows")]
+)
+TEXT = ["doc", "mark"]  # what names a text
 
 
-def all_runs(texts: DataFrame, how: Sampling, apart: bool) -> DataFrame:
-    """One row per run of every text: phrase place ``pos`` (with the text's mark), phrase hash, fragment hash, number of
-    symbols of the fragment before the phrase, and number of windows."""
+def all_runs(texts: DataFrame, how: Sampling) -> DataFrame:
+    """One row per run of every text: phrase place ``pos``, phrase hash, fragment hash, number of symbols of the fragment
+    before the phrase, and number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, marks = batch.column(0).to_numpy(), mark(batch.column(1), apart)
-            for at, to, data, offsets in slices(batch.column(1)):
+            doc, mark = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for at, to, data, offsets in slices(batch.column(2)):
                 s = how.symbols(data, offsets)
                 row, place, a, f, lo, n = how.runs(s)
-                columns = (doc[at:to][row], marks[at:to][row] + place - s.first[row], a.view(np.int64), f.view(np.int64), (place - lo).astype(np.int32), n.astype(np.int32))
+                columns = (doc[at:to][row], mark[at:to][row], place - s.first[row], a.view(np.int64), f.view(np.int64), (place - lo).astype(np.int32), n.astype(np.int32))
                 yield pa.record_batch([pa.array(c) for c in columns], schema=RUNS_ARROW)
 
-    return texts.select("doc", "text").mapInArrow(run, RUNS)
+    return texts.select(*TEXT, "text").mapInArrow(run, RUNS)
 
 
 def place() -> Column:
-    return F.struct("doc", "pos")
+    return F.struct(*TEXT, "pos")
 
 
-def labelled_runs(texts: DataFrame, how: Sampling, apart: bool) -> DataFrame:
+def labelled_runs(texts: DataFrame, how: Sampling) -> DataFrame:
     """The runs whose phrase occurs elsewhere, with what is known of their windows.
 
     ``known``: the same fragment stands earlier, at phrase place ``source``: all of its windows are repeats. Otherwise
     this is the fragment's first place; other fragments have its phrase, so its windows must be looked up one by one.
     Runs with a phrase or fragment of their own are left out: their windows start nowhere earlier.
 
-    Every step is an aggregate with a map-side combine or a join that Spark can split where a key is hot, so one
-    passage may hold any share of the corpus.
+    Every step is an aggregate with a map-side combine, or a join that deals the rows of a frequent phrase or fragment
+    over salts by its stored count, so one passage may hold any share of the corpus.
     """
-    phrases = all_runs(texts, how, apart).groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a")
-    hits = stored(all_runs(texts, how, apart).join(phrases, "a", "left_semi"))
-    firsts = hits.groupBy("a", "f").agg(F.min(place()).alias("source"))
-    several = firsts.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a", F.lit(True).alias("several"))
-    index = firsts.join(several, "a", "left")
-    joined = hits.join(index, ["a", "f"]).withColumn("known", place() != F.col("source"))
-    return joined.filter(F.col("known") | F.col("several")).select("doc", "pos", "lead", "windows", "known", "source")
+    phrases = stored(all_runs(texts, how).groupBy("a").agg(F.count("*").alias("n")).filter("n > 1"))
+    hits = stored(spread_join(all_runs(texts, how), phrases, ["a"], "n").drop("n"))
+    firsts = hits.groupBy("a", "f").agg(F.min(place()).alias("source"), F.count("*").alias("n"))
+    firsts = stored(firsts)
+    kinds = stored(firsts.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1"))
+    several = stored(spread_join(firsts.select("a", "f"), kinds, ["a"], "n").select("a", "f", F.lit(True).alias("several")))
+    index = stored(firsts.join(several, ["a", "f"], "left").filter((F.col("n") > 1) | F.col("several")))
+    joined = spread_join(hits, index, ["a", "f"], "n").withColumn("known", place() != F.col("source"))
+    return joined.filter(F.col("known") | F.col("several")).select(*TEXT, "pos", "lead", "windows", "known", "source")
 
 
 def within(counts: np.ndarray) -> np.ndarray:
@@ -211,10 +209,9 @@ def within(counts: np.ndarray) -> np.ndarray:
 
 
 class Lists:
-    """Numpy columns of an Arrow column of lists of structs. The first field is a place, whose mark must be the text's."""
+    """Numpy columns of an Arrow column of lists of structs."""
 
-    def __init__(self, column: pa.Array, marks: np.ndarray):
-        self.marks = marks
+    def __init__(self, column: pa.Array):
         self.offsets = np.concatenate(([0], np.cumsum(np.nan_to_num(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64))))
         flat = column.flatten()
         self.columns = [f.to_numpy(zero_copy_only=False) for f in flat.flatten()] if len(flat) else [np.zeros(0, np.int64)] * flat.type.num_fields
@@ -224,6 +221,4 @@ class Lists:
         part = slice(self.offsets[at], self.offsets[to])
         row = np.repeat(np.arange(to - at), np.diff(self.offsets[at : to + 1]))
         columns = [c[part] for c in self.columns]
-        mine = (columns[0] & ~LOW) == self.marks[at:to][row]
-        columns[0] = columns[0] & LOW
-        return row[mine], *(c.astype(bool)[mine] if c.dtype == bool or c.dtype == object else c[mine].astype(np.int64) for c in columns)
+        return row, *(c.astype(bool) if c.dtype == bool or c.dtype == object else c.astype(np.int64) for c in columns)

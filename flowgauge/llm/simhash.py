@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import checkpointed
+from flowgauge.llm.common import checkpointed, spread_join, stored
 from flowgauge.llm.components import components
 
 SEED = 42
@@ -131,6 +131,19 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str], value: str
         yield np.concatenate(held)
 
 
+def with_prints(docs: DataFrame, shingle: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, fp and two hashes (k1, k2) of id and text, which name a document, checkpointed."""
+    key = [F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text)]
+    return checkpointed(
+        docs.select(
+            F.col(doc_id).alias("doc_id"),
+            fingerprints(F.col(text), shingle).alias("fp"),
+            F.xxhash64(*key).alias("k1"),
+            F.xxhash64(F.lit(1), *key).alias("k2"),
+        )
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp (LONG bits) and component_id of every row: the least doc_id of its group.
 
@@ -139,20 +152,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, doc_id
     other. Repeated rows and ids are kept; a group of nothing but null ids has a null component. No rows give no rows.
     Other columns are not read.
     """
-    printed = docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp"))
-    printed = checkpointed(printed)
-    firsts = printed.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    printed = with_prints(docs, shingle, doc_id, text)
+    firsts = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     groups = checkpointed(near_groups(firsts.select("fp"), distance))
-    least = firsts.join(groups, "fp").groupBy("component").agg(F.min("first").alias("least"))
-    ids = groups.join(least, "component").select("fp", "least")
-    per_print = firsts.join(ids, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return printed.join(per_print, "fp").select("doc_id", "fp", "component_id")
+    linked = stored(firsts.join(groups, "fp"))
+    least = stored(linked.groupBy("component").agg(F.min("first").alias("least"), F.count("*").alias("size")))
+    ids = spread_join(linked.select("fp", "component"), least, ["component"], "size").select("fp", "least")
+    per_print = stored(firsts.join(ids, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"), "n"))
+    return spread_join(printed, per_print, ["fp"], "n").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the least id of each group, with all its columns; of repeated rows with that id, one."""
-    kept = near_duplicates(docs, shingle, distance, doc_id, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("fp").alias("_kept_fp"))
-    ids = kept.groupBy("_kept_id").agg(F.min("_kept_fp").alias("_kept_fp"))
-    rows = docs.join(ids, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi")
-    return rows.dropDuplicates([doc_id])
+    """One document of each group with all its columns, whatever their names: the one with the least id.
+
+    A document is its id and text. Null ids come after all others, so a document without an id stays if its group has no
+    other; several documents with one id are told apart by their texts, and of those in one group the one with the least
+    hash stays. Of rows equal in id and text, one stays. No rows give no rows.
+    """
+    printed = with_prints(docs, shingle, doc_id, text)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    firsts = stored(printed.groupBy("fp").agg(F.min(place).alias("first")))
+    groups = checkpointed(near_groups(firsts.select("fp"), distance))
+    # A fingerprint without links is its own group.
+    alone = firsts.join(groups, "fp", "left_anti").select("first")
+    kept = firsts.join(groups, "fp").groupBy("component").agg(F.min("first").alias("first")).select("first").unionByName(alone)
+    kept = kept.select("first.k1", "first.k2")
+    key = [F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text)]
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.xxhash64(*key).alias("k1"), F.xxhash64(F.lit(1), *key).alias("k2"))
+    return rows.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")

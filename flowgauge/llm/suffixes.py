@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import NO_ID, stored
-from flowgauge.llm.phrases import Lists, Sampling, byte_symbols, labelled_runs, mark, place, prepared, slices, told_apart
+from flowgauge.llm.common import NO_ID, spread_join, stored
+from flowgauge.llm.phrases import TEXT, Lists, Sampling, byte_symbols, labelled_runs, place, prepared, slices
 
-FRAGMENT = "doc long, pos long, lead int, windows int, suffix binary, before binary"
-FOUND = "string binary, doc long, pos long, windows int"
+FRAGMENT = "doc long, mark long, pos long, lead int, windows int, suffix binary, before binary"
+FOUND = "string binary, doc long, mark long, pos long, windows int"
 RESULT = "doc long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start: long, length: long>>"
 
 
@@ -76,11 +76,11 @@ def bucket_repeats(table: pa.Table, length: int, phrase: int) -> Iterator[pa.Rec
     is handed on, with its bytes.
     """
     n = table.num_rows
-    doc, pos = table["doc"].to_numpy(), table["pos"].to_numpy()
+    doc, mark, pos = table["doc"].to_numpy(), table["mark"].to_numpy(), table["pos"].to_numpy()
     lead, windows = table["lead"].to_numpy(), table["windows"].to_numpy()
     suffix, before = padded(table["suffix"].combine_chunks(), length), padded(table["before"].combine_chunks(), length - phrase)
     right, left = Ordered(suffix), Ordered(before)
-    earlier = np.lexsort((pos, doc))
+    earlier = np.lexsort((pos, mark, doc))
     lead, windows = lead[earlier], windows[earlier]
     repeated = np.zeros((n, length - phrase + 2), np.int8)
     for o in range(int(lead.max()) + 1):
@@ -98,8 +98,8 @@ def bucket_repeats(table: pa.Table, length: int, phrase: int) -> Iterator[pa.Rec
         if len(handed):
             strings = np.concatenate([before[handed, :o][:, ::-1], suffix[handed, : length - o]], axis=1)
             yield pa.record_batch(
-                [pa.array([s.tobytes() for s in strings], pa.binary()), pa.array(doc[handed]), pa.array(pos[handed] - o), pa.array(np.ones(len(handed), np.int32))],
-                names=["string", "doc", "pos", "windows"],
+                [pa.array([s.tobytes() for s in strings], pa.binary()), pa.array(doc[handed]), pa.array(mark[handed]), pa.array(pos[handed] - o), pa.array(np.ones(len(handed), np.int32))],
+                names=["string", "doc", "mark", "pos", "windows"],
             )
     # Neighbouring repeats of one fragment are given as one row.
     steps = np.diff(np.pad(repeated, ((0, 0), (0, 1))), axis=1)
@@ -107,11 +107,14 @@ def bucket_repeats(table: pa.Table, length: int, phrase: int) -> Iterator[pa.Rec
     stop = np.nonzero(steps == -1)[1]
     place_ = pos[row] - table["lead"].to_numpy()[row] + start
     yield pa.record_batch(
-        [pa.nulls(len(row), pa.binary()), pa.array(doc[row]), pa.array(place_), pa.array((stop - start).astype(np.int32))], names=["string", "doc", "pos", "windows"]
+        [pa.nulls(len(row), pa.binary()), pa.array(doc[row]), pa.array(mark[row]), pa.array(place_), pa.array((stop - start).astype(np.int32))],
+        names=["string", "doc", "mark", "pos", "windows"],
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, phrase: int = 32, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 100, phrase: int = 32, doc_id: str = "doc_id", text: str = "text", suffixes_each: int = 50_000
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, the kept bytes and the removed spans of every row.
 
     A byte is removed if a string of ``length`` bytes over it also starts earlier: in a smaller id, or before in the same
@@ -122,23 +125,24 @@ def remove_repeats(docs: DataFrame, length: int = 100, phrase: int = 32, doc_id:
     phrase stands nowhere else are none. The rest are dealt to buckets by splitters that Spark samples from their
     leading bytes, sorted in each bucket by multikey quicksort and compared with their neighbours; strings that
     a bucket's edge may cut are then compared across buckets. Ties in the bytes are split by id and place, so a
-    bucket's size does not depend on how often a passage repeats.
+    bucket's size does not depend on how often a passage repeats; there is a bucket for about every ``suffixes_each``
+    suffixes. "Known" is judged by 128 bits of hash (64 of the phrase, 64 of its surroundings), not byte by byte; all
+    other repeats are found by comparing bytes.
 
     Null and empty texts have no bytes. A null id counts as the least id. Rows with one id and equal texts are one document
     and get equal results; rows with one id and different texts are ordered by a hash of the text. No rows give no
     rows; other columns are not read. A text is worked on whole, in memory in proportion to it.
     """
     how = Sampling(byte_symbols, length, phrase)
-    texts = prepared(docs, doc_id, text).select("doc", "text")
-    apart = told_apart(texts)
-    runs = labelled_runs(texts, how, apart)
-    per_doc = runs.groupBy("doc").agg(F.collect_list(F.struct("pos", "lead", "windows", "known")).alias("runs"))
+    texts = prepared(docs, doc_id, text)
+    runs = labelled_runs(texts, how)
+    per_doc = stored(runs.groupBy(*TEXT).agg(F.collect_list(F.struct("pos", "lead", "windows", "known")).alias("runs")))
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, marks = batch.column(0).to_numpy(), mark(batch.column(1), apart)
-            lists = Lists(batch.column(2), marks)
-            for at, to, data, offsets in slices(batch.column(1)):
+            doc, mark = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
+            lists = Lists(batch.column("runs"))
+            for at, to, data, offsets in slices(batch.column("text")):
                 row, pos, lead, windows, known = lists.of(at, to)
                 row, pos, lead, windows = (c[~known] for c in (row, pos, lead, windows))
                 middle = offsets[row] + pos
@@ -146,9 +150,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, phrase: int = 32, doc_id:
                 raw = data.tobytes()
                 triples = list(zip(first.tolist(), middle.tolist(), stop.tolist(), strict=True))
                 yield pa.record_batch(
-                    [pa.array(doc[at:to][row]), pa.array(marks[at:to][row] + pos), pa.array(lead.astype(np.int32)), pa.array(windows.astype(np.int32))]
+                    [pa.array(doc[at:to][row]), pa.array(mark[at:to][row]), pa.array(pos), pa.array(lead.astype(np.int32)), pa.array(windows.astype(np.int32))]
                     + [pa.array([raw[m:b] for _, m, b in triples], pa.binary()), pa.array([raw[a:m][::-1] for a, m, _ in triples], pa.binary())],
-                    names=["doc", "pos", "lead", "windows", "suffix", "before"],
+                    names=["doc", "mark", "pos", "lead", "windows", "suffix", "before"],
                 )
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,21 +160,24 @@ def remove_repeats(docs: DataFrame, length: int = 100, phrase: int = 32, doc_id:
         if held:
             yield from bucket_repeats(pa.Table.from_batches(held), length, phrase)
 
-    looked_up = texts.join(per_doc.filter(F.exists("runs", lambda r: ~r["known"])), "doc").select("doc", "text", "runs")
-    dealt = looked_up.mapInArrow(fragments, FRAGMENT).repartitionByRange("suffix", "before", "doc", "pos")
+    unknown = F.size(F.filter("runs", lambda r: ~r["known"]))
+    looked_up = texts.join(per_doc.filter(unknown > 0), TEXT).select(*TEXT, "text", "runs")
+    suffixes = per_doc.agg(F.sum(unknown)).first()[0] or 0
+    buckets = max(texts.sparkSession.sparkContext.defaultParallelism, -(-suffixes // suffixes_each))
+    dealt = looked_up.mapInArrow(fragments, FRAGMENT).repartitionByRange(buckets, "suffix", "before", *TEXT, "pos")
     found = dealt.mapInArrow(bucket, FOUND)
     found = stored(found)
     across = found.filter("string IS NOT NULL")
-    firsts = across.groupBy("string").agg(F.min(place()).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    again = across.join(firsts, "string").filter(place() != F.col("first"))
+    firsts = stored(across.groupBy("string").agg(F.min(place()).alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    again = spread_join(across, firsts, ["string"], "n").filter(place() != F.col("first"))
     spans = found.filter("string IS NULL").unionByName(again.select(*found.columns))
-    per_doc_spans = spans.groupBy("doc").agg(F.collect_list(F.struct("pos", "windows")).alias("starts"))
+    per_doc_spans = spans.groupBy(*TEXT).agg(F.collect_list(F.struct("pos", "windows")).alias("starts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, marks = batch.column(0).to_numpy(), mark(batch.column(1), apart)
-            lists, singles = Lists(batch.column(2), marks), Lists(batch.column(3), marks)
-            for at, to, data, offsets in slices(batch.column(1)):
+            doc = batch.column("doc").to_numpy()
+            lists, singles = Lists(batch.column("runs")), Lists(batch.column("starts"))
+            for at, to, data, offsets in slices(batch.column("text")):
                 row, pos, lead, windows, known = (c for c in lists.of(at, to))
                 row, first, windows = row[known], (pos - lead)[known], windows[known]
                 more_row, more_first, more = singles.of(at, to)
@@ -198,6 +205,6 @@ def remove_repeats(docs: DataFrame, length: int = 100, phrase: int = 32, doc_id:
                     names=["doc", "n_bytes", "n_removed", "n_spans", "kept", "spans"],
                 )
 
-    all_texts = texts.join(per_doc, "doc", "left").join(per_doc_spans, "doc", "left").select("doc", "text", "runs", "starts")
+    all_texts = texts.join(per_doc, TEXT, "left").join(per_doc_spans, TEXT, "left").select(*TEXT, "text", "runs", "starts")
     out = all_texts.mapInArrow(cut, RESULT)
     return out.select(F.nullif(F.col("doc"), F.lit(NO_ID).cast("long")).alias("doc_id"), *out.columns[1:])

@@ -80,8 +80,11 @@ def test_substrings_match_brute_force(docs, window):
     assert {d: (r.n_words, r.n_removed, r.kept) for d, r in got.items()} == want
     texts = {r[0]: WORD.findall(r[1] or "") for r in corpus()}
     for d, r in got.items():
+        # A parse: factors in order that do not overlap; one shorter than a window goes on where another ends.
+        ends = [0, *(f.start + f.length for f in r.factors)]
+        assert all(f.start >= end for f, end in zip(r.factors, ends[:-1], strict=True)) and r.n_removed == sum(f.length for f in r.factors)
+        assert all(f.length >= window or f.start == end for f, end in zip(r.factors, ends[:-1], strict=True))
         for f in r.factors:
-            assert f.length >= window
             assert texts[d][f.start : f.start + f.length] == texts[f.source_doc][f.source_start : f.source_start + f.length]
             assert (f.source_doc, f.source_start) < (d, f.start)
 
@@ -105,13 +108,7 @@ def test_suffixes_match_brute_force(docs, length, phrase):
 
 
 def test_suffixes_compare_across_many_buckets(spark, docs):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "23")
-    try:
-        got = suffixes.remove_repeats(docs, length=20, phrase=8).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    got = suffixes.remove_repeats(docs, length=20, phrase=8, suffixes_each=10).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got} == brute_bytes([(r[0], r[1]) for r in corpus()], 20)
 
 
@@ -123,6 +120,52 @@ def test_repeated_and_null_ids(spark):
     assert sorted(r.n_removed > 0 for r in suffixes.remove_repeats(rows).collect()) == [False, True, True, True]
 
 
+def test_many_rows_without_an_id_are_told_apart(spark):
+    shared = " ".join(f"s{i}" for i in range(30))
+    rows = spark.createDataFrame([(None, f"x{i} {shared} y{i}") for i in range(300)], "doc_id long, text string")
+    got = [r.n_removed for r in substrings.remove_repeats(rows).collect()]
+    assert sorted(got) == [0] + [30] * 299
+
+
+def test_parse_is_greedy_and_does_not_overlap():
+    # Two sources overlap; the later one reaches further. The third goes on after a gap.
+    matches = np.array([[0, 30, 1, 0, 100], [20, 50, 2, 0, 7], [25, 45, 3, 0, 0], [60, 80, 1, 0, 400], [61, 81, 1, 0, 401]])
+    assert substrings.parsed(matches, 20) == [(0, 30, 1, 0, 100), (30, 20, 2, 0, 17), (60, 21, 1, 0, 400)]
+    assert substrings.parsed(matches[:0], 20) == []
+
+
+def test_one_document_of_each_group_stays(spark):
+    near = " ".join(f"w{i}" for i in range(200))
+    rows = [
+        (None, "one text of its own", 1), (None, "quite another text here", 2), (None, "the third of these texts", 3),
+        (1, "first text with id one", 4), (1, "other words under the same number", 5),
+        (9, near, 6), (3, near, 7), (None, near, 8), (5, "repeated row", 9), (5, "repeated row", 9), (6, "repeated row", 10), (None, None, 11), (8, "", 12),
+    ]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, k1 int")).collect()
+    assert kept[0].asDict().keys() == {"doc_id", "text", "k1"}
+    assert sorted(r.k1 for r in kept) == [1, 2, 3, 4, 5, 7, 9, 12]
+
+
+def test_heavy_keys_are_dealt_over_salts(spark):
+    from pyspark.sql import functions as F
+
+    from flowgauge.llm.common import spread_join, stored
+
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    facts = stored(rows.groupBy("k").agg(F.count("*").alias("n")))
+    joined = spread_join(rows, facts, ["k"], "n")
+    assert joined.count() == 5000 and joined.filter("n <> if(k = 7, 3333, 1)").count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "_salt" in spread_join(rows, facts, ["k"], "n")._jdf.queryExecution().toString()
+        sizes = spread_join(rows, facts, ["k"], "n").groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 0.6 * 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_multikey_order_and_classes():
     rows = np.random.default_rng(1).integers(0, 3, (500, 21)).astype(np.uint8)
     o = suffixes.Ordered(rows)
@@ -298,8 +341,8 @@ def brute_vectors(rows, least=0.95):
     return {i: (len(links[i]), component[i]) for i in links}
 
 
-@pytest.mark.parametrize("chunk", [4096, 8])
-def test_vectors_match_brute_force(spark, chunk):
+@pytest.mark.parametrize("leaf_rows", [4096, 12])
+def test_vectors_match_brute_force(spark, leaf_rows):
     rng = np.random.default_rng(4)
     rows: list = [(1, None), (2, [0.0] * 16), (3, [float("nan")] + [1.0] * 15), (4, [None] + [1.0] * 15), (5, [1.0, 2.0]), (6, [2.0, 4.0]), (7, [])]
     for i in range(10, 90):
@@ -307,11 +350,39 @@ def test_vectors_match_brute_force(spark, chunk):
         rows.append((i, v.tolist()))
         for k in range(rng.integers(0, 4)):
             rows.append((i + 100 * (k + 1), (v * rng.uniform(0.5, 2) + rng.standard_normal(16) * 0.12 * k).tolist()))
+    # A dense group, links close to the limit, and equal vectors.
+    center = rng.standard_normal(16)
+    rows += [(600 + i, (center + rng.standard_normal(16) * 0.2).tolist()) for i in range(60)] + [(700 + i, rows[40][1]) for i in range(30)]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, v long")
-    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df, chunk=chunk).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df, leaf_rows=leaf_rows).collect()}
     assert got == brute_vectors(rows)
 
 
+def test_vectors_with_null_and_repeated_ids(spark):
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.01]), (7, [1.0, 0.0]), (7, [0.0, 1.0]), (7, None), (None, None)]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(None, 2, 7), (None, 2, 7), (7, 2, 7), (7, 0, 7), (7, 0, 7), (None, 0, None)]))
+
+
+def test_trees_grow_with_the_vectors_and_lose_no_pair():
+    rng = np.random.default_rng(9)
+    compared = []
+    for n in (1000, 4000):
+        q = embeddings.in_bytes(embeddings.rotated(rng.standard_normal((n, 64))))[0][:, :8]
+        radius2 = embeddings.reach(64, 8, 0.95)[0]
+        tree = embeddings.fit_tree(q.astype(np.int64), 1.0, n // 8, radius2)
+        seen, met = [0], set()
+        for _, rows, guest in embeddings.route(tree, q, np.arange(n), np.zeros((n, 8)), np.zeros(n, bool), radius2):
+            for a, b in embeddings.meetings(q[rows], ~guest, np.zeros(len(rows), bool), radius2, seen):
+                pairs = [tuple(sorted(p)) for p in zip(rows[a].tolist(), rows[b].tolist(), strict=True)]
+                assert len(met) + len(pairs) == len(met := met | set(pairs))  # each pair meets once in a block
+        far = ((q[:, None].astype(int) - q[None].astype(int)) ** 2).sum(axis=2) if n == 1000 else None
+        if far is not None:
+            assert met == {(i, j) for i, j in zip(*np.nonzero(far <= radius2), strict=True) if i < j}
+        compared.append(seen[0] / n / n)
+    assert compared[1] < compared[0]
+
+
 def test_nearest_codes_match_brute_force(spark):
     rng = random.Random(6)
     codes = [(i, rng.getrandbits(16)) for i in range(200)] + [(i, 77) for i in range(200, 230)]
