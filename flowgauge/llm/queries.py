@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import chat, embeddings, hamming, language, mixing, packing, simhash, substrings, suffixes, urls
+from flowgauge.llm import chat, codebooks, embeddings, hamming, language, lexical, mixing, packing, simhash, substrings, suffixes, toxicity, urls
 from flowgauge.llm.common import read
 
 RULES = (
@@ -86,6 +86,25 @@ def op10_identify_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_compress_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = codebooks.encode(read(spark, folder, "embeddings"), parts=8, entries=16, rounds=6, steps=4096)
+    code = F.lower(F.array_join(F.transform("code", lambda i: F.lpad(F.hex(i), 2, "0")), ""))
+    return codebooks.with_label_error(codes).select("vec_id", code.alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_score_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    model = toxicity.train(docs.select("doc_id", "text"), labels.filter(~toxicity.held_out(F.col("doc_id"))), label="toxic")
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op13_search_items(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank(read(spark, folder, "documents"), read(spark, folder, "benchmark"), k=10)
+
+
 def op8_url_filter_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(read(spark, folder, "pages"), RULES)
 
@@ -101,12 +120,65 @@ QUERIES = {
     "op8_url_filter_cascade": op8_url_filter_cascade,
     "op9_nearest_codes": op9_nearest_codes,
     "op10_identify_language": op10_identify_language,
+    "op11_compress_vectors": op11_compress_vectors,
+    "op12_score_toxicity": op12_score_toxicity,
+    "op13_search_items": op13_search_items,
 }
 
+
+def codebook_sql(rounds: int = 6) -> str:
+    """One common table expression a round: distances of all parts to all entries, the nearest entry, the entries moved."""
+
+    def assigned(r: int) -> str:
+        return f"""a{r} AS (
+  SELECT vec_id, part, min(d * 16 + entry) % 16 AS entry, min(d * 16 + entry) // 16 AS d FROM (
+    SELECT x.vec_id, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v))::BIGINT AS d
+    FROM x JOIN b{r} b ON x.part = b.part AND x.pos = b.pos GROUP BY ALL) GROUP BY ALL)"""
+
+    def moved(r: int) -> str:
+        return f"""m{r} AS (SELECT x.part, a.entry, x.pos, floor(sum(x.v)::DOUBLE / count(*))::BIGINT AS v
+  FROM x JOIN a{r} a ON x.vec_id = a.vec_id AND x.part = a.part GROUP BY ALL),
+b{r + 1} AS (SELECT b.part, b.entry, b.pos, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN m{r} m ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos)"""
+
+    steps = ",\n".join(f"{assigned(r)},\n{moved(r)}" for r in range(rounds))
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+y AS (SELECT vec_id, unnest(embedding) AS c, generate_subscripts(embedding, 1) - 1 AS i, len(embedding) AS n FROM k),
+x AS (SELECT vec_id, i // (n // 8) AS part, i % (n // 8) AS pos, floor(c::DOUBLE * 4096)::BIGINT AS v FROM y),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT 16),
+b0 AS (SELECT part, entry, pos, v FROM x JOIN s USING (vec_id)),
+{steps},
+{assigned(rounds)},
+h AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM b{rounds}),
+e AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN e USING (vec_id) CROSS JOIN h
+"""
+
+
 # Bit i of a code, spelled out: components 2i + 1 and 2i + 2, counted from 1.
 CODE_SQL = " + ".join(f"CASE WHEN embedding[{2 * i + 1}]::DOUBLE + embedding[{2 * i + 2}]::DOUBLE > 0 THEN {2**i} ELSE 0 END" for i in range(32))
 
 ORACLE_SQL = {
+    "op11_compress_vectors": codebook_sql(),
+    "op13_search_items": r"""
+WITH f AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+d AS (SELECT doc_id, terms, len(terms) AS n FROM f WHERE len(terms) > 0),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM t, c GROUP BY term, docs),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN t USING (term), c GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+""",
     "op2_format_chats": r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
