@@ -114,7 +114,7 @@ def train(
     In each epoch every shard learns its examples one after another, from the state the last epoch ended with, and the
     changes of all shards are averaged. Averaged gradients are smaller sums, so the L1 penalty is divided by the square
     root of the shards. A task holds one batch of examples and the state of 2^BITS coordinates; the
-    driver holds one state. Learning every example in one sequence would need one task for the whole sample.
+    driver holds one state and the changes of all shards, 20 bytes a coordinate each. Learning every example in one sequence would need one task for the whole sample.
     """
     ids = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).select(F.col(doc_id).alias("doc"), (F.col(label) == 1).cast("int").alias("y")).distinct()
     few = ids.withColumn("h", F.xxhash64("doc", "y")).orderBy("h", "doc", "y").limit(most_rows)
@@ -143,7 +143,9 @@ def train(
     rates = rates or Rates()
     rates = replace(rates, l1=rates.l1 / np.sqrt(shards))
     heavier = min(20.0, (rows - toxic) / max(1, toxic))
-    coded = coded.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)).cast("int"))
+    shard = F.pmod(F.xxhash64("h"), F.lit(shards)).cast("int")
+    # One file a shard, in the order of learning: epochs read them as they lie and shuffle nothing.
+    coded = stored(coded.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "h").select("shard", "y", "found"))
 
     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
 
@@ -151,7 +153,8 @@ def train(
         def changes(shard: int, mine: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
             dz, dn = mine[0] - z, mine[1] - n
             at = np.flatnonzero(dn)
-            return pa.record_batch([pa.array(at.astype(np.int32)), pa.array(dz[at]), pa.array(dn[at])], names=["at", "dz", "dn"])
+            columns = [pa.array([shard], pa.int32())] + [pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), dz[at], dn[at])]
+            return pa.record_batch(columns, names=["shard", "at", "dz", "dn"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             current, mine = None, None
@@ -171,15 +174,12 @@ def train(
         return run
 
     for _ in range(epochs):
-        # Rows of a shard lie together and in order, whatever number of tasks they are dealt to.
-        ordered = coded.repartition(shards, "shard").sortWithinPartitions("shard", "h").select("shard", "y", "found")
-        moved = ordered.mapInArrow(epoch(z, n), "at int, dz double, dn double")
-        # Sums in fixed point do not depend on the order of addition.
-        fixed = [F.sum(F.round(F.col(c) * 2.0**32).cast("long")).alias(c) for c in ("dz", "dn")]
-        summed = moved.groupBy("at").agg(*fixed).toArrow()
-        at = summed["at"].to_numpy()
-        z[at] += summed["dz"].to_numpy() / 2.0**32 / shards
-        n[at] += summed["dn"].to_numpy() / 2.0**32 / shards
+        # A row a shard, each at most 20 bytes a coordinate.
+        moved = coded.mapInArrow(epoch(z, n), "shard int, at binary, dz binary, dn binary").collect()
+        for row in sorted(moved, key=lambda r: (r["shard"], bytes(r["at"]))):
+            at = np.frombuffer(row["at"], np.int32)
+            z[at] += np.frombuffer(row["dz"]) / len(moved)
+            n[at] += np.frombuffer(row["dn"]) / len(moved)
     w = rates.weights(z, n).astype(np.float32)
     kept = np.flatnonzero(w[:BIAS])
     bias = -z[BIAS] / ((rates.beta + np.sqrt(n[BIAS])) / rates.alpha)
