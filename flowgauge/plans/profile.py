@@ -15,6 +15,7 @@ from flowgauge.plans.registry import query, rnd
 from flowgauge.plans.scope import CTFC_MATCH, ctfc_filters, flat, with_board_ids
 from flowgauge.session import scratch_path
 from flowgauge.sources import tables as tb
+from flowgauge.sources.stores import RunTable, ScopedTable, export_snapshot
 
 # ---- profiles ------------------------------------------------------------------------------------------------------
 
@@ -253,12 +254,18 @@ def _(t):
     return pf.stack_frames([df.agg(F.count("*").alias("n")).withColumn("read", F.lit(name)) for name, df in reads.items()])
 
 
-@query("table_append", "S4", "", "SELECT o_orderstatus, count(*) * 2 AS n FROM orders GROUP BY o_orderstatus")
-def _(t):
-    path = scratch_path(t.spark, "orders")
+def appended(t):
+    """Two runs, the first of them repeated: the repeat adds nothing."""
+    table = RunTable(t.spark, scratch_path(t.spark, "orders"), "o_orderkey BIGINT, o_orderstatus STRING")
     rows = t.orders.select("o_orderkey", "o_orderstatus")
-    tb.append(rows, path)
-    return tb.append(rows, path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    for run in ("first", "second", "first"):
+        table.append(rows, run)
+    return table
+
+
+@query("table_append", "S4", "", "SELECT o_orderstatus, run, count(*) AS n FROM orders, (VALUES ('first'), ('second')) r(run) GROUP BY o_orderstatus, run", appended)
+def _(t, table):
+    return table.read().groupBy("o_orderstatus", "run").agg(F.count("*").alias("n"))
 
 
 @query("table_insert_missing", "S5", "", """
@@ -270,47 +277,83 @@ def _(t):
     return merged.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.count_if(F.col("c_mktsegment") == "NEW").alias("inserted"))
 
 
-@query("table_scoped_delete_counts", "S6", "deploys", """
-SELECT count(*) FILTER (step_conclusion = 'failure') AS deleted, count(*) FILTER (step_conclusion IS DISTINCT FROM 'failure') AS remaining FROM deploys""")
-def _(t):
-    return tb.delete_counts(t.deploys, F.col("step_conclusion") == "failure")
+DEPLOY_COLUMNS = "run_id BIGINT, pipeline_source STRING, step_conclusion STRING, level STRING"
 
 
-@query("table_after_scoped_delete", "S6", "deploys", """
-SELECT level, count(*) AS n FROM deploys WHERE step_conclusion IS DISTINCT FROM 'failure' GROUP BY level""")
-def _(t):
-    return tb.keep_after_delete(t.deploys, F.col("step_conclusion") == "failure").groupBy("level").agg(F.count("*").alias("n"))
+def stored_deploys(t):
+    rows = t.deploys.select("run_id", "pipeline_source", "step_conclusion", "level")
+    return ScopedTable(t.spark, scratch_path(t.spark, "deploys"), DEPLOY_COLUMNS, ("level",)).create(rows)
+
+
+FAILED_OF_TWO = F.col("level").isin("NATION_1", "NATION_2") & (F.col("step_conclusion") == "failure")
+FAILED_OF_TWO_SQL = "(level IN ('NATION_1', 'NATION_2') AND step_conclusion IS NOT DISTINCT FROM 'failure')"
+
+
+def delete_failed(t):
+    table = stored_deploys(t)
+    return table, table.delete(FAILED_OF_TWO), table.delete(FAILED_OF_TWO)
+
+
+@query("table_scoped_delete_counts", "S6", "deploys", f"""
+SELECT 'first' AS run, count(*) FILTER {FAILED_OF_TWO_SQL} AS deleted, count(*) FILTER (NOT {FAILED_OF_TWO_SQL}) AS remaining FROM deploys
+UNION ALL SELECT 'repeated', 0, count(*) FROM deploys WHERE NOT {FAILED_OF_TWO_SQL}""", delete_failed)
+def _(t, done):
+    table, *changes = done
+    now = table.read().agg(F.count("*").alias("remaining"))  # what stands in the files
+    rows = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(c.deleted).cast("long").alias("deleted")) for r, c in zip(("first", "repeated"), changes, strict=True)])
+    return now.select(F.inline(rows), "remaining")
+
+
+@query("table_after_scoped_delete", "S6", "deploys", f"""
+SELECT level, count(*) AS n FROM deploys WHERE NOT {FAILED_OF_TWO_SQL} GROUP BY level""", delete_failed)
+def _(t, done):
+    return done[0].read().groupBy("level").agg(F.count("*").alias("n"))
+
+
+def reseed_twice(t):
+    table = stored_deploys(t)
+    scope = F.col("level") == "NATION_4"
+    new = t.deploys.select("run_id", F.lit("reseeded").alias("pipeline_source"), "step_conclusion", "level").filter(scope)
+    for _ in range(2):
+        table.replace(scope, new)
+    return table
 
 
 @query("table_replace_scope_twice", "S7", "deploys", """
 SELECT level, count(*) AS n, count(*) FILTER (pipeline_source = 'reseeded') AS reseeded FROM (SELECT level, pipeline_source FROM deploys WHERE level <> 'NATION_4'
-  UNION ALL SELECT level, 'reseeded' FROM deploys WHERE level = 'NATION_4') GROUP BY level""")
-def _(t):
-    rows = t.deploys.select("level", "pipeline_source", "run_id")
-    scope = F.col("level") == "NATION_4"
-    new = rows.filter(scope).withColumn("pipeline_source", F.lit("reseeded"))
-    once = tb.replace_scope(rows, new, scope)
-    twice = tb.replace_scope(once, new, scope)
-    return twice.groupBy("level").agg(F.count("*").alias("n"), F.count_if(F.col("pipeline_source") == "reseeded").alias("reseeded"))
+  UNION ALL SELECT level, 'reseeded' FROM deploys WHERE level = 'NATION_4') GROUP BY level""", reseed_twice)
+def _(t, table):
+    return table.read().groupBy("level").agg(F.count("*").alias("n"), F.count_if(F.col("pipeline_source") == "reseeded").alias("reseeded"))
+
+
+def delete_own(t):
+    """Two owners share organisation and tool folders; one takes its rows out."""
+    table = ScopedTable(t.spark, scratch_path(t.spark, "assist"), "usage_date DATE, loc_added_sum BIGINT, org_name STRING, tool STRING", ("org_name", "tool"))
+    table.create(t.assist.select("usage_date", F.col("loc_added_sum").cast("long").alias("loc_added_sum"), "org_name", "tool"))
+    table.delete(tb.owned_by("org-2", ["assistant-a", "assistant-c"]))
+    return table
 
 
 @query("table_shared_owner_delete", "S8", "assist", """
-SELECT org_name, tool, count(*) AS n FROM assist WHERE NOT (org_name = 'org-2' AND tool IN ('assistant-a', 'assistant-c')) GROUP BY org_name, tool""")
-def _(t):
-    left = tb.keep_after_delete(t.assist, tb.owned_by("org-2", ["assistant-a", "assistant-c"]))
-    return left.groupBy("org_name", "tool").agg(F.count("*").alias("n"))
+SELECT org_name, tool, count(*) AS n, CAST(sum(loc_added_sum) AS BIGINT) AS added FROM assist WHERE NOT (org_name = 'org-2' AND tool IN ('assistant-a', 'assistant-c')) GROUP BY org_name, tool""", delete_own)
+def _(t, table):
+    return table.read().groupBy("org_name", "tool").agg(F.count("*").alias("n"), F.sum("loc_added_sum").alias("added"))
+
+
+def archive_old(t):
+    """Old releases change their status, which is also the folder they lie in."""
+    table = ScopedTable(t.spark, scratch_path(t.spark, "releases"), "release_date DATE, release_status STRING", ("release_status",))
+    table.create(t.releases.select("release_date", "release_status"))
+    first = F.lit("1997-01-01").cast("date")
+    table.update(F.col("release_date") < first, {"release_status": F.lit("archived"), "release_date": first})
+    return table
 
 
 @query("table_update_where", "S9", "releases", """
 SELECT release_status, count(*) AS n, min(release_date) AS first_date FROM (SELECT CASE WHEN release_date < DATE '1997-01-01' THEN 'archived' ELSE release_status END AS release_status,
-  CASE WHEN release_date < DATE '1997-01-01' THEN DATE '1997-01-01' ELSE release_date END AS release_date FROM releases) GROUP BY release_status""")
-def _(t):
-    old = F.col("release_date") < F.lit("1997-01-01").cast("date")
-    rows = tb.update_where(
-        t.releases.select("release_status", "release_date"), old,
-        {"release_status": F.lit("archived"), "release_date": F.lit("1997-01-01").cast("date")},
-    )
-    return rows.groupBy("release_status").agg(F.count("*").alias("n"), F.min("release_date").alias("first_date"))
+  CASE WHEN release_date < DATE '1997-01-01' THEN DATE '1997-01-01' ELSE release_date END AS release_date FROM releases) GROUP BY release_status""", archive_old)
+def _(t, table):
+    return table.read().groupBy("release_status").agg(F.count("*").alias("n"), F.min("release_date").alias("first_date"))
 
 
 @query("table_add_columns", "S10", "releases", """
@@ -330,11 +373,15 @@ def _(t):
     return tb.preview_counts({n: getattr(t, n) for n in COUNTED})
 
 
-@query("table_export_and_restore", "S13", "deploys", "SELECT level, pipeline_status, count(*) AS n FROM deploys WHERE level IN ('NATION_5', 'NATION_6') GROUP BY level, pipeline_status")
-def _(t):
+def exported(t):
     path = scratch_path(t.spark, "deploys")
-    tb.export_scope(t.deploys.select("run_id", "pipeline_status", "level"), path, "level")
-    back = tb.restore_scope(t.spark, path, "run_id BIGINT, pipeline_status STRING, level STRING", "level", ["NATION_5", "NATION_6"])
+    rows = t.deploys.select("run_id", "pipeline_status", "level")
+    return path, export_snapshot(rows, path, "level"), export_snapshot(rows, path, "level")
+
+
+@query("table_export_and_restore", "S13", "deploys", "SELECT level, pipeline_status, count(*) AS n FROM deploys WHERE level IN ('NATION_5', 'NATION_6') GROUP BY level, pipeline_status", exported)
+def _(t, done):
+    back = tb.restore_scope(t.spark, done[0], "run_id BIGINT, pipeline_status STRING, level STRING", "level", ["NATION_5", "NATION_6"])
     return back.groupBy("level", "pipeline_status").agg(F.count("*").alias("n"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,11 +16,14 @@ from flowgauge.sources.frames import Tables
 class Query:
     name: str
     covers: tuple[str, ...]
-    plan: Callable[[Tables], DataFrame]
+    plan: Callable[..., DataFrame]
     sql: str | None
+    job: Callable[[Tables], Any] | None = None
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        return self.plan(Tables(spark, folder))
+        """Run the job that writes, if the query has one, then plan what is read back. Planning itself writes nothing."""
+        tables = Tables(spark, folder)
+        return self.plan(tables) if self.job is None else self.plan(tables, self.job(tables))
 
 
 QUERIES: dict[str, Query] = {}
@@ -63,13 +67,16 @@ def with_frames(uses: str, body: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
-def query(name: str, covers: str, uses: str = "", sql: str | None = None):
-    """Register a plan. ``covers`` lists the inventory rows it shows, ``uses`` the frames its SQL needs."""
+def query(name: str, covers: str, uses: str = "", sql: str | None = None, job: Callable[[Tables], Any] | None = None):
+    """Register a plan. ``covers`` lists the inventory rows it shows, ``uses`` the frames its SQL needs.
 
-    def add(plan: Callable[[Tables], DataFrame]):
+    ``job`` writes tables; what it returns is handed to the plan.
+    """
+
+    def add(plan: Callable[..., DataFrame]):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = Query(name, tuple(covers.split()), plan, None if sql is None else with_frames(uses, sql))
+        QUERIES[name] = Query(name, tuple(covers.split()), plan, None if sql is None else with_frames(uses, sql), job)
         return plan
 
     return add

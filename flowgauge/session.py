@@ -24,13 +24,20 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table, under the shared folder the cluster names.
+    """A fresh path for a written table, under the shared folder the cluster names; it goes when the driver ends.
 
-    The folder is read from ``spark.checkpoint.dir``. Only where that is unset, as in tests, a local folder is used.
+    The folder is read from ``spark.checkpoint.dir``. Only where that is unset on a local master, as in tests, a
+    folder of this machine is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="flowgauge-")
-    return f"{base.rstrip('/')}/flowgauge/{uuid.uuid4().hex}/{name}"
+        base = tempfile.gettempdir()
+    path = f"{base.rstrip('/')}/flowgauge-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return f"{path}/{name}"
