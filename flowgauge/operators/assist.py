@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.functions.columns import col, is_weekday, ratio, seconds_between
-from flowgauge.operators.ordering import position_in_key, running_total, spread_to_next, top_rows
+from flowgauge.operators.ordering import carried_value, position_in_key, running_total, spread_to_next, top_rows
 
 SUMS = (
     "user_initiated_interaction_count",
@@ -137,13 +137,9 @@ def allocation_steps(seats: DataFrame, keys: Sequence[str] = ("org_name",)) -> D
 def as_of(df: DataFrame, steps: DataFrame, keys: Sequence[str], at: str, value: str) -> DataFrame:
     """The value of a step function on each row's day; NULL before the first step.
 
-    Steps become one row per key and day up to the last day of the facts, so the lookup is an equi join on key and day and not a range
-    join. Steps are a short history per key; the facts are never sorted.
+    The last value is carried forward inside a key's month; see ``carried_value``. A fact at a far-off date costs one row.
     """
-    following = F.lead("from_day").over(Window.partitionBy(*keys).orderBy("from_day"))
-    last = F.coalesce(F.date_sub(following, 1), F.greatest(df.select(F.max(at)).scalar(), F.col("from_day")))
-    daily = steps.withColumn("_last", last).select(*keys, F.explode(F.sequence("from_day", "_last")).alias(at), value)
-    return df.join(daily, [*keys, at], "left")
+    return carried_value(df, steps, keys, at, "from_day", value, lambda c: F.trunc(c, "month"))
 
 
 def billing_snapshot(total: Column, active: Column) -> dict[str, Column]:
@@ -152,14 +148,25 @@ def billing_snapshot(total: Column, active: Column) -> dict[str, Column]:
     return {"total_seats": total, "active_seats": capped, "inactive_seats": total - capped}
 
 
-def seat_days(seats: DataFrame, usage: DataFrame, start: str, end: str) -> DataFrame:
-    """One row per seat and day it is allocated, with that day's interactions; an idle seat stays, with NULL."""
-    days = F.sequence(F.greatest(F.col("created_at"), day(start)), day(end))
-    roster = seats.filter(F.col("created_at") <= day(end)).select(
-        "org_name", F.col("assignee_login").alias("user_login"), F.explode(days).alias("usage_date")
-    )
-    active = usage.groupBy("user_login", "usage_date").agg(F.count("*").alias("interactions"))
-    return roster.join(active, ["user_login", "usage_date"], "left")
+def seat_activity(seats: DataFrame, usage: DataFrame, start: str, end: str, keys: Sequence[str] = ("org_name",)) -> DataFrame:
+    """Per key and day of a range: seats allocated by then, how many were used that day and how many lay idle, and the
+    interactions on them (NULL if none).
+
+    Interval arithmetic: a seat is one mark on the day it begins, and running marks give the seats of each day. Used seats
+    are the user-days joined to the seats they fall on. Nothing is multiplied by the days, so what is shuffled grows with
+    seats plus usage.
+    """
+    given = seats.filter(F.col("created_at") <= day(end))
+    marks = given.groupBy(*keys, F.greatest(F.col("created_at"), day(start)).alias("_from")).agg(F.count("*").alias("_added"))
+    held = running_total(marks, keys, "_from", "_added", "seats")
+    # The first mark of a key must not reach back to days before it.
+    days = spread_to_next(held, keys, "_from", day(start), day(end), "usage_date").filter(F.col("usage_date") >= F.col("_from"))
+    user_days = usage.filter(F.col("usage_date").between(day(start), day(end))).groupBy("user_login", "usage_date").agg(F.count("*").alias("_n"))
+    on_seats = user_days.join(given.select(*keys, F.col("assignee_login").alias("user_login"), "created_at"), "user_login")
+    used = on_seats.filter(F.col("created_at") <= F.col("usage_date")).groupBy(*keys, "usage_date").agg(F.count("*").alias("active"), F.sum("_n").alias("interactions"))
+    out = days.select(*keys, "usage_date", "seats").join(used, [*keys, "usage_date"], "left")
+    active = F.coalesce("active", F.lit(0))
+    return out.select(*keys, "usage_date", "seats", active.alias("active"), (F.col("seats") - active).alias("inactive"), "interactions")
 
 
 def business_days(start: str, end: str) -> int:
@@ -199,25 +206,40 @@ def engaged_users(usage: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def numbered_users(usage: DataFrame, user: str = "user_login") -> DataFrame:
+    """Each user with a number from 1 without gaps, in an order of hashes; no task numbers more than a share of them."""
+    users = usage.select(user).filter(F.col(user).isNotNull()).distinct()
+    hashed = users.withColumns({"_all": F.lit(0), "_hash": F.xxhash64(user)})
+    placed = position_in_key(hashed, ["_all"], ["_hash", user], "_at", F.shiftright("_hash", 54))
+    return placed.select(user, (F.col("_at") + 1).alias("user_number"))
+
+
 def weekly_matrix(usage: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Per week, every subtotal over the dimensions (a cube): lines, generations and distinct users.
 
-    Rows are reduced to one per week, dimensions and user before the cube multiplies them. ``grouping_bits`` tells a
-    subtotal from a NULL value.
+    Distinct users are bitmaps over user numbers, 32,768 users to a bitmap: exact sets that can be merged. Rows become one
+    per week, dimensions and bitmap before the cube multiplies them, so no user row is expanded; a subtotal's
+    bitmaps are merged and their bits counted. ``grouping_bits`` tells a subtotal from a NULL value.
     """
-    small = rollup(
-        usage.withColumn("week", F.trunc("usage_date", "week")), ["week", *dims, "user_login"], SUMS[1:3]
+    small = rollup(usage.withColumn("week", F.trunc("usage_date", "week")), ["week", *dims, "user_login"], SUMS[1:3])
+    known = small.join(numbered_users(usage), "user_login", "left")
+    # Users without a login have no number: they count in the sums only.
+    sets_of = known.groupBy("week", *dims, F.coalesce(F.bitmap_bucket_number("user_number"), F.lit(0)).alias("_bitmap")).agg(
+        F.sum(SUMS[1]).alias("_generated"), F.sum(SUMS[2]).alias("_accepted"), F.bitmap_construct_agg(F.bitmap_bit_position("user_number")).alias("_users")
     )
-    # Every set keeps the week.
+    # Every set keeps the week and the bitmap's number.
     sets = [
-        [F.col("week"), *[F.col(d) for i, d in enumerate(dims) if bits & (1 << (len(dims) - 1 - i)) == 0]]
+        [F.col("week"), F.col("_bitmap"), *[F.col(d) for i, d in enumerate(dims) if bits & (1 << (len(dims) - 1 - i)) == 0]]
         for bits in range(2 ** len(dims))
     ]
-    return small.groupingSets(sets, "week", *dims).agg(
-        F.grouping_id("week", *dims).cast("bigint").alias("grouping_bits"),
-        F.sum(SUMS[1]).alias("generated"),
-        F.sum(SUMS[2]).alias("accepted"),
-        F.count_distinct("user_login").alias("engaged_users"),
+    merged = sets_of.groupingSets(sets, "week", "_bitmap", *dims).agg(
+        F.grouping_id("week", "_bitmap", *dims).cast("bigint").alias("grouping_bits"),
+        F.sum("_generated").alias("_generated"),
+        F.sum("_accepted").alias("_accepted"),
+        F.bitmap_count(F.bitmap_or_agg("_users")).alias("_n"),
+    )
+    return merged.groupBy("week", *dims, "grouping_bits").agg(
+        F.sum("_generated").alias("generated"), F.sum("_accepted").alias("accepted"), F.sum("_n").alias("engaged_users")
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flowgauge.functions.bands import band
 from flowgauge.functions.columns import period_start, ratio, seconds_between, week_label, year_month
 from flowgauge.operators.filters import array_filter_join
-from flowgauge.operators.ordering import latest_record, previous_value, spread_to_next
+from flowgauge.operators.ordering import latest_record, previous_value, refined_bucket, spread_to_next
 
 KEYS = ("level", "team")
 
@@ -204,17 +204,16 @@ def compare_phases(df: DataFrame, day: str, cut: str, measures: Sequence[Column]
     return df.groupBy(*keys, phase(day, cut).alias("phase")).agg(*measures)
 
 
-def deploy_chain(deploys: DataFrame, keys: Sequence[str] = ("project_name",)) -> DataFrame:
-    """Successful deploys with ``from_sha``: the sha of the previous successful deploy of the same project."""
+def deploy_chain(deploys: DataFrame, keys: Sequence[str] = ("project_name",), most: int = 100_000) -> DataFrame:
+    """Successful deploys with ``from_sha``: the sha of the previous successful deploy of the same project.
+
+    Deploys are ordered inside a project's day; a day with over ``most`` of them is cut further, see ``refined_bucket``.
+    """
     done = deploys.filter((F.col("pipeline_status") == "success") & F.col("pipeline_commit_sha").isNotNull())
-    return previous_value(
-        done,
-        keys,
-        ("pipeline_started_at", "run_id"),
-        "pipeline_commit_sha",
-        "from_sha",
-        F.to_date("pipeline_started_at"),
-    )
+    timed = done.withColumn("_second", F.unix_seconds(F.col("pipeline_started_at").cast("timestamp")))
+    ordered = refined_bucket(timed, keys, F.to_date("pipeline_started_at"), ["_second", "run_id"], "_slot", most)
+    chained = previous_value(ordered, keys, ("pipeline_started_at", "run_id"), "pipeline_commit_sha", "from_sha", F.col("_slot"))
+    return chained.drop("_slot", "_second")
 
 
 def activity_counts(deploys: DataFrame, by: Sequence[str], limit: int | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,3 +99,86 @@ def spread_to_next(df: DataFrame, keys: Sequence[str], at: str, start: Column, e
     ends = F.coalesce(F.date_sub(F.lead(at).over(in_key), 1), end)
     inside = df.filter(F.col(at).between(start, end)).withColumns({"_begins": begins, "_ends": ends})
     return inside.withColumn(alias, F.explode(F.sequence("_begins", "_ends"))).drop("_begins", "_ends")
+
+
+def carried_value(rows: DataFrame, steps: DataFrame, keys: Sequence[str], at: str, step_at: str, value: str, bucket: Callable[[Column], Column]) -> DataFrame:
+    """``rows`` with the value of the last step of their key at or before ``at``; NULL before the first.
+
+    Steps and rows are stacked and the last value is carried forward inside (key, bucket) only, ``bucket`` being a
+    coarse, order-preserving part of the time, such as its month. What crosses a bucket's start comes from a summary with
+    one row per key and bucket that occurs. There is no row per key and day, however far apart the times are.
+    """
+    facts = rows.withColumns({"_at": F.col(at), "_kind": F.lit(2), "_step": F.lit(None).cast(steps.schema[value].dataType)})
+    marks = steps.select(*keys, F.col(step_at).alias("_at"), F.lit(1).alias("_kind"), F.col(value).alias("_step"))
+    both = facts.unionByName(marks, allowMissingColumns=True).withColumn("_bucket", bucket(F.col("_at")))
+    last_step = F.max(F.when(F.col("_kind") == 1, F.struct("_at", "_step")))
+    summary = both.groupBy(*keys, "_bucket").agg(last_step["_step"].alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    heads = summary.select(*keys, "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_step"), F.lit(0).alias("_kind"))
+    # A bucket's summary row has no time and stands first.
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_at").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = both.unionByName(heads, allowMissingColumns=True).withColumn(value, F.last("_step", ignorenulls=True).over(inside))
+    return carried.filter("_kind = 2").select(*rows.columns, value)
+
+
+def refined_bucket(df: DataFrame, keys: Sequence[str], bucket: Column, by: Sequence[str], alias: str, most: int = 100_000, levels: int = 1) -> DataFrame:
+    """``df`` with an order-preserving bucket of bounded size: ``bucket``, cut further by ranges of whole numbers.
+
+    ``by`` are the order columns inside a bucket. The rows of every (key, bucket) are counted; one with over ``most`` rows
+    is cut into equal ranges of the first of ``by`` that varies in it, four times as many as it is too large. Each
+    further level does the same with the ranges that are still too large. Buckets with less than a ten-thousandth of all
+    rows are left whole, so there are fewer than 10,000 to cut, whatever the data: that bounds the broadcast.
+    """
+    parts = [alias]
+    out = df.withColumn(alias, bucket)
+    for level in range(levels):
+        ends = [f(c).alias(f"_{n}{i}") for i, c in enumerate(by) for f, n in ((F.min, "low"), (F.max, "high"))]
+        sizes = out.groupBy(*keys, *parts).agg(F.count("*").alias("_n"), *ends)
+        large = sizes.filter((F.col("_n") > most) & (F.col("_n") > sizes.select(F.sum("_n") / 10_000).scalar()))
+        names = {c: f"_b{i}" for i, c in enumerate([*keys, *parts])}
+        pieces = 4 * F.ceil(F.col("_n") / most)
+        widths = [F.greatest(F.lit(1), F.ceil((F.col(f"_high{i}") - F.col(f"_low{i}") + 1) / pieces)).alias(f"_width{i}") for i in range(len(by))]
+        varies = [(F.col(f"_high{i}") > F.col(f"_low{i}")).alias(f"_varies{i}") for i in range(len(by))]
+        extra = [f"_{n}{i}" for i in range(len(by)) for n in ("low", "width", "varies")]
+        cuts = large.select(*[F.col(c).alias(n) for c, n in names.items()], *[F.col(f"_low{i}") for i in range(len(by))], *widths, *varies)
+        on = F.lit(True)
+        for c, n in names.items():
+            on = on & F.col(c).eqNullSafe(F.col(n))
+        cut = F.lit(0).cast("long")
+        for i in reversed(range(len(by))):
+            cut = F.when(F.col(f"_varies{i}"), F.floor((F.col(by[i]) - F.col(f"_low{i}")) / F.col(f"_width{i}"))).otherwise(cut)
+        part = f"{alias}_{level}"
+        out = out.join(F.broadcast(cuts), on, "left").withColumn(part, cut.cast("long")).drop(*names.values(), *extra)
+        parts.append(part)
+    return out.withColumn(alias, F.struct(*parts)).drop(*parts[1:])
+
+
+def exact_median(counted: DataFrame, keys: Sequence[str], value: str, n: str, alias: str, ranges: int = 1 << 15, levels: int = 2) -> DataFrame:
+    """The median per key of whole numbers, each with its count ``n``; NULL values do not count.
+
+    Rank selection: a key's span is cut into ``ranges``, rows are counted per range, and only the ranges that hold the
+    two middle ranks are looked at again, cut into as many. After two levels a range is a 2^30th of the span, most often one
+    value; what is left of it is ranked. No task ever holds a key's values: windows see the counts of its ranges.
+    """
+    known = counted.filter(F.col(value).isNotNull())
+    total = F.sum(n)
+    ends = known.groupBy(*keys).agg(total.alias("_total"), F.min(value).alias("_low"), F.max(value).alias("_high"))
+    middle = F.array_distinct(F.array(F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)))
+    wanted = ends.select(*keys, F.explode(middle).alias("_rank"), "_low", "_high", F.lit(0).cast("long").alias("_before"))
+    so_far = Window.partitionBy(*keys, "_rank").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+
+    def holding(parts: DataFrame) -> DataFrame:
+        """Of the counted parts of each wanted rank the one that holds it."""
+        placed = parts.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
+        return placed.filter((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
+
+    def inside() -> DataFrame:
+        return known.join(wanted, list(keys)).filter(F.col(value).between(F.col("_low"), F.col("_high")))
+
+    for _ in range(levels):
+        width = F.ceil((F.col("_high") - F.col("_low") + 1) / ranges)
+        part = F.floor((F.col(value) - F.col("_low")) / width)
+        counts = inside().groupBy(*keys, "_rank", "_before", part.alias("_from")).agg(total.alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high"))
+        wanted = holding(counts).select(*keys, "_rank", "_low", "_high", "_before")
+    last = holding(inside().select(*keys, "_rank", "_before", F.col(value).alias("_from"), F.col(n).alias("_n")))
+    return last.groupBy(*keys).agg(F.avg("_from").alias(alias))

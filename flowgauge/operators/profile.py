@@ -79,13 +79,14 @@ def matches(regex: str, columns: Sequence[str] = (), array: str | None = None) -
     return any_of(tests)
 
 
-def stage_funnel(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Row count at each stage of a query, in order."""
-    parts = [
-        df.agg(F.count("*").alias("n_rows")).withColumns({"position": F.lit(i), "stage": F.lit(name)})
-        for i, (name, df) in enumerate(stages)
-    ]
-    return stack_frames(parts)
+def stage_funnel(source: DataFrame, stages: Sequence[tuple[str, Column]]) -> DataFrame:
+    """Row count at each stage of a query, in order, from one pass over its source.
+
+    A stage is named with the count of the rows that get to it: an aggregate over the source, such as a conditional one.
+    """
+    counts = source.agg(*[c.alias(f"_{i}") for i, (_, c) in enumerate(stages)])
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(name).alias("stage"), F.col(f"_{i}").alias("n_rows")) for i, (name, _) in enumerate(stages)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def combo_matrix(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.functions.columns import ratio, seconds_between
+from flowgauge.operators.ordering import exact_median
 from flowgauge.schemas import RELEASE_JSON
 
 
@@ -17,6 +18,20 @@ def unpack(releases: DataFrame, column: str, keys: Sequence[str] = ("fix_version
     return texts.select(*keys, F.from_json("_json", schema or RELEASE_JSON[column]).alias("_o")).select(*keys, "_o.*")
 
 
+def unpack_tagged(releases: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("fix_version",)) -> DataFrame:
+    """One row per JSON object of several array columns, in one pass: ``kind`` names the column, and the struct of that
+    name holds the typed object; the structs of the other columns are NULL.
+
+    The arrays become one array of tagged texts, so a release is read and exploded once, however many columns there are.
+    """
+
+    def tagged(name: str) -> Column:
+        return F.transform(F.coalesce(F.col(name), F.array().cast("array<string>")), lambda j: F.struct(F.lit(name).alias("kind"), j.alias("json")))
+
+    texts = releases.select(*keys, F.explode(F.concat(*[tagged(c) for c in columns])).alias("_o")).select(*keys, "_o.kind", F.col("_o.json").alias("_json"))
+    return texts.select(*keys, "kind", *[F.from_json(F.when(F.col("kind") == c, F.col("_json")), RELEASE_JSON[c]).alias(c) for c in columns])
+
+
 def percent(part: Column, whole: Column) -> Column:
     return F.round(ratio(part, whole, 100), 2)
 
@@ -28,7 +43,7 @@ def time(c: str) -> Column:
 def issue_completion(releases: DataFrame, keys: Sequence[str] = ("fix_version",)) -> DataFrame:
     """Done and total issues, and the median cycle time of the done ones.
 
-    Equal cycle times are counted before the median, so its state grows with the distinct values and not with the rows.
+    Equal cycle times are counted first; the median is found by rank selection over these counts.
     """
     done = F.col("is_done") == "true"
     counted = (
@@ -36,12 +51,10 @@ def issue_completion(releases: DataFrame, keys: Sequence[str] = ("fix_version",)
         .groupBy(*keys, F.when(done, F.col("current_time")).alias("seconds"))
         .agg(F.count("*").alias("n"), F.count_if(done).alias("done"))
     )
-    return counted.groupBy(*keys).agg(
-        F.sum("n").alias("total_issues"),
-        F.sum("done").alias("done_issues"),
-        percent(F.sum("done"), F.sum("n")).alias("done_percent"),
-        F.percentile("seconds", 0.5, F.col("n")).alias("median_cycle_seconds"),
+    totals = counted.groupBy(*keys).agg(
+        F.sum("n").alias("total_issues"), F.sum("done").alias("done_issues"), percent(F.sum("done"), F.sum("n")).alias("done_percent")
     )
+    return totals.join(exact_median(counted, keys, "seconds", "n", "median_cycle_seconds"), list(keys), "left")
 
 
 def defect_ratio(releases: DataFrame, keys: Sequence[str] = ("fix_version",)) -> DataFrame:
@@ -85,36 +98,34 @@ def review_hours(releases: DataFrame, keys: Sequence[str] = ("fix_version",)) ->
 
 
 def pass_rates(releases: DataFrame, keys: Sequence[str] = ("fix_version",)) -> DataFrame:
-    """Build and gate pass rates per tool."""
-
-    def rate(column: str, kind: str, status: str) -> DataFrame:
-        good = F.count_if(F.col(status) == "success")
-        return unpack(releases, column, keys).groupBy(*keys, F.lit(kind).alias("kind"), "tool_type").agg(
-            F.count("*").alias("runs"), percent(good, F.count("*")).alias("pass_percent")
-        )
-
-    return rate("builds", "build", "build_status").unionByName(rate("gates", "gate", "step_status"))
+    """Build and gate pass rates per tool, from one pass over the releases."""
+    builds = F.col("kind") == "builds"
+    runs = unpack_tagged(releases, ["builds", "gates"], keys).select(
+        *keys,
+        F.when(builds, "build").otherwise("gate").alias("kind"),
+        F.coalesce("builds.tool_type", "gates.tool_type").alias("tool_type"),
+        F.coalesce("builds.build_status", "gates.step_status").alias("status"),
+    )
+    good = F.count_if(F.col("status") == "success")
+    return runs.groupBy(*keys, "kind", "tool_type").agg(F.count("*").alias("runs"), percent(good, F.count("*")).alias("pass_percent"))
 
 
 def open_risks(releases: DataFrame, as_of: str, keys: Sequence[str] = ("fix_version",)) -> DataFrame:
-    """Resolved vulnerabilities, open web findings, and open bugs with their mean age in days.
+    """Resolved vulnerabilities, open web findings, and open bugs with their mean age in days, from one pass.
 
     A vulnerability is resolved when it was last active after it was first seen.
     """
-    resolved = F.col("last_activity_date").try_cast("date") > F.col("activity_date").try_cast("date")
-    vulns = unpack(releases, "vulnerabilities", keys).groupBy(*keys).agg(
-        F.count("*").alias("vulnerabilities"), F.count_if(resolved).alias("resolved_vulnerabilities")
-    )
-    web_open = (F.col("IsPresent") == "true") & (F.col("IsAddressed") == "false")
-    web = unpack(releases, "web_vulnerabilities", keys).groupBy(*keys).agg(F.count_if(web_open).alias("open_web_findings"))
-    age = F.when(F.col("status") == "OPEN", F.datediff(F.lit(as_of).cast("date"), F.col("creation_date").try_cast("date")))
-    bugs = unpack(releases, "bugs", keys).groupBy(*keys).agg(
-        F.count_if(F.col("status") == "OPEN").alias("open_bugs"), F.round(ratio(F.sum(age), F.count(age)), 2).alias("mean_bug_age_days")
-    )
-    both = vulns.unionByName(web, allowMissingColumns=True).unionByName(bugs, allowMissingColumns=True)
-    return both.groupBy(*keys).agg(
-        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("vulnerabilities", "resolved_vulnerabilities", "open_web_findings", "open_bugs")],
-        F.max("mean_bug_age_days").alias("mean_bug_age_days"),
+    rows = unpack_tagged(releases, ["vulnerabilities", "web_vulnerabilities", "bugs"], keys)
+    resolved = F.col("vulnerabilities.last_activity_date").try_cast("date") > F.col("vulnerabilities.activity_date").try_cast("date")
+    web_open = (F.col("web_vulnerabilities.IsPresent") == "true") & (F.col("web_vulnerabilities.IsAddressed") == "false")
+    bug_open = F.col("bugs.status") == "OPEN"
+    age = F.when(bug_open, F.datediff(F.lit(as_of).cast("date"), F.col("bugs.creation_date").try_cast("date")))
+    return rows.groupBy(*keys).agg(
+        F.count_if(F.col("kind") == "vulnerabilities").alias("vulnerabilities"),
+        F.count_if(resolved).alias("resolved_vulnerabilities"),
+        F.count_if(web_open).alias("open_web_findings"),
+        F.count_if(bug_open).alias("open_bugs"),
+        F.round(ratio(F.sum(age), F.count(age)), 2).alias("mean_bug_age_days"),
     )
 
 

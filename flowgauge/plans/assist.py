@@ -165,15 +165,7 @@ a AS (SELECT user_login, usage_date, count(*) AS n FROM assist GROUP BY user_log
 SELECT r.org_name, r.usage_date, count(*) AS seats, count(a.n) AS active, count(*) - count(a.n) AS inactive, CAST(sum(a.n) AS BIGINT) AS interactions
 FROM r LEFT JOIN a ON r.assignee_login = a.user_login AND r.usage_date = a.usage_date GROUP BY r.org_name, r.usage_date""")
 def _(t):
-    n = F.col("interactions")
-    return (
-        aa.seat_days(t.seats, t.assist, "2024-01-01", "2024-01-30")
-        .groupBy("org_name", "usage_date")
-        .agg(
-            F.count("*").alias("seats"), F.count(n).alias("active"), F.count_if(n.isNull()).alias("inactive"),
-            F.sum(n).alias("interactions"),
-        )
-    )
+    return aa.seat_activity(t.seats, t.assist, "2024-01-01", "2024-01-30")
 
 
 @query("heavy_users", "A16", "assist", f"""
