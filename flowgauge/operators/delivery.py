@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.functions.bands import band
-from flowgauge.functions.columns import period_start, ratio, seconds_between, week_label, year_month
+from flowgauge.functions.columns import any_of, git_url_key, period_start, ratio, seconds_between, week_label, year_month
 from flowgauge.operators.filters import array_filter_join
 from flowgauge.operators.ordering import latest_record, previous_value, refined_bucket, spread_to_next
 
@@ -89,15 +89,18 @@ def restore_times(incidents: DataFrame, grain: str, keys: Sequence[str] = KEYS)
     )
 
 
-def cycle_time_issues(history: DataFrame, filt: DataFrame, start: str, end: str) -> DataFrame:
-    """Newest qualifying status change per issue inside the window, with days since the issue was created."""
+def cycle_time_issues(history: DataFrame, filt: DataFrame, start: str, end: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Newest qualifying status change per issue inside the window, with days since the issue was created.
+
+    With ``carry``, per issue and value of those columns of the filter; see ``array_filter_join``.
+    """
     changed = F.col("issue_updated").cast("date")
     status_changes = history.filter(
         F.lower("issue_changelog_itemsfield").isin("status", "epic status")
         & changed.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     ).withColumn("board_ids", F.transform("board_info", lambda b: b["board_id"].cast("string")))
-    matched = array_filter_join(status_changes, filt)
-    newest = latest_record(matched, ["issue_key"], [F.desc("issue_updated"), F.desc("change_id")])
+    matched = array_filter_join(status_changes, filt, carry=carry)
+    newest = latest_record(matched, [*carry, "issue_key"], [F.desc("issue_updated"), F.desc("change_id")])
     return newest.withColumn("cycle_days", F.datediff("issue_updated", "issue_created"))
 
 
@@ -107,6 +110,88 @@ def cycle_time(issues: DataFrame, grain: str, keys: Sequence[str] = KEYS) -> Dat
     )
 
 
+# ---- one scope for all metrics ----------------------------------------------------------------------------------------
+#
+# A scope is resolved once from the filter hierarchy into rules: which repositories, stages and statuses, and which ticket
+# projects, stand for which level. Facts are summed by the key that carries the scope first (repository and stage, or
+# project), so the rules meet a small relation and a fact that several levels list is not multiplied.
+
+
+def deploy_rules(flat: DataFrame, level: str = "level_3") -> DataFrame:
+    """kpi, level, repo, stage and the statuses that count as success, from flattened filters.
+
+    Stages and statuses are those that the level's configuration lists beside its repositories; without any, nothing counts.
+    """
+    listed = flat.select(
+        "kpi", F.col(level).alias("level"), F.explode("project_url").alias("_url"), "deployment_stages", F.col("pipeline_status_success").alias("_ok")
+    )
+    stages = listed.select("kpi", "level", git_url_key("_url").alias("repo"), F.explode("deployment_stages").alias("stage"), "_ok")
+    return stages.groupBy("kpi", "level", "repo", "stage").agg(F.array_distinct(F.flatten(F.collect_list("_ok"))).alias("success"))
+
+
+def ticket_rules(flat: DataFrame, kpis: Sequence[str], level: str = "level_3") -> DataFrame:
+    """level and project of the tickets, with one flag for each metric id."""
+    listed = flat.filter(F.col("kpi").isin(list(kpis))).select("kpi", F.col(level).alias("level"), F.explode("project_name").alias("issue_project"))
+    return listed.groupBy("level", "issue_project").agg(*[F.max(F.col("kpi") == k).alias(k) for k in kpis])
+
+
+SCOPE_KEY = ("repo", "stage", "pipeline_status", "team", "period")
+
+
+def of_scope(deploys: DataFrame, grain: str) -> DataFrame:
+    """Deploys with the columns that the scope is carried by."""
+    return deploys.withColumns({"repo": git_url_key("project_url"), "stage": F.col("step_name"), "period": period_start("pipeline_started_at", grain)})
+
+
+def frequency_in_scope(deploys: DataFrame, rules: DataFrame, kpi: str, grain: str, failed: Sequence[str] = ("failed",)) -> DataFrame:
+    """Successful and failed deploys per level, team and period, by the level's own stages and statuses."""
+    counts = of_scope(deploys, grain).groupBy(*SCOPE_KEY).agg(F.count("*").alias("n"))
+    judged = counts.join(rules.filter(F.col("kpi") == kpi), ["repo", "stage"])
+    good = F.array_contains("success", F.col("pipeline_status"))
+    bad = F.col("pipeline_status").isin(list(failed)) & ~good
+    return judged.filter(good | bad).groupBy(*KEYS, "period").agg(
+        F.sum(F.when(good, F.col("n")).otherwise(0)).alias("success_deployments"), F.sum(F.when(bad, F.col("n")).otherwise(0)).alias("failed_deployments")
+    )
+
+
+def lead_time_in_scope(deploys: DataFrame, commits: DataFrame, rules: DataFrame, kpi: str, grain: str) -> DataFrame:
+    """Commit to deploy, in days, per level, team and period, over the commits that the level's successful deploys shipped."""
+    shipped = of_scope(deploys.filter(F.col("pipeline_commit_sha").isNotNull()), grain)
+    joined = shipped.join(commits.select("to_sha", "committed_date"), F.col("pipeline_commit_sha") == F.col("to_sha"))
+    counts = joined.groupBy(*SCOPE_KEY).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("committed_date") > F.col("pipeline_started_at")).alias("late"),
+        F.sum(F.datediff("pipeline_started_at", "committed_date")).alias("days"),
+    )
+    judged = counts.join(rules.filter(F.col("kpi") == kpi), ["repo", "stage"]).filter(F.array_contains("success", F.col("pipeline_status")))
+    return judged.groupBy(*KEYS, "period").agg(
+        F.sum("n").alias("commits_count"), F.sum("late").alias("commits_after_deploy"), F.sum("days").alias("total_ltfc")
+    )
+
+
+def tickets_in_scope(incidents: DataFrame, rules: DataFrame, cfr: str | None, mttr: str | None, grain: str) -> DataFrame:
+    """Changes, failed changes, incidents and their time to restore per level, team and period, from one pass.
+
+    ``cfr`` and ``mttr`` are the metric ids whose projects count; a metric without one is left out.
+    """
+    resolved, incident = F.col("issue_resolution_date").isNotNull(), F.col("mttr_issue_key").isNotNull()
+    spent = seconds_between("issue_created", "issue_resolution_date")
+    sums = incidents.groupBy("issue_project", "team", period_start("issue_created", grain).alias("period")).agg(
+        F.count_if(resolved).alias("_changes"),
+        F.count(F.when(resolved, F.col("cfr_total_changes_key"))).alias("cfr_total_changes"),
+        F.count(F.when(resolved, F.col("cfr_total_failures_key"))).alias("cfr_total_failures"),
+        F.count_if(incident).alias("total_incidents"),
+        F.count(F.when(incident, F.col("issue_resolution_date"))).alias("resolved_incidents"),
+        F.sum(F.when(incident, spent)).alias("total_mttr_seconds"),
+    )
+    judged = sums.join(rules, "issue_project")
+    wanted = {cfr: ("_changes", "cfr_total_changes", "cfr_total_failures"), mttr: ("total_incidents", "resolved_incidents", "total_mttr_seconds")}
+    wanted.pop(None, None)
+    present = any_of([F.col(kpi) & (F.col(columns[0]) > 0) for kpi, columns in wanted.items()])
+    measures = [F.sum(F.when(F.col(kpi), F.col(c))).alias(c) for kpi, columns in wanted.items() for c in columns if c != "_changes"]
+    return judged.filter(present).groupBy(*KEYS, "period").agg(*measures)
+
+
 def combine(parts: Sequence[DataFrame], keys: Sequence[str] = KEYS) -> DataFrame:
     """The metrics side by side: one row per key and period that any of them has. Missing measures are 0.
 

@@ -110,6 +110,7 @@ def array_filter_join(
     boards: str = "board_ids",
     status: str = "issue_status",
     issue_type: str = "issue_type",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Fact rows that satisfy at least one filter row, where a NULL array means "no restriction".
 
@@ -118,6 +119,9 @@ def array_filter_join(
     nothing. The fact is never joined on those OR
     conditions: its distinct (project, boards, status, type) combinations are matched through equi keys, and the fact is
     then semi-joined to the combinations that passed.
+
+    With ``carry``, columns of the filter rows such as their level take the place of the fact's: a fact row comes once for each
+    of their values that lists it.
     """
     shape = fact.select(
         F.col(project).alias("_p"), F.col(boards).alias("_b"), F.col(status).alias("_s"), F.col(issue_type).alias("_t")
@@ -130,7 +134,7 @@ def array_filter_join(
         .filter(F.col("_p").isNotNull() | F.col("_b").isNotNull())
         .withColumn("_s", F.explode("issue_status"))
         .withColumn("_t", F.explode_outer("include_issue_types"))
-        .select("_p", "_b", "_s", "_t")
+        .select("_p", "_b", "_s", "_t", *carry)
         .distinct()
     )
     null = F.lit(None).cast("string")
@@ -145,17 +149,19 @@ def array_filter_join(
         & candidates["_fb"].eqNullSafe(wanted["_b"])
         & (candidates["_s"] == wanted["_s"])
         & candidates["_ft"].eqNullSafe(wanted["_t"]),
-        "left_semi",
+        "inner" if carry else "left_semi",
     )
-    passed = passed.select("_p", "_b", "_s", "_t").distinct()
-    return fact.join(
+    passed = passed.select(*[candidates[c] for c in ("_p", "_b", "_s", "_t")], *[wanted[c] for c in carry]).distinct()
+    fact = fact.drop(*carry)
+    joined = fact.join(
         passed,
         fact[project].eqNullSafe(passed["_p"])
         & fact[boards].eqNullSafe(passed["_b"])
         & (fact[status] == passed["_s"])
         & fact[issue_type].eqNullSafe(passed["_t"]),
-        "left_semi",
+        "inner" if carry else "left_semi",
     )
+    return joined.drop("_p", "_b", "_s", "_t") if carry else joined
 
 
 def url_semi_join(fact: DataFrame, urls: DataFrame, fact_url: str = "project_url", url: str = "project_url") -> DataFrame:

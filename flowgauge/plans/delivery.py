@@ -9,7 +9,7 @@ from flowgauge.functions.columns import ratio, year_month
 from flowgauge.operators import delivery as dl
 from flowgauge.operators import filters as fl
 from flowgauge.plans.registry import query, rnd, secs
-from flowgauge.plans.scope import CTFC_MATCH, ctfc_filters, rows
+from flowgauge.plans.scope import CTFC_MATCH, CTFC_ROW, ctfc_filters, flat
 
 WINDOW = ("1996-01-01", "2000-12-31")
 
@@ -37,19 +37,19 @@ def trunc(grain, c):
 # ---- single metrics ------------------------------------------------------------------------------------------------
 
 
-def deploys_in_scope(t):
-    """Deploys of the repositories that the filter hierarchy lists for one region, whatever the URL spelling."""
-    urls = fl.scope_values(rows(t), "project_url", "kpi-df", level_1="ASIA")
-    return fl.url_semi_join(t.deploys, urls)
+def scope(t, **levels):
+    """The flattened filters that delivery metrics are scoped by, of the whole hierarchy or a part of it."""
+    rows_ = flat(t, "project_url", "project_name", "deployment_stages", "pipeline_status_success", "issue_status", "include_issue_types", "board_ids")
+    return rows_.filter(fl.in_scope(None, **levels))
 
 
-DEPLOY_SCOPE = r"""regexp_replace(project_url, '\.git$', '') IN (SELECT regexp_replace(u, '\.git$', '') FROM
-  (SELECT unnest(project_url) AS u FROM flat WHERE kpi = 'kpi-df' AND level_1 = 'ASIA'))"""
+TICKETS = ("kpi-cfr", "kpi-mttr")
 
 
 def monthly_frequency(t):
     """Flagship: monthly deployment frequency with its maturity band, for one region of the filter hierarchy."""
-    sums = dl.deployment_frequency(deploys_in_scope(t), "month", keys=("level",))
+    sums = dl.frequency_in_scope(t.deploys, dl.deploy_rules(scope(t, level_1="ASIA")), "kpi-df", "month")
+    sums = sums.groupBy("level", "period").agg(*[F.sum(c).alias(c) for c in ("success_deployments", "failed_deployments")])
     total = F.col("success_deployments") + F.col("failed_deployments")
     return sums.select(
         "level",
@@ -62,22 +62,37 @@ def monthly_frequency(t):
     )
 
 
-query("deployment_frequency_monthly", "D1 D6", "flat deploys", f"""
+REPO = r"regexp_replace(d.project_url, '\.git$', '')"
+
+
+def scoped_deploys_sql(kpi, where="true"):
+    """Deploys with the level that lists their repository and stage, and whether the level calls their status a success."""
+    return f"""(SELECT r.level, d.team, d.pipeline_started_at, d.pipeline_commit_sha, d.pipeline_status, list_contains(r.ok, d.pipeline_status) AS good
+      FROM deploys d JOIN (SELECT level, repo, stage, list(status) AS ok FROM deploy_rules WHERE kpi = '{kpi}' AND level IN (SELECT level_3 FROM flat WHERE {where}) GROUP BY ALL) r
+      ON {REPO} = r.repo AND d.step_name = r.stage)"""
+
+
+query("deployment_frequency_monthly", "D1 D6", "flat deploy_rules deploys", f"""
 SELECT level, {YM.format('p')} AS year_month, {MONTH_NAME.format('p')} AS month_name, success_deployments, failed_deployments,
   success_deployments + failed_deployments AS total_deployments, {band_sql('df', '(success_deployments + failed_deployments)')} AS df_flag
-FROM (SELECT level, date_trunc('month', pipeline_started_at) AS p, count(*) FILTER (pipeline_status = 'success') AS success_deployments,
-    count(*) FILTER (pipeline_status = 'failed') AS failed_deployments FROM deploys
-  WHERE step_name = 'deploy' AND pipeline_status IN ('success', 'failed') AND {DEPLOY_SCOPE} GROUP BY level, p)""")(monthly_frequency)
+FROM (SELECT level, date_trunc('month', pipeline_started_at) AS p, count(*) FILTER (good) AS success_deployments,
+    count(*) FILTER (NOT good) AS failed_deployments FROM {scoped_deploys_sql('kpi-df', "level_1 = 'ASIA'")}
+  WHERE good OR pipeline_status = 'failed' GROUP BY level, p)""")(monthly_frequency)
 
 
-@query("lead_time_monthly", "D2 D6", "deploys deploy_commits", f"""
+def per_level(sums):
+    measures = [c for c in sums.columns if c not in ("level", "team", "period")]
+    return sums.groupBy("level", "period").agg(*[F.sum(c).alias(c) for c in measures])
+
+
+@query("lead_time_monthly", "D2 D6", "flat deploy_rules deploys deploy_commits", f"""
 SELECT level, {YM.format('p')} AS year_month, n AS commits_count, late AS commits_after_deploy, total AS total_ltfc, {rnd('total * 1.0 / n')} AS average_ltfc,
   {band_sql('ltfc', rnd('total * 1.0 / n'))} AS ltfc_flag
 FROM (SELECT level, date_trunc('month', pipeline_started_at) AS p, count(*) AS n, count(*) FILTER (committed_date > pipeline_started_at) AS late,
     CAST(sum(date_diff('day', committed_date, pipeline_started_at)) AS BIGINT) AS total
-  FROM deploys JOIN deploy_commits ON pipeline_commit_sha = to_sha GROUP BY level, p)""")
+  FROM {scoped_deploys_sql('kpi-ltfc')} JOIN deploy_commits ON pipeline_commit_sha = to_sha WHERE good GROUP BY level, p)""")
 def _(t):
-    sums = dl.lead_time(t.deploys, t.deploy_commits, "month", keys=("level",))
+    sums = per_level(dl.lead_time_in_scope(t.deploys, t.deploy_commits, dl.deploy_rules(scope(t)), "kpi-ltfc", "month"))
     average = F.round(ratio(F.col("total_ltfc"), F.col("commits_count")), 2)
     return sums.select(
         "level", year_month("period").alias("year_month"), "commits_count", "commits_after_deploy", "total_ltfc", average.alias("average_ltfc"),
@@ -85,13 +100,18 @@ def _(t):
     )
 
 
-@query("change_failure_rate_monthly", "D3 D6", "incidents", f"""
+def scoped_tickets_sql(kpi):
+    """Tickets with the level that lists their project; ``level`` of the ticket itself plays no part."""
+    return f"(SELECT r.level, i.* EXCLUDE (level) FROM incidents i JOIN ticket_rules r ON r.project = i.issue_project AND r.kpi = '{kpi}')"
+
+
+@query("change_failure_rate_monthly", "D3 D6", "flat ticket_rules incidents", f"""
 SELECT level, {YM.format('p')} AS year_month, n AS cfr_total_changes, f AS cfr_total_failures,
   {rnd('CASE WHEN n > 0 THEN f * 100.0 / n ELSE 0 END')} AS cfr_value, {band_sql('cfr', rnd('CASE WHEN n > 0 THEN f * 100.0 / n ELSE 0 END'))} AS cfr_flag
 FROM (SELECT level, date_trunc('month', issue_created) AS p, count(cfr_total_changes_key) AS n, count(cfr_total_failures_key) AS f
-  FROM incidents WHERE issue_resolution_date IS NOT NULL GROUP BY level, p)""")
+  FROM {scoped_tickets_sql('kpi-cfr')} WHERE issue_resolution_date IS NOT NULL GROUP BY level, p)""")
 def _(t):
-    sums = dl.change_failures(t.incidents, "month", keys=("level",))
+    sums = per_level(dl.tickets_in_scope(t.incidents, dl.ticket_rules(scope(t), TICKETS), "kpi-cfr", None, "month"))
     rate = F.round(F.coalesce(ratio(F.col("cfr_total_failures"), F.col("cfr_total_changes"), 100), F.lit(0.0)), 2)
     return sums.select(
         "level", year_month("period").alias("year_month"), "cfr_total_changes", "cfr_total_failures", rate.alias("cfr_value"),
@@ -102,13 +122,13 @@ def _(t):
 MTTR_AVG = rnd("s / (r * 3600.0)")
 
 
-@query("time_to_restore_monthly", "D4 D6", "incidents", f"""
+@query("time_to_restore_monthly", "D4 D6", "flat ticket_rules incidents", f"""
 SELECT level, {YM.format('p')} AS year_month, n AS total_incidents, r AS resolved_incidents,
   CASE WHEN r > 0 THEN {MTTR_AVG} END AS avg_mttr, {band_sql('mttr', f'(CASE WHEN r > 0 THEN {MTTR_AVG} END)')} AS mttr_flag
 FROM (SELECT level, date_trunc('month', issue_created) AS p, count(*) AS n, count(issue_resolution_date) AS r,
-    sum({secs('issue_created', 'issue_resolution_date')}) AS s FROM incidents WHERE mttr_issue_key IS NOT NULL GROUP BY level, p)""")
+    sum({secs('issue_created', 'issue_resolution_date')}) AS s FROM {scoped_tickets_sql('kpi-mttr')} WHERE mttr_issue_key IS NOT NULL GROUP BY level, p)""")
 def _(t):
-    sums = dl.restore_times(t.incidents, "month", keys=("level",))
+    sums = per_level(dl.tickets_in_scope(t.incidents, dl.ticket_rules(scope(t), TICKETS), None, "kpi-mttr", "month"))
     average = F.round(ratio(F.col("total_mttr_seconds"), F.col("resolved_incidents") * 3600), 2)
     return sums.select(
         "level", year_month("period").alias("year_month"), "total_incidents", "resolved_incidents", average.alias("avg_mttr"),
@@ -122,10 +142,22 @@ CYCLE = f"""SELECT * FROM (SELECT *, date_diff('day', issue_created, issue_updat
     AND CAST(issue_updated AS DATE) BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}' AND {CTFC_MATCH}) WHERE rn = 1"""
 
 
+# The same per level of the hierarchy that lists an issue.
+CYCLE_BY_LEVEL = f"""SELECT * FROM (SELECT f.level_3 AS level, s.team, s.issue_updated, date_diff('day', issue_created, issue_updated) AS cycle_days,
+    row_number() OVER (PARTITION BY f.level_3, s.issue_key ORDER BY issue_updated DESC, change_id DESC) AS rn
+  FROM issue_history s JOIN flat f ON {CTFC_ROW}
+  WHERE lower(issue_changelog_itemsfield) IN ('status', 'epic status') AND CAST(issue_updated AS DATE) BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}') WHERE rn = 1"""
+
+
 def cycle_issues(t):
     return dl.cycle_time_issues(t.issue_history, ctfc_filters(t), *WINDOW)
 
 
+def cycle_issues_by_level(t):
+    listed = scope(t).filter(fl.in_scope("kpi-ctfc")).withColumn("level", F.col("level_3"))
+    return dl.cycle_time_issues(t.issue_history, listed, *WINDOW, carry=["level"])
+
+
 @query("cycle_time_per_issue", "D5", "flat issue_history", f"""
 SELECT issue_key, issue_status, CAST(issue_updated AS DATE) AS updated, CAST(cycle_days AS INTEGER) AS cycle_days FROM ({CYCLE})""")
 def _(t):
@@ -135,9 +167,9 @@ def _(t):
 @query("cycle_time_monthly", "D5 D6", "flat issue_history", f"""
 SELECT level, {YM.format('p')} AS year_month, n AS ctfc_count_issues, {rnd('d * 1.0 / n')} AS ctfc_value,
   {band_sql('ltfc', rnd('d * 1.0 / n'))} AS ctfc_flag FROM (SELECT level, date_trunc('month', issue_updated) AS p, count(*) AS n,
-  sum(cycle_days) AS d FROM ({CYCLE}) GROUP BY level, p)""")
+  sum(cycle_days) AS d FROM ({CYCLE_BY_LEVEL}) GROUP BY level, p)""")
 def _(t):
-    sums = dl.cycle_time(cycle_issues(t), "month", keys=("level",))
+    sums = dl.cycle_time(cycle_issues_by_level(t), "month", keys=("level",))
     value = F.round(ratio(F.col("total_ctfc"), F.col("ctfc_count_issues")), 2)
     return sums.select(
         "level", year_month("period").alias("year_month"), "ctfc_count_issues", value.alias("ctfc_value"),
@@ -148,24 +180,32 @@ def _(t):
 # ---- scorecards ----------------------------------------------------------------------------------------------------
 
 
-PARTS = {
-    "df": lambda t, grain: dl.deployment_frequency(t.deploys, grain),
-    "ltfc": lambda t, grain: dl.lead_time(t.deploys, t.deploy_commits, grain).drop("commits_after_deploy"),
-    "cfr": lambda t, grain: dl.change_failures(t.incidents, grain),
-    "mttr": lambda t, grain: dl.restore_times(t.incidents, grain),
-    "ctfc": lambda t, grain: dl.cycle_time(cycle_issues(t), grain),
-}
+METRICS = ("df", "ltfc", "cfr", "mttr", "ctfc")
+
+
+def parts(t, grain, metrics):
+    """The additive measures of the metrics, all of them for the population that the hierarchy gives each level."""
+    flat_ = scope(t)
+    if "df" in metrics:
+        yield dl.frequency_in_scope(t.deploys, dl.deploy_rules(flat_), "kpi-df", grain)
+    if "ltfc" in metrics:
+        yield dl.lead_time_in_scope(t.deploys, t.deploy_commits, dl.deploy_rules(flat_), "kpi-ltfc", grain).drop("commits_after_deploy")
+    wanted = [k if k.removeprefix("kpi-") in metrics else None for k in TICKETS]
+    if any(wanted):
+        yield dl.tickets_in_scope(t.incidents, dl.ticket_rules(flat_, TICKETS), *wanted, grain)
+    if "ctfc" in metrics:
+        yield dl.cycle_time(cycle_issues_by_level(t), grain)
 
 
-def sums(t, grain, metrics=tuple(PARTS), window=None):
-    per_team = dl.combine([PARTS[m](t, grain) for m in metrics])
+def sums(t, grain, metrics=METRICS, window=None):
+    per_team = dl.combine(list(parts(t, grain, metrics)))
     if window:
         # The period is a grouping key, so Catalyst moves this filter below the aggregates and joins to the scans.
         per_team = per_team.filter(F.col("period").between(F.lit(window[0]).cast("date"), F.lit(window[1]).cast("date")))
     return dl.with_sublevels(per_team)
 
 
-SCORE_USES = "flat deploys deploy_commits incidents issue_history"
+SCORE_USES = "flat deploy_rules ticket_rules deploys deploy_commits incidents issue_history"
 
 
 def sums_sql(grain):
@@ -180,17 +220,16 @@ def sums_sql(grain):
         return f"SELECT level, team, {trunc(grain, period)} AS period, {picked} FROM {source}"
 
     arms = [
-        arm("pipeline_started_at", "deploys WHERE step_name = 'deploy' AND pipeline_status IN ('success', 'failed')",
-            success_deployments="CASE WHEN pipeline_status = 'success' THEN 1 ELSE 0 END",
-            failed_deployments="CASE WHEN pipeline_status = 'failed' THEN 1 ELSE 0 END"),
-        arm("pipeline_started_at", "deploys JOIN deploy_commits ON pipeline_commit_sha = to_sha",
+        arm("pipeline_started_at", f"{scoped_deploys_sql('kpi-df')} WHERE good OR pipeline_status = 'failed'",
+            success_deployments="CASE WHEN good THEN 1 ELSE 0 END", failed_deployments="CASE WHEN good THEN 0 ELSE 1 END"),
+        arm("pipeline_started_at", f"{scoped_deploys_sql('kpi-ltfc')} JOIN deploy_commits ON pipeline_commit_sha = to_sha WHERE good",
             commits_count="1", total_ltfc="date_diff('day', committed_date, pipeline_started_at)"),
-        arm("issue_created", "incidents WHERE issue_resolution_date IS NOT NULL", cfr_total_changes="1",
+        arm("issue_created", f"{scoped_tickets_sql('kpi-cfr')} WHERE issue_resolution_date IS NOT NULL", cfr_total_changes="1",
             cfr_total_failures="CASE WHEN cfr_total_failures_key IS NULL THEN 0 ELSE 1 END"),
-        arm("issue_created", "incidents WHERE mttr_issue_key IS NOT NULL", total_incidents="1",
+        arm("issue_created", f"{scoped_tickets_sql('kpi-mttr')} WHERE mttr_issue_key IS NOT NULL", total_incidents="1",
             resolved_incidents="CASE WHEN issue_resolution_date IS NULL THEN 0 ELSE 1 END",
             total_mttr_seconds=f"coalesce({secs('issue_created', 'issue_resolution_date')}, 0)"),
-        arm("issue_updated", f"({CYCLE})", ctfc_count_issues="1", total_ctfc="cycle_days"),
+        arm("issue_updated", f"({CYCLE_BY_LEVEL})", ctfc_count_issues="1", total_ctfc="cycle_days"),
     ]
     agg = ", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in zero)
     return f"""SELECT level, team AS sub_level, grouping(team) = 1 AS is_total, period, {agg} FROM ({' UNION ALL '.join(arms)})
@@ -213,7 +252,7 @@ def score_sql(grain):
 query("scorecard_monthly", "D7 D11", SCORE_USES, score_sql("month"))(lambda t: dl.monthly_scorecard(sums(t, "month")))
 query("scorecard_weekly", "D8 D11", SCORE_USES, score_sql("week"))(lambda t: dl.weekly_scorecard(sums(t, "week")))
 
-FIRST_COUNT = {m: dl.METRIC_COLUMNS[m][0] for m in PARTS} | {"df": "success_deployments + failed_deployments"}
+FIRST_COUNT = {m: dl.METRIC_COLUMNS[m][0] for m in METRICS} | {"df": "success_deployments + failed_deployments"}
 
 for grain, label, card in (("month", "month_name", dl.monthly_scorecard), ("week", "week_name", dl.weekly_scorecard)):
     for metric, columns in dl.METRIC_COLUMNS.items():

@@ -41,7 +41,15 @@ FLAT = (
     " ON g.filter_group_id = v.filter_group_id WHERE g.active"
     " GROUP BY g.filter_group_id, level_1, level_2, level_3, level_4, level_5, tool_type, kpi"
 )
-CTES: dict[str, tuple[tuple[str, ...], str]] = {"flat": (("filter_groups", "filter_values"), FLAT)}
+# The scope of delivery metrics: repositories with stages and statuses, and projects, by level.
+DEPLOY_RULES = r"""SELECT DISTINCT kpi, level_3 AS level, regexp_replace(u, '\.git$', '') AS repo, s AS stage, st AS status
+  FROM flat, unnest(project_url) a(u), unnest(deployment_stages) b(s), unnest(pipeline_status_success) c(st)"""
+TICKET_RULES = "SELECT DISTINCT kpi, level_3 AS level, p AS project FROM flat, unnest(project_name) a(p)"
+CTES: dict[str, tuple[tuple[str, ...], str]] = {
+    "flat": (("filter_groups", "filter_values"), FLAT),
+    "deploy_rules": (("flat",), DEPLOY_RULES),
+    "ticket_rules": (("flat",), TICKET_RULES),
+}
 
 
 def with_frames(uses: str, body: str) -> str:

@@ -88,12 +88,14 @@ def _(t):
     return fl.strict_join(level_fact(t), filt).groupBy("tool", "level_name").agg(F.count("*").alias("n_rows"))
 
 
-CTFC_MATCH = """EXISTS (SELECT 1 FROM flat f WHERE f.kpi = 'kpi-ctfc'
+# Whether one filter row lists an issue, and whether any does.
+CTFC_ROW = """(f.kpi = 'kpi-ctfc'
     AND (f.project_name IS NULL OR list_contains(f.project_name, s.issue_project))
     AND (f.board_ids IS NULL OR len(list_intersect(f.board_ids, list_transform(s.board_info, lambda b: CAST(b.board_id AS VARCHAR)))) > 0)
     AND (f.board_ids IS NOT NULL OR f.project_name IS NOT NULL) AND f.issue_status IS NOT NULL
     AND list_contains(f.issue_status, s.issue_status)
     AND (f.include_issue_types IS NULL OR list_contains(f.include_issue_types, s.issue_type)))"""
+CTFC_MATCH = f"EXISTS (SELECT 1 FROM flat f WHERE {CTFC_ROW})"
 
 
 def ctfc_filters(t):

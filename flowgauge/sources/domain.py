@@ -127,9 +127,9 @@ def _(d):
     rows = [
         # filter name, tool type, values, metric ids, which nations have the row
         ("project_url", "'github'", d.arr(url), ("df", "ltfc", "commits", "tests"), "1 = 1"),
-        ("deployment_stages", "'github'", d.arr("'deploy'", "'release'"), ("df", "ltfc"), "1 = 1"),
+        ("deployment_stages", "'github'", d.arr("'release'", f"CASE WHEN {n} % 6 = 2 THEN 'build' ELSE 'deploy' END"), ("df", "ltfc"), "1 = 1"),
         ("pipeline_status_success", "'github'", d.arr("'success'"), ("df", "ltfc"), "1 = 1"),
-        ("project_name", "'jira'", d.arr(f"concat('P', {n} % 10)"), ("ctfc", "cfr"), f"{n} % 4 <> 3"),
+        ("project_name", "'jira'", d.arr(f"concat('P', {n} % 10)"), ("ctfc", "cfr", "mttr"), f"{n} % 4 <> 3"),
         ("issue_status", "'jira'", d.arr("'Done'", "'Completed'"), ("ctfc",), f"{n} % 8 <> 5"),
         ("include_issue_types", "'jira'", d.arr("'Story'", "'Bug'"), ("ctfc",), f"{n} % 3 = 0"),
         ("board_ids", "'jira'", d.arr(f"cast({n} % 6 AS string)", f"cast({n} % 6 + 6 AS string)"), ("ctfc",), f"{n} % 2 = 0"),
