@@ -88,16 +88,6 @@ def lookup(c: str | Column, mapping: Mapping[str, str], default: str | None = No
     return out
 
 
-def key_hash(*cols: str | Column) -> Column:
-    """Stable non-negative 32-bit integer of the key columns (first 8 hex digits of their md5)."""
-    text = F.concat_ws("|", *[col(c).cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-
-
-def unit_hash(*cols: str | Column) -> Column:
-    """Stable value in [0, 1) of the key columns."""
-    return key_hash(*cols) / F.lit(4294967296.0)
-
 
 def short_id(length: int, *cols: str | Column) -> Column:
     """Stable short id from key parts: a prefix of their sha1."""

@@ -244,15 +244,18 @@ def weekly_matrix(usage: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 
 def integration_rate(commits: DataFrame) -> DataFrame:
-    """Per tool: distinct AI-tagged commits and their percent of all distinct commits."""
-    total = commits.select(F.count_distinct("commit_id").alias("n")).scalar()
-    n = F.count_distinct("commit_id")
-    return (
-        commits.select("commit_id", F.explode("ai_tool").alias("tool"))
-        .groupBy("tool")
-        .agg(n.alias("tagged_commits"))
-        .select("tool", "tagged_commits", F.round(ratio(F.col("tagged_commits"), total, 100), 2).alias("integration_percent"))
-    )
+    """Per tool: distinct AI-tagged commits and their percent of all distinct commits.
+
+    One pass over distinct (commit, tool): every commit also stands once without a tool, and those rows are the total.
+    """
+    tools = F.concat(F.array(F.struct(F.lit(True).alias("all"), F.lit(None).cast("string").alias("tool"))), F.transform(
+        F.coalesce("ai_tool", F.array().cast("array<string>")), lambda x: F.struct(F.lit(False).alias("all"), x.alias("tool"))
+    ))
+    counted = commits.filter(F.col("commit_id").isNotNull()).select("commit_id", F.inline(tools)).distinct().groupBy("all", "tool").agg(F.count("*").alias("tagged_commits"))
+    # A row per tool is left: the total is handed to them.
+    total = F.max(F.when(F.col("all"), F.col("tagged_commits"))).over(Window.partitionBy(F.lit(0)))
+    rated = counted.withColumn("integration_percent", F.round(ratio(F.col("tagged_commits"), total, 100), 2))
+    return rated.filter(~F.col("all")).select("tool", "tagged_commits", "integration_percent")
 
 
 def tool_velocity(commits: DataFrame) -> DataFrame:

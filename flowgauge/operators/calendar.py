@@ -1,4 +1,4 @@
-"""Calendars, event windows, trends, deterministic noise, and a synthetic activity fact."""
+"""Calendars and event windows."""
 
 from __future__ import annotations
 
@@ -7,18 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowgauge.functions.columns import col, is_weekday, key_hash, unit_hash, year_month
+from flowgauge.functions.columns import col, is_weekday, year_month
 
 
 def day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
-def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """Every day from start to end, both included."""
-    return spark.range(1).select(F.explode(F.sequence(day(start), day(end))).alias("day"))
-
-
 def spine_of(df: DataFrame, at: str, step: str = "INTERVAL 1 DAY", alias: str = "day") -> DataFrame:
     """Every day (or week, month) between the first and the last date of a relation."""
     lo, hi = F.min(F.to_date(at)), F.max(F.to_date(at))

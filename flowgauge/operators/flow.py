@@ -31,43 +31,33 @@ def build_flow_fact(commits: DataFrame, prs: DataFrame, steps: DataFrame, issues
     return stacked(commits, prs, steps).join(context, "ticket_key", "left")
 
 
-def issue_stream(fact: DataFrame, key: str) -> DataFrame:
-    """Timeline of one issue: commits, pull requests and steps in one shape, newest first."""
-    base = fact.filter(F.col("ticket_key") == key)
-    text = F.lit(None).cast("string")
-    shared = [F.col("org_name"), F.col("project_name")]
-    commits = base.filter(F.col("commit_id").isNotNull()).select(
-        F.lit("commit").alias("data_type"),
-        F.col("commit_id").alias("id"),
-        F.col("commit_timestamp").alias("at"),
-        F.col("commit_author").alias("author"),
-        F.col("commit_title").alias("title"),
-        flag("copilot_commit_flag").alias("ai_assisted"),
-        F.col("commit_lines_added").alias("lines_added"),
-        text.alias("step_conclusion"),
-        text.alias("step_type"),
-        *shared,
-    )
-    prs = base.filter(F.col("pr_id").isNotNull()).select(
-        F.lit("pr").alias("data_type"),
-        F.col("pr_id").alias("id"),
-        F.col("pr_created_datetime").alias("at"),
-        F.col("pr_user_name").alias("author"),
-        F.col("pr_title").alias("title"),
-        F.col("pr_state").alias("step_type"),
-        *shared,
-    )
-    steps = base.filter(F.col("pipeline_id").isNotNull() & F.col("pipeline_step_name").isNotNull()).select(
-        F.col("pipeline_step_type").alias("data_type"),
-        F.col("pipeline_id").alias("id"),
-        F.col("pipeline_started_at").alias("at"),
-        F.col("pipeline_step_name").alias("title"),
-        F.col("pipeline_step_conclusion").alias("step_conclusion"),
-        F.col("pipeline_step_type").alias("step_type"),
-        *shared,
-    )
-    rows = commits.unionByName(prs, allowMissingColumns=True).unionByName(steps, allowMissingColumns=True)
-    return rows.orderBy(F.desc("at"), "data_type", "id")
+# Where each kind of event keeps what a timeline shows. Columns that a kind does not have stay NULL.
+TIMELINE: Mapping[str, Mapping[str, str]] = {
+    "commit": {
+        "id": "commit_id", "at": "commit_timestamp", "author": "commit_author", "title": "commit_title", "lines_added": "commit_lines_added",
+        "lines_removed": "commit_lines_removed", "lines_modified": "commit_lines_modified",
+    },
+    "pr": {"id": "pr_id", "at": "pr_created_datetime", "author": "pr_user_name", "title": "pr_title", "step_type": "pr_state"},
+    "step": {"id": "pipeline_id", "at": "pipeline_started_at", "title": "pipeline_step_name", "step_conclusion": "pipeline_step_conclusion", "step_type": "pipeline_step_type"},
+}
+
+
+def issue_stream(commits: DataFrame, prs: DataFrame, steps: DataFrame, issues: DataFrame, key: str) -> DataFrame:
+    """Timeline of one issue: commits, pull requests and named steps in one shape, newest first.
+
+    Every source is cut to the issue before anything is stacked or joined, so the filter reaches each scan; a step is
+    listed under its own type.
+    """
+    out = None
+    for (kind, places), source in zip(TIMELINE.items(), (commits, prs, steps), strict=True):
+        mine = source.filter((F.col("ticket_key") == key) & F.col(places["id"]).isNotNull() & (F.lit(kind != "step") | F.col(places["title"]).isNotNull()))
+        label = F.col("pipeline_step_type") if kind == "step" else F.lit(kind)
+        assisted = {"ai_assisted": flag("copilot_commit_flag")} if kind == "commit" else {}
+        columns = {"data_type": label} | {name: F.col(c) for name, c in places.items()} | assisted | {"org_name": F.col("org_name")}
+        shaped = mine.select(*[c.alias(name) for name, c in columns.items()])
+        out = shaped if out is None else out.unionByName(shaped, allowMissingColumns=True)
+    project = issues.filter(F.col("issue_key") == key).select(F.max("issue_project").alias("project_name"))  # one row, also without the issue
+    return out.join(project).orderBy(F.desc("at"), "data_type", "id")
 
 
 def top_issues(events: DataFrame, issues: DataFrame, k: int | None = None) -> DataFrame:

@@ -206,22 +206,21 @@ def test_rollup(runs: DataFrame, keys: Sequence[str] = ("repository",)) -> DataF
 
 
 def test_drilldown(runs: DataFrame, urls: DataFrame, tags: DataFrame, start: str, end: str) -> DataFrame:
-    """Distinct test rows whose repository is listed or whose tags match, per run.
+    """Distinct test rows whose repository is listed or whose tags match, per run. A NULL among the wanted tags means any.
 
-    The union of the two arms is one pass: each row is marked by either arm and kept if marked.
+    One pass: each row is marked by its repository or its tags and kept if marked.
     """
     inside = runs.filter(F.to_date("created_at").between(day(start), day(end)))
     by_url = urls.select(F.col("project_url").alias("_url")).filter(F.col("_url") != "").distinct().withColumn("_u", F.lit(True))
-    by_tag = matching_tag_arrays(inside, tags, "pipeline_tags", "X").withColumn("_t", F.lit(True))
+    any_tag = "\x00"  # no tag is spelled like this
+    wanted = tags.select(F.coalesce(F.col("pipeline_tags"), F.lit(any_tag)).alias("pipeline_tags"))
+    by_tag = matching_tag_arrays(inside, wanted, "pipeline_tags", any_tag).withColumn("_t", F.lit(True))
     marked = inside.join(by_url, inside["git_url"] == by_url["_url"], "left").join(
         by_tag, F.col("pipeline_tags").eqNullSafe(F.col("_tags")), "left"
     )
     kept = marked.filter(F.coalesce("_u", "_t", F.lit(False)))
-    columns = (
-        "pipeline_id", "step_id", "run_count", "test_name", "passed_tests", "errored_tests", "skipped_tests", "failed_tests",
-        "total_tests", "created_at", "pipeline_tags",
-    )
-    return kept.select(*columns).distinct().groupBy("pipeline_id", "step_id", "run_count").agg(F.count("*").alias("n"))
+    run = ("pipeline_id", "pipeline_name", "step_id", "step_name", "run_count")
+    return kept.select(*runs.columns).distinct().groupBy(*run).agg(F.count("*").alias("n"))
 
 
 def secret_summary(scans: DataFrame, issues: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from flowgauge.plans.scope import CTFC_MATCH, CTFC_ROW, ctfc_filters, flat
 WINDOW = ("1996-01-01", "2000-12-31")
 
 
+# The limits of the maturity bands.
 def band_sql(metric, v):
     steps = {
         "df": [(30, "elite"), (10, "high"), (3, "medium")],

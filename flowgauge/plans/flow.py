@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from flowgauge.operators import flow as fw
 from flowgauge.operators import release as rl
 from flowgauge.operators import telemetry as tm
-from flowgauge.operators.filters import STAGES
 from flowgauge.plans.registry import query, rnd, secs
 
 USES = "flow_commits flow_prs flow_steps issues"
@@ -24,23 +23,28 @@ def fact(t):
     return fw.build_flow_fact(t.flow_commits, t.flow_prs, t.flow_steps, t.issues)
 
 
-STREAM = f"""WITH base AS (SELECT * FROM {FACT} WHERE ticket_key = 'ISS-157')
-SELECT 'commit' AS data_type, commit_id AS id, commit_timestamp AS at, commit_author AS author, commit_title AS title,
-  coalesce(lower(copilot_commit_flag) IN ('y', 'true'), false) AS ai_assisted, commit_lines_added AS lines_added, NULL::VARCHAR AS step_conclusion,
-  NULL::VARCHAR AS step_type, org_name, project_name FROM base WHERE commit_id IS NOT NULL
-UNION ALL SELECT 'pr', pr_id, pr_created_datetime, pr_user_name, pr_title, NULL, NULL, NULL, pr_state, org_name, project_name FROM base WHERE pr_id IS NOT NULL
-UNION ALL SELECT pipeline_step_type, pipeline_id, pipeline_started_at, NULL, pipeline_step_name, NULL, NULL, pipeline_step_conclusion,
-  pipeline_step_type, org_name, project_name FROM base WHERE pipeline_id IS NOT NULL AND pipeline_step_name IS NOT NULL"""
-
-
-@query("issue_stream", "V1", USES, STREAM)
+@query("issue_stream", "V1", USES, """
+SELECT e.* EXCLUDE (ticket_key), (SELECT issue_project FROM issues WHERE issue_key = 'ISS-157') AS project_name FROM (
+  SELECT ticket_key, 'commit' AS data_type, commit_id AS id, commit_timestamp AS at, commit_author AS author, commit_title AS title,
+    copilot_commit_flag IS NOT NULL AS ai_assisted, commit_lines_added AS lines_added, commit_lines_removed AS lines_removed,
+    commit_lines_modified AS lines_modified, org_name FROM flow_commits
+  UNION ALL BY NAME
+  SELECT pipeline_step_type AS data_type, ticket_key, pipeline_started_at AS at, pipeline_id AS id, pipeline_step_name AS title, pipeline_step_type AS step_type,
+    pipeline_step_conclusion AS step_conclusion, org_name FROM flow_steps
+  UNION ALL BY NAME
+  SELECT ticket_key, org_name, 'pr' AS data_type, pr_title AS title, pr_user_name AS author, pr_state AS step_type, pr_id AS id, pr_created_datetime AS at FROM flow_prs) e
+WHERE ticket_key = 'ISS-157'""")
 def _(t):
-    return fw.issue_stream(fact(t), "ISS-157")
+    return fw.issue_stream(t.flow_commits, t.flow_prs, t.flow_steps, t.issues, "ISS-157")
 
 
-@query("top_issues_by_flow", "V2", USES, f"""
-SELECT ticket_key AS issue_key, max(jira_sprint) AS sprint, count(*) AS flow_refs, count(DISTINCT commit_id) AS commit_count, count(DISTINCT pr_id) AS pr_count
-FROM {FACT} WHERE ticket_key IS NOT NULL AND ticket_key <> '' GROUP BY ticket_key ORDER BY flow_refs DESC, ticket_key LIMIT 50""")
+@query("top_issues_by_flow", "V2", USES, """
+SELECT n.issue_key, s.sprint_name AS sprint, n.flow_refs, n.commit_count, n.pr_count FROM (
+  SELECT issue_key, CAST(sum(refs) AS BIGINT) AS flow_refs, CAST(sum(c) AS BIGINT) AS commit_count, CAST(sum(p) AS BIGINT) AS pr_count FROM (
+    FROM flow_commits SELECT ticket_key AS issue_key, count(*) AS refs, count(DISTINCT commit_id) AS c, 0 AS p GROUP BY ALL
+    UNION ALL FROM flow_prs SELECT ticket_key, count(*), 0, count(DISTINCT pr_id) GROUP BY ALL
+    UNION ALL FROM flow_steps SELECT ticket_key, count(*), 0, 0 GROUP BY ALL) GROUP BY issue_key) n
+LEFT JOIN issues s ON s.issue_key = n.issue_key ORDER BY n.flow_refs DESC, n.issue_key LIMIT 50""")
 def _(t):
     return fw.top_issues(events(t), t.issues, 50)
 
@@ -103,21 +107,24 @@ def _(t):
     return fw.recent_failures(t.deploys, "team", "2001-06-30", 400)
 
 
-def stage_sql(patterns):
-    return "bool_or(" + " OR ".join(f"lower({c}) LIKE '{p}'" for c in ("pipeline_step_type", "pipeline_step_name") for p in patterns) + ")"
+def word_sql(*words):
+    return "bool_or(regexp_matches(lower(concat_ws(' ', pipeline_step_type, pipeline_step_name)), '" + "|".join(words) + "'))"
 
 
-@query("stage_badges_by_issue", "V10", USES, f"""
-SELECT ticket_key, {', '.join(f'{stage_sql(p)} AS has_{s}' for s, p in STAGES.items())} FROM {FACT} WHERE pipeline_step_name IS NOT NULL GROUP BY ticket_key""")
+# The stages' words are spelled out here, so that a wrong pattern of the operator does not pass on both sides.
+@query("stage_badges_by_issue", "V10", "flow_steps", f"""
+SELECT ticket_key, {word_sql('review')} AS has_code_review, {word_sql('build', 'compile')} AS has_ci, {word_sql('security', 'scan')} AS has_security,
+  {word_sql('quality', 'sonar')} AS has_quality, {word_sql('test', 'qa')} AS has_qa, {word_sql('deploy')} AS has_deploy,
+  {word_sql('production', 'release')} AS has_production FROM flow_steps GROUP BY ticket_key""")
 def _(t):
-    return fw.stage_badges(fact(t))
+    return fw.stage_badges(t.flow_steps)
 
 
-@query("ai_assisted_commits", "V11", USES, f"""
+@query("ai_assisted_commits", "V11", USES, """
 SELECT org_name, count(DISTINCT commit_id) AS commits, count(DISTINCT CASE WHEN copilot_commit_flag IN ('Y', 'true') THEN commit_id END) AS ai_assisted_commits
-FROM {FACT} GROUP BY org_name""")
+FROM (SELECT * FROM flow_commits UNION ALL BY NAME SELECT * FROM flow_prs UNION ALL BY NAME SELECT * FROM flow_steps) GROUP BY org_name""")
 def _(t):
-    return fw.ai_assisted_commits(fact(t))
+    return fw.ai_assisted_commits(events(t))
 
 
 # ---- releases ------------------------------------------------------------------------------------------------------

@@ -180,8 +180,8 @@ def _(t):
     return t.orders.groupBy(cl.day_type("o_orderdate", HOLIDAYS, SHUTDOWNS).alias("day_type")).agg(F.count("*").alias("n"))
 
 
-WINDOWS = {"incident_week": (55, 51), "hotfix_week": (48, 46), "broad": (58, 46)}
-ANCHOR = "2000-05-10"
+WINDOWS = {"quarter_before": (92, 1), "three_days_around": (1, -1), "month_after": (-1, -30)}
+ANCHOR = "1997-09-16"
 
 
 def window_sql(c, w):

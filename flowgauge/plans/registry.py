@@ -32,7 +32,7 @@ QUERIES: dict[str, Query] = {}
 _LIST = "list_sort(list_distinct(flatten(list(filter_values) FILTER (filter_name = '{0}'))))"
 _FLAT_COLS = (
     "project_url", "project_name", "deployment_stages", "pipeline_status_success", "issue_status",
-    "include_issue_types", "board_ids", "org_name", "team_names", "pipeline_tags",
+    "include_issue_types", "include_issue_status", "exclude_issue_status", "board_ids", "org_name", "team_names", "pipeline_tags",
 )
 FLAT = (
     "SELECT g.filter_group_id, level_1, level_2, level_3, level_4, level_5, tool_type, kpi, "

@@ -19,9 +19,10 @@ def flat(t, *names):
 @query("filters_flattened", "F1", "flat", """
 SELECT filter_group_id, level_1, level_3, tool_type, kpi, array_to_string(project_url, ',') AS project_url,
   array_to_string(issue_status, ',') AS issue_status, array_to_string(board_ids, ',') AS board_ids,
-  array_to_string(project_name, ',') AS project_name FROM flat""")
+  array_to_string(project_name, ',') AS project_name, array_to_string(include_issue_status, ',') AS include_issue_status,
+  array_to_string(exclude_issue_status, ',') AS exclude_issue_status FROM flat""")
 def _(t):
-    arrays = ("project_url", "issue_status", "board_ids", "project_name")
+    arrays = ("project_url", "issue_status", "board_ids", "project_name", "include_issue_status", "exclude_issue_status")
     return flat(t).select(
         "filter_group_id", "level_1", "level_3", "tool_type", "kpi", *[F.array_join(c, ",").alias(c) for c in arrays]
     )
@@ -118,7 +119,7 @@ def _(t):
     )
 
 
-@query("deploys_joined_to_commits_by_repository", "F7", "flat deploys", r"""
+@query("deploys_by_listed_repository", "F7", "flat deploys", r"""
 SELECT f.level_3, f.tool_type, count(*) AS runs FROM deploys p JOIN (
   SELECT level_3, tool_type, unnest(project_url) AS u FROM flat WHERE kpi = 'kpi-ltfc') f
   ON p.project_url = f.u OR p.project_url = concat(f.u, '.git') OR concat(p.project_url, '.git') = f.u

@@ -29,6 +29,8 @@ FILTER_NAMES = (
     "pipeline_status_success",
     "issue_status",
     "include_issue_types",
+    "include_issue_status",
+    "exclude_issue_status",
     "board_ids",
     "defect_type",
     "assignment_groups",

@@ -1,6 +1,6 @@
 """Domain frames derived from the parquet tables.
 
-Each frame is one row-local projection, written once as SQL text. Spark runs it over DataFrames; the oracle uses the
+Each frame is a projection, or a small aggregate of one table, written once as SQL text. Spark runs it over DataFrames; the oracle uses the
 same text, with the few spellings that differ swapped in, as a common table expression. Operators never appear here.
 """
 
@@ -132,10 +132,12 @@ def _(d):
         ("project_name", "'jira'", d.arr(f"concat('P', {n} % 10)"), ("ctfc", "cfr", "mttr"), f"{n} % 4 <> 3"),
         ("issue_status", "'jira'", d.arr("'Done'", "'Completed'"), ("ctfc",), f"{n} % 8 <> 5"),
         ("include_issue_types", "'jira'", d.arr("'Story'", "'Bug'"), ("ctfc",), f"{n} % 3 = 0"),
+        ("include_issue_status", "'jira'", d.arr("'Done'", "'In Progress'"), ("ctfc",), f"{n} % 5 = 0"),
+        ("exclude_issue_status", "'jira'", d.arr("'Cancelled'"), ("ctfc", "cfr"), f"{n} % 6 = 1"),
         ("board_ids", "'jira'", d.arr(f"cast({n} % 6 AS string)", f"cast({n} % 6 + 6 AS string)"), ("ctfc",), f"{n} % 2 = 0"),
         ("org_name", tool, d.arr(f"concat('org-', {n} % 6)"), ("assist",), f"{n} % 7 <> 6"),
         ("team_names", tool, d.arr(f"concat('team-', {n} % 3)"), ("assist",), f"{n} % 5 = 0"),
-        ("pipeline_tags", "'github'", d.arr(f"concat('tag-', {n} % 9)"), ("tests",), f"{n} % 2 = 1"),
+        ("pipeline_tags", "'github'", d.arr(f"concat('tag-', {n} % 9)", f"CASE WHEN {n} % 10 <> 5 THEN concat('tag-', {n} % 9) END"), ("tests",), f"{n} % 2 = 1"),
         ("project_name", "'scanner'", d.arr(f"concat('SVC-', {n})", f"concat('SVC-', {n} + 25)"), ("quality", "web"), "1 = 1"),
     ]
     entries = d.arr(
@@ -449,6 +451,7 @@ def _(d):
     total, failed = "cast(floor(l_quantity) AS int)", "cast(floor(l_discount * 50) AS int)"
     tag = "concat('tag-', l_partkey % 12)"
     return f"""SELECT concat('tp-', l_suppkey) AS pipeline_id, concat('step-', l_partkey % 40) AS step_id, l_linenumber AS run_count,
+        concat('suite ', l_suppkey % 50) AS pipeline_name, concat('check ', l_partkey % 40) AS step_name,
         md5({LINE_ID}) AS test_name, concat('repo-', l_suppkey % 25) AS repository,
         CASE WHEN l_linenumber = 7 THEN '' ELSE concat('https://git.example/n', l_suppkey % 25) END AS git_url,
         {total} AS total_tests, {total} - least({failed}, {total}) AS passed_tests, least({failed}, {total}) AS failed_tests,
@@ -491,7 +494,8 @@ def _(d):
     return f"""SELECT concat('ISS-', l_orderkey) AS ticket_key, {SHA} AS commit_id, l_shipdate AS commit_timestamp,
         concat('dev', l_partkey % 150) AS commit_author, concat('change ', l_linenumber) AS commit_title,
         CASE WHEN l_returnflag = 'A' THEN 'Y' WHEN l_returnflag = 'R' THEN 'true' END AS copilot_commit_flag,
-        cast(floor(l_quantity) AS bigint) AS commit_lines_added, concat('org-', l_suppkey % 6) AS org_name
+        cast(floor(l_quantity) AS bigint) AS commit_lines_added, cast(floor(l_discount * 100) AS bigint) AS commit_lines_removed,
+        cast(l_partkey % 9 AS bigint) AS commit_lines_modified, concat('org-', l_suppkey % 6) AS org_name
       FROM {d.lineitem}"""
 
 
@@ -508,10 +512,9 @@ def _(d):
 def _(d):
     return f"""SELECT concat(CASE WHEN o_orderstatus = 'O' THEN 'EXT-' ELSE 'ISS-' END, o_orderkey) AS ticket_key, concat('flow-', o_orderkey) AS pipeline_id,
         {d.hours('o_orderdate', '5')} AS pipeline_started_at,
-        CASE o_orderkey % 7 WHEN 0 THEN 'code-review' WHEN 1 THEN 'build-and-test' WHEN 2 THEN 'security-scan'
-          WHEN 3 THEN 'sonar-quality' WHEN 4 THEN 'qa-tests' WHEN 5 THEN 'deploy-staging' ELSE 'production-release' END AS pipeline_step_name,
-        CASE o_orderkey % 7 WHEN 0 THEN 'Review' WHEN 1 THEN 'build' WHEN 2 THEN 'security' WHEN 3 THEN 'quality' WHEN 4 THEN 'test'
-          WHEN 5 THEN 'deploy' ELSE 'production' END AS pipeline_step_type,
+        concat('job ', o_orderkey % 11, CASE WHEN o_orderkey % 4 = 0 THEN ' Compile' WHEN o_orderkey % 13 = 1 THEN ' peer review' ELSE '' END) AS pipeline_step_name,
+        CASE WHEN o_custkey % 5 = 0 THEN 'Security gate' WHEN o_custkey % 5 = 1 THEN 'load test' WHEN o_custkey % 5 = 2 THEN 'deploy'
+          WHEN o_custkey % 20 = 3 THEN 'release train' WHEN o_custkey % 20 = 8 THEN 'quality' ELSE 'other' END AS pipeline_step_type,
         CASE WHEN o_orderstatus = 'P' THEN 'failure' ELSE 'success' END AS pipeline_step_conclusion,
         concat('org-', o_custkey % 6) AS org_name
       FROM {d.orders}"""
@@ -564,8 +567,9 @@ def _(d):
                  creation_date=day(f"-({c} % 20) - 5"), closed_date=f"CASE WHEN {k} % 5 >= 3 THEN {day('-1')} END")
     web = d.json(IssueId=f"concat('x-', {k})", IsPresent=f"CASE WHEN {k} % 3 = 0 THEN 'false' ELSE 'true' END",
                  IsAddressed=f"CASE WHEN {c} % 2 = 0 THEN 'true' ELSE 'false' END")
-    tests = d.json(total_tests=s(f"{k} % 200 + 150"), failed_tests=f"CASE WHEN {k} % 40 = 0 THEN 'n/a' ELSE {s(f'{c} % 10')} END",
-                   skipped_tests=s(f"{c} % 20"), success_tests=s(f"{k} % 200 + 150 - {c} % 10 - {c} % 20"))
+    passed = f"{k} % 90 + 30"
+    tests = d.json(total_tests=s(f"{passed} + {k} % 7 + {c} % 5"), failed_tests=f"CASE WHEN {k} % 17 = 3 THEN 'unknown' ELSE {s(f'{k} % 7')} END",
+                   skipped_tests=s(f"{c} % 5"), success_tests=s(passed))
     return f"""SELECT 'level_3' AS level_name, concat('NATION_', {c} % 25) AS level_value,
         concat('v', year(o_orderdate), '.', month(o_orderdate)) AS fix_version, concat('P', {c} % 10) AS issue_project,
         cast(o_orderdate AS date) + 10 AS release_date,
