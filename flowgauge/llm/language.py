@@ -92,10 +92,10 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 400, max_languages: int = 200) -> Model | None:
+def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 400, max_languages: int = 200, most_rows: int = 8000) -> Model | None:
     """Fit on a bounded sample: of each language the ``per_language`` rows least in a hash of id and text.
 
-    Only rows with a language and a letter count. Nothing but text and language is learned from. More than
+    With many languages fewer of each, so that there are about ``most_rows`` in all. Only rows with a language and a letter count. Nothing but text and language is learned from. More than
     ``max_languages`` languages are an error, so the sample has at most max_languages x per_language rows. No usable row
     gives None. The sample does not depend on how the rows are partitioned; repeated rows may repeat in it.
     """
@@ -112,9 +112,17 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     chosen = F.lit(False)
     for name, last in sorted(lasts.items()):
         chosen = chosen | ((F.col("lang") == name) & (F.col("h") <= last))
-    rows = usable.filter(chosen).drop_duplicates(["lang", "h"]).orderBy("lang", "h").toPandas()
-    x = np.stack([features(t.encode()).astype(np.float32) for t in rows["text"]])
-    names = rows["lang"].to_numpy()
+    sample = usable.filter(chosen).drop_duplicates(["lang", "h"]).select("lang", "h", F.col("text").cast("binary").alias("text"))
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(t.as_py()).astype(np.float32).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(found, pa.binary())], names=["lang", "h", "x"])
+
+    # Texts of any length stay in the tasks: the driver gets a vector of fixed size for each row of the sample.
+    rows = sample.mapInArrow(extract, "lang string, h long, x binary").orderBy("lang", "h").toArrow()
+    x = np.stack([np.frombuffer(v.as_py(), np.float32) for v in rows["x"]])
+    names = np.array(rows["lang"].to_pylist(), object)
     families: dict[str, list[str]] = {}
     for name in sorted(lasts):
         families.setdefault(family_of(name), []).append(name)
@@ -138,7 +146,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", lang_pred
     """
     keep = [c for c in docs.columns if c not in (lang_pred, score)]
     readable = F.when(has_letter(F.col(text)), F.col(text))
-    with_text = docs.select(*keep, readable.cast("binary").alias("_readable"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), readable.cast("binary").alias("readable"))
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
@@ -148,8 +156,8 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", lang_pred
             )
 
     predict = F.arrow_udf(run, "l string, s double")
-    out = with_text.withColumn("_p", predict("_readable"))
-    return out.select(*keep, F.col("_p.l").alias(lang_pred), F.col("_p.s").alias(score))
+    out = rows.select("row", predict("readable").alias("p"))
+    return out.select(*[F.col("row")[c].alias(c) for c in keep], F.col("p.l").alias(lang_pred), F.col("p.s").alias(score))
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

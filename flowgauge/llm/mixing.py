@@ -155,10 +155,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """The mix itself: every row of ``docs``, with its columns, as often as it is taken."""
+    """The mix itself: every row of ``docs``, with its columns, whatever their names, as often as it is taken."""
     plan = plan_mix(docs, word_count(F.col(text)), doc_id=doc_id, source=source, **how).filter("copies > 0")
-    plan = plan.select(F.col("doc").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumns({"_k_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID).cast("long")), "_k_size": word_count(F.col(text))})
-    on = (F.col("_k_doc") == F.col("_doc")) & (F.col("_k_size") == F.col("_size")) & F.col(source).cast("string").eqNullSafe(F.col("_source"))
-    rows = keyed.join(plan, on).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
-    return rows.select(*docs.columns)
+    key = [F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID).cast("long")).alias("doc"), word_count(F.col(text)).alias("size")]
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *key, F.col(source).cast("string").alias("of"))
+    on = (keyed["doc"] == plan["doc"]) & (keyed["size"] == plan["size"]) & keyed["of"].eqNullSafe(plan["source"])
+    times = F.explode(F.array_repeat(F.lit(0), plan["copies"].cast("int")))
+    return keyed.join(plan, on).select("row", times.alias("copy")).select("row.*")

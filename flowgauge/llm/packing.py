@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -34,12 +35,17 @@ class Encoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            described = json.load(f)
+        vocabulary = described["model"]["vocab"]
+        # Tokens added to the vocabulary are found in the raw text before anything else, the longest first.
+        self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in described.get("added_tokens", ())}
+        self.split = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         # The file spells each byte as a printable character: itself where it is one, else the next from U+0100 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spelled = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
         ranks = {bytes(spelled[c] for c in token): i for token, i in vocabulary.items() if all(c in spelled for c in token)}
-        ranks.pop(b"<|endoftext|>", None)
+        for token in self.added:
+            ranks.pop(token.encode(), None)
         self.encode = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.most, self.cache = most, {}
 
@@ -56,6 +62,12 @@ class Encoder:
         return ids
 
     def __call__(self, text: str) -> bytes:
+        if self.split is None or not self.split.search(text):
+            return self.plain(text)
+        parts = self.split.split(text)
+        return b"".join(self.added[p] if i % 2 else self.plain(p) for i, p in enumerate(parts) if p)
+
+    def plain(self, text: str) -> bytes:
         first, *pieces = text.split(" ")
         if not pieces:
             return self.whole(text)
@@ -74,44 +86,66 @@ def encoder(path: str) -> Encoder:
 
 
 class Packer:
-    """Windows of ``size`` tokens. ``levels[h]`` counts the open windows that hold h tokens.
+    """Windows of ``size`` tokens. ``levels[l]`` counts the open windows filled to level l, in steps of ``unit`` tokens.
 
     A piece goes where the sum of the squared counts of partially filled windows becomes least: into an open window that
-    it fits, or a new one; the fullest of equals. Only the pieces of open windows are held.
+    it fits, or a new one; the fullest of equals. A window in its last step is filled up with the first tokens of the next
+    piece, so it has no padding. Few levels keep few windows open: only their pieces are held.
     """
 
-    def __init__(self, size: int, first: int):
-        self.size, self.next = size, first
-        self.levels = np.zeros(size + 1, np.int64)
-        self.windows: list[list[list]] = [[] for _ in range(size + 1)]
+    def __init__(self, size: int, first: int, unit: int = 32):
+        self.size, self.unit, self.top, self.next = size, unit, size // unit, first
+        self.levels = np.zeros(self.top + 1, np.int64)
+        self.windows: list[list[list]] = [[] for _ in range(self.top + 1)]
+        self.nearly: list[list] = []
+        self.placed = self.moved = 0  # tokens placed by the sum of squares, and those of them that were moved at the end
 
     def new_id(self) -> int:
         self.next += 1
         return self.next - 1
 
     def place(self, n: int) -> int:
-        """The level at which a piece of n tokens goes; 0 opens a window."""
-        size, levels = self.size, self.levels
+        """The level at which a piece of n steps goes; 0 opens a window."""
+        size, levels = self.top, self.levels
         change = np.where(levels[: size - n + 1] > 0, 1 - 2 * levels[: size - n + 1], np.iinfo(np.int64).max // 4)
         change[0] = 0
         change[:-1] += 2 * levels[n:size] + 1
         return int(size - n - np.argmin(change[::-1]))
 
+    @staticmethod
+    def filled(window: list) -> int:
+        return sum(len(p[2]) for p in window) // 4
+
     def add(self, piece: tuple) -> Iterator[tuple]:
-        """Put (doc_id, start, ids, doc_tokens) into a window; gives the rows of the window that it fills."""
-        n = len(piece[2]) // 4
-        level = self.place(n)
+        """Put (doc_id, start, ids, doc_tokens) into a window; gives the rows of the windows that it fills."""
+        doc, start, ids, total = piece
+        while self.nearly and ids:
+            window = self.nearly[-1]
+            n = min(self.size - self.filled(window), len(ids) // 4)
+            window.append((doc, start, ids[: 4 * n], total))
+            start, ids = start + n, ids[4 * n :]
+            if self.filled(window) == self.size:
+                yield from self.closed(self.nearly.pop())
+        n = len(ids) // 4
+        if not n:
+            return
+        self.placed += n
+        level = self.place(-(-n // self.unit))
         if level:
             self.levels[level] -= 1
             window = self.windows[level].pop()
         else:
             window = []
-        window.append(piece)
-        if level + n == self.size:
+        window.append((doc, start, ids, total))
+        held = self.filled(window)
+        reached = -(-held // self.unit)
+        if held == self.size:
             yield from self.closed(window)
+        elif reached == self.top:
+            self.nearly.append(window)
         else:
-            self.levels[level + n] += 1
-            self.windows[level + n].append(window)
+            self.levels[reached] += 1
+            self.windows[reached].append(window)
 
     def closed(self, window: list) -> Iterator[tuple]:
         at, sequence = 0, self.new_id()
@@ -120,14 +154,32 @@ class Packer:
             at += len(ids) // 4
 
     def rest(self) -> Iterator[tuple]:
-        """The windows still open at the end: their pieces are cut anew into full windows, the last into powers of two."""
-        pieces = [p for level in reversed(self.windows) for w in level for p in w]
-        left = sum(len(p[2]) // 4 for p in pieces)
+        """The windows still open at the end, without padding: the fullest stay as they are and are filled up with tokens of
+        the least full; what is left of these in the end is cut into powers of two."""
+        open_ = sorted([*self.nearly, *(w for level in self.windows for w in level)], key=self.filled)
+        while len(open_) > 1:
+            window = open_.pop()
+            gap = self.size - self.filled(window)
+            while gap and open_:
+                doc, start, ids, total = open_[0].pop()
+                n = min(gap, len(ids) // 4)
+                window.append((doc, start, ids[: 4 * n], total))
+                if 4 * n < len(ids):
+                    open_[0].append((doc, start + n, ids[4 * n :], total))
+                elif not open_[0]:
+                    del open_[0]
+                gap -= n
+                self.moved += n
+            if gap:
+                open_ = [window]
+            else:
+                yield from self.closed(window)
+        left = sum(map(self.filled, open_))
         room, window = 0, []
-        for doc, start, ids, total in pieces:
+        for doc, start, ids, total in (p for w in open_ for p in w):
             while ids:
                 if not room:
-                    room = self.size if left >= self.size else 1 << (left.bit_length() - 1)
+                    room = 1 << (left.bit_length() - 1)
                 n = min(room, len(ids) // 4)
                 window.append((doc, start, ids[: 4 * n], total))
                 start, ids, room, left = start + n, ids[4 * n :], room - n, left - n
@@ -141,7 +193,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, doc
 
     A document is its token ids and then ``end_id``. Whole windows are cut off first; the rest of at most size - 1
     tokens is placed by the sum of squares. Each input partition packs its own documents in one pass, without a shuffle,
-    and cuts what is open at its end into full windows and then powers of two, which need no padding. ``ids`` holds
+    and at its end fills the fullest open windows up from the least full, the last into powers of two, so nothing is
+    padded. ``ids`` holds
     little-endian unsigned 32-bit ids; ``size`` is a power of two.
 
     Null and empty texts are the end id alone. Repeated rows are packed each. A null id stays null. Long texts are cut

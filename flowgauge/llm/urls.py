@@ -143,7 +143,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", page_
 
     def cascade(action: str) -> Cascade:
         keys = sorted({r.key for r in rules if r.action == action})
-        return build_cascade(spark.createDataFrame([(k,) for k in keys], "key string"), universe)
+        listed = spark.range(1).select(F.explode(F.array(*[F.lit(k) for k in keys]).cast("array<string>")).alias("key"))
+        return build_cascade(listed, universe)
 
     blocked, allowed = cascade("block"), cascade("allow")
     keyed = slim.withColumns({f"_k{i}": candidate(F.col("host"), F.col("path"), s) for i, s in enumerate(shapes)})
