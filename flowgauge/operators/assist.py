@@ -206,12 +206,18 @@ def engaged_users(usage: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def numbered_users(usage: DataFrame, user: str = "user_login") -> DataFrame:
-    """Each user with a number from 1 without gaps, in an order of hashes; no task numbers more than a share of them."""
-    users = usage.select(user).filter(F.col(user).isNotNull()).distinct()
-    hashed = users.withColumns({"_all": F.lit(0), "_hash": F.xxhash64(user)})
-    placed = position_in_key(hashed, ["_all"], ["_hash", user], "_at", F.shiftright("_hash", 54))
-    return placed.select(user, (F.col("_at") + 1).alias("user_number"))
+def numbered_users(usage: DataFrame, user: str = "user_login", parts: int = 1024) -> DataFrame:
+    """Each user with a number from 1 without gaps. Users are numbered inside ``parts`` hash parts; where a part begins
+    comes from one small map of the parts' sizes, so no task numbers more than a part."""
+    users = usage.select(user).filter(F.col(user).isNotNull()).distinct().withColumn("_part", F.pmod(F.xxhash64(user), F.lit(parts)))
+    sizes = users.groupBy("_part").agg(F.count("*").alias("_n")).agg(F.collect_list(F.struct("_part", "_n")).alias("all"))
+
+    def before(part: Column) -> Column:
+        return F.aggregate(F.filter("all", lambda x: x["_part"] < part), F.lit(0).cast("long"), lambda total, x: total + x["_n"])
+
+    begins = sizes.select(F.map_from_entries(F.transform("all", lambda x: F.struct(x["_part"], before(x["_part"]))))).scalar()
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(user))
+    return users.select(user, (F.element_at(begins, F.col("_part")) + inside).alias("user_number"))
 
 
 def weekly_matrix(usage: DataFrame, dims: Sequence[str]) -> DataFrame:

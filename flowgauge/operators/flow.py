@@ -56,8 +56,8 @@ def issue_stream(commits: DataFrame, prs: DataFrame, steps: DataFrame, issues: D
         columns = {"data_type": label} | {name: F.col(c) for name, c in places.items()} | assisted | {"org_name": F.col("org_name")}
         shaped = mine.select(*[c.alias(name) for name, c in columns.items()])
         out = shaped if out is None else out.unionByName(shaped, allowMissingColumns=True)
-    project = issues.filter(F.col("issue_key") == key).select(F.max("issue_project").alias("project_name"))  # one row, also without the issue
-    return out.join(project).orderBy(F.desc("at"), "data_type", "id")
+    project = issues.filter(F.col("issue_key") == key).select(F.max("issue_project")).scalar()
+    return out.withColumn("project_name", project).orderBy(F.desc("at"), "data_type", "id")
 
 
 def top_issues(events: DataFrame, issues: DataFrame, k: int | None = None) -> DataFrame:

@@ -127,7 +127,8 @@ def refined_bucket(df: DataFrame, keys: Sequence[str], bucket: Column, by: Seque
     ``by`` are the order columns inside a bucket. The rows of every (key, bucket) are counted; one with over ``most`` rows
     is cut into equal ranges of the first of ``by`` that varies in it, four times as many as it is too large. Each
     further level does the same with the ranges that are still too large. Buckets with less than a ten-thousandth of all
-    rows are left whole, so there are fewer than 10,000 to cut, whatever the data: that bounds the broadcast.
+    rows are left whole, so there are fewer than 10,000 to cut, whatever the data: a relation that Spark
+    broadcasts by its measured size.
     """
     parts = [alias]
     out = df.withColumn(alias, bucket)
@@ -148,7 +149,7 @@ def refined_bucket(df: DataFrame, keys: Sequence[str], bucket: Column, by: Seque
         for i in reversed(range(len(by))):
             cut = F.when(F.col(f"_varies{i}"), F.floor((F.col(by[i]) - F.col(f"_low{i}")) / F.col(f"_width{i}"))).otherwise(cut)
         part = f"{alias}_{level}"
-        out = out.join(F.broadcast(cuts), on, "left").withColumn(part, cut.cast("long")).drop(*names.values(), *extra)
+        out = out.join(cuts, on, "left").withColumn(part, cut.cast("long")).drop(*names.values(), *extra)
         parts.append(part)
     return out.withColumn(alias, F.struct(*parts)).drop(*parts[1:])
 

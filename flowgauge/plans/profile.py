@@ -283,13 +283,13 @@ def stored_deploys(t):
     return ScopedTable(t.spark, scratch_path(t.spark, "deploys"), DEPLOY_COLUMNS, ("level",)).create(rows)
 
 
-FAILED_OF_TWO = F.col("level").isin("NATION_1", "NATION_2") & (F.col("step_conclusion") == "failure")
 FAILED_OF_TWO_SQL = "(level IN ('NATION_1', 'NATION_2') AND step_conclusion IS NOT DISTINCT FROM 'failure')"
 
 
 def delete_failed(t):
     table = stored_deploys(t)
-    return table, table.delete(FAILED_OF_TWO), table.delete(FAILED_OF_TWO)
+    failed_of_two = F.col("level").isin("NATION_1", "NATION_2") & (F.col("step_conclusion") == "failure")
+    return table, table.delete(failed_of_two), table.delete(failed_of_two)
 
 
 @query("table_scoped_delete_counts", "S6", "deploys", f"""

@@ -123,7 +123,7 @@ DOMAIN = {
     "web_scans": "WebsiteId STRING, WebsiteName STRING, TargetUrl STRING, TargetPath STRING, State STRING, "
     "scan_id BIGINT, InitiatedAt TIMESTAMP_NTZ, InitiatedTime STRING",
     "web_issues": "WebsiteId STRING, Title STRING, Severity STRING, IsPresent BOOLEAN, LastSeenDate STRING",
-    "test_runs": "pipeline_id STRING, step_id STRING, run_count INT, test_name STRING, repository STRING, "
+    "test_runs": "pipeline_id STRING, step_id STRING, run_count INT, pipeline_name STRING, step_name STRING, test_name STRING, repository STRING, "
     "git_url STRING, total_tests INT, passed_tests INT, failed_tests INT, errored_tests INT, "
     "skipped_tests INT, pipeline_tags array<string>, created_at TIMESTAMP_NTZ",
     "secret_scans": "scan_id STRING, repository STRING, flow_name STRING, total_issues INT, activity_date TIMESTAMP_NTZ, "
@@ -132,7 +132,8 @@ DOMAIN = {
     "test_tickets": "project_name STRING, execution_id STRING, status struct<name:string,final:boolean>, "
     "tickets array<struct<key:string,issue_type:string>>",
     "flow_commits": "ticket_key STRING, commit_id STRING, commit_timestamp TIMESTAMP_NTZ, commit_author STRING, "
-    "commit_title STRING, copilot_commit_flag STRING, commit_lines_added BIGINT, org_name STRING",
+    "commit_title STRING, copilot_commit_flag STRING, commit_lines_added BIGINT, "
+    "commit_lines_removed BIGINT, commit_lines_modified BIGINT, org_name STRING",
     "flow_prs": "ticket_key STRING, pr_id STRING, pr_created_datetime TIMESTAMP_NTZ, pr_user_name STRING, "
     "pr_title STRING, pr_state STRING, org_name STRING",
     "flow_steps": "ticket_key STRING, pipeline_id STRING, pipeline_started_at TIMESTAMP_NTZ, pipeline_step_name STRING, "
