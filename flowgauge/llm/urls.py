@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BITS = 63  # bits used of a long, so that shifts never touch the sign
+from flowgauge.llm.common import stored
+
+BITMAP = 1 << 15  # bits of one bitmap of bitmap_construct_agg
 
 
 @dataclass(frozen=True)
@@ -58,39 +60,33 @@ class Level:
     n_bits: int
     n_hashes: int
     seed: int
-    words: tuple[int, ...]
+    bits: bytes = b""  # bit p is bit p % 8 of byte p div 8
 
-    def places(self, key: Column) -> Column:
+    def places(self, key: Column) -> list[Column]:
         """The key's bit numbers."""
-        return F.array(*[F.pmod(F.xxhash64(F.lit(self.seed + i), key), F.lit(self.n_bits)) for i in range(self.n_hashes)])
+        return [F.pmod(F.xxhash64(F.lit(self.seed + i), key), F.lit(self.n_bits)) for i in range(self.n_hashes)]
 
     def holds(self, key: Column) -> Column:
-        words = F.array(*[F.lit(w).cast("long") for w in self.words])
-        one = F.lit(1).cast("long")
-        tests = [
-            F.element_at(words, (F.floor(p / BITS) + 1).cast("int")).bitwiseAND(F.call_function("shiftleft", one, (p % BITS).cast("int"))) != 0
-            for p in (F.pmod(F.xxhash64(F.lit(self.seed + i), key), F.lit(self.n_bits)) for i in range(self.n_hashes))
-        ]
-        out = tests[0]
-        for t in tests[1:]:
-            out = out & t
+        bits = F.lit(self.bits)  # one value of the plan, which all tests share
+        out = F.lit(True)
+        for p in self.places(key):
+            byte = F.conv(F.hex(F.substring(bits, (F.floor(p / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+            out = out & (F.getbit(byte, (p % 8).cast("int")) == 1)
         return out
 
 
-def build_level(keys: DataFrame, n: int, seed: int, rate: float, most_bits: int) -> Level:
-    """A Bloom filter over the column ``key``: bits are merged in Spark, and only the finished words reach the driver."""
+def build_level(keys: DataFrame, n: int, seed: int, rate: float) -> Level:
+    """A Bloom filter over the ``n`` rows of the column ``key``: bitmaps are made and merged in Spark, and only the finished bits reach the driver."""
     n_hashes = max(1, round(-math.log2(rate)))
-    n_bits = max(BITS, math.ceil(n * n_hashes / math.log(2)))
-    if n_bits > most_bits:
-        raise ValueError(f"a level for {n} keys needs {n_bits} bits, more than {most_bits}")
-    level = Level(n_bits, n_hashes, seed, ())
-    places = keys.select(F.explode(level.places(F.col("key"))).alias("p"))
-    one = F.lit(1).cast("long")
-    bits = places.select(F.floor(F.col("p") / BITS).alias("word"), F.call_function("shiftleft", one, (F.col("p") % BITS).cast("int")).alias("bit"))
-    words = [0] * (-(-n_bits // BITS))
-    for row in bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():  # at most n_bits / 63 rows
-        words[row["word"]] = row["bits"]
-    return Level(n_bits, n_hashes, seed, tuple(words))
+    level = Level(max(8, math.ceil(n * n_hashes / math.log(2))), n_hashes, seed)
+    places = keys.select(F.explode(F.array(*level.places(F.col("key")))).alias("p"))
+    maps = places.groupBy(F.floor(F.col("p") / BITMAP).alias("at")).agg(F.bitmap_construct_agg(F.col("p") % BITMAP).alias("bits"))
+    bits = bytearray(-(-level.n_bits // 8))
+    for row in maps.collect():  # one row for 32768 bits
+        start = row["at"] * BITMAP // 8
+        part = row["bits"][: len(bits) - start]
+        bits[start : start + len(part)] = part
+    return replace(level, bits=bytes(bits))
 
 
 @dataclass(frozen=True)
@@ -107,18 +103,22 @@ class Cascade:
         return out
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, rate: float = 0.1, most_bits: int = 1 << 20) -> Cascade:
+def build_cascade(listed: DataFrame, universe: DataFrame, rate: float = 0.1) -> Cascade:
     """Exact on every key of ``universe`` and ``listed`` (columns ``key``, distinct, not null).
 
     Level 0 holds the listed keys. Each next level holds the keys of the other kind that the levels so far get wrong,
-    until none is left. A level's size follows the number of its keys; beyond ``most_bits`` the build stops with an
-    error rather than sending more to the tasks. No listed keys give a cascade without levels, which lists nothing.
+    until none is left. Level 0 is made so fine that it takes in about as many others as there are listed keys, at most
+    a share of ``rate``; so all levels together grow with the listed keys, times the logarithm of the universe over
+    them, and not with the universe. There is no limit to the list. The bits go to the tasks with the plan: 0.6 byte a
+    listed key for each halving of level 0's share. No listed keys give a cascade without levels, which lists nothing.
     """
-    others = universe.join(listed, "key", "left_anti")
+    others = stored(universe.join(listed, "key", "left_anti"))
     sides, levels = [listed, others], []
+    n_others = others.count()
     while (n := sides[len(levels) % 2].count()) > 0:
         k = len(levels) % 2
-        levels.append(build_level(sides[k], n, 1000 * len(levels), rate, most_bits))
+        share = rate if levels else min(rate, n / max(n_others, 1))
+        levels.append(build_level(sides[k], n, 1000 * len(levels), share))
         # Only what the new level takes in of the other side goes on.
         sides[1 - k] = sides[1 - k].filter(levels[-1].holds(F.col("key")))
     return Cascade(tuple(levels))
@@ -139,7 +139,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", page_
     if not shapes:
         return slim.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     asked = F.array(*[candidate(F.col("host"), F.col("path"), s) for s in shapes])
-    universe = slim.select(F.explode(asked).alias("key")).filter("key IS NOT NULL").distinct()
+    universe = stored(slim.select(F.explode(asked).alias("key")).filter("key IS NOT NULL").distinct())
 
     def cascade(action: str) -> Cascade:
         keys = sorted({r.key for r in rules if r.action == action})

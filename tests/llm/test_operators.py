@@ -355,6 +355,40 @@ def test_cascade_is_exact_with_poor_filters(spark):
     assert got == {f"k{i}": i % 7 == 0 for i in range(3000)}
 
 
+def test_cascade_follows_the_list_without_a_limit(spark):
+    from pyspark.sql import functions as F
+
+    # Far more listed keys than one bitmap of 32768 bits can hold: several bitmaps make up a level.
+    key = F.concat(F.lit("host"), F.col("id")).alias("key")
+    listed, universe = spark.range(0, 200_000, 2).select(key), spark.range(300_000).select(key)
+    cascade = urls.build_cascade(listed, universe)
+    wrong = spark.range(300_000).withColumn("key", key).filter(cascade.listed(F.col("key")) != ((F.col("id") < 200_000) & (F.col("id") % 2 == 0)))
+    assert cascade.levels[0].n_bits > 4 * 32768
+    assert wrong.count() == 0
+
+
+def test_cascade_does_not_grow_with_the_universe(spark):
+    from pyspark.sql import functions as F
+
+    listed = spark.range(100).select(F.concat(F.lit("a"), F.col("id")).alias("key"))
+    bits = []
+    for n in (10_000, 160_000):
+        universe = spark.range(n).select(F.concat(F.lit("b"), F.col("id")).alias("key"))
+        cascade = urls.build_cascade(listed, universe)
+        bits.append(sum(level.n_bits for level in cascade.levels))
+        assert universe.filter(cascade.listed(F.col("key"))).isEmpty()
+        assert listed.filter(~cascade.listed(F.col("key"))).isEmpty()
+    assert bits[1] < 2 * bits[0]  # four halvings more for a universe sixteen times as large
+
+
+def test_cascade_of_nothing(spark):
+    from pyspark.sql import functions as F
+
+    none, some = spark.createDataFrame([], "key string"), spark.createDataFrame([("a",)], "key string")
+    assert some.filter(urls.build_cascade(none, some).listed(F.col("key"))).isEmpty()
+    assert some.filter(urls.build_cascade(some, none).listed(F.col("key"))).count() == 1
+
+
 def brute_vectors(rows, least=0.95):
     good = [(i, np.array(v, float)) for i, v in rows if v is not None and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)]
     links = {i: set() for i, _ in rows}
