@@ -109,7 +109,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, rate: float = 0.1) ->
     Level 0 holds the listed keys. Each next level holds the keys of the other kind that the levels so far get wrong,
     until none is left. Level 0 is made so fine that it takes in about as many others as there are listed keys, at most
     a share of ``rate``; so all levels together grow with the listed keys, times the logarithm of the universe over
-    them, and not with the universe. There is no limit to the list. The bits go to the tasks with the plan: 0.6 byte a
+    them, and not with the universe. There is no limit to the list. The bits go to the tasks with the plan: 1.44 bits a
     listed key for each halving of level 0's share. No listed keys give a cascade without levels, which lists nothing.
     """
     others = stored(universe.join(listed, "key", "left_anti"))
