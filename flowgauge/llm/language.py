@@ -95,20 +95,23 @@ def has_letter(text: Column) -> Column:
 def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 400, max_languages: int = 200, most_rows: int = 8000) -> Model | None:
     """Fit on a bounded sample: of each language the ``per_language`` rows least in a hash of id and text.
 
-    With many languages fewer of each, so that there are about ``most_rows`` in all. Only rows with a language and a letter count. Nothing but text and language is learned from. More than
-    ``max_languages`` languages are an error, so the sample has at most max_languages x per_language rows. No usable row
-    gives None. The sample does not depend on how the rows are partitioned; repeated rows may repeat in it.
+    With many languages fewer of each, but one at least, so that there are at most ``most_rows`` in all or one for each
+    language: this bounds what the driver holds. Only rows with a language and a letter count. Nothing but text and
+    language is learned from. More than ``max_languages`` languages are an error. No usable row gives None. The sample
+    does not depend on how the rows are partitioned; a repeated row counts against the number but is learned once.
     """
     usable = labelled.filter(F.col(lang).isNotNull() & has_letter(F.col(text))).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("h")
     )
     # Hashes are ranked first, so that only the sample's texts are moved. Equal hashes are equal rows.
-    ranked = top_rows(usable.select("lang", "h"), ["lang"], [F.col("h")], per_language).groupBy("lang").agg(F.max("h").alias("last"))
-    lasts = {r["lang"]: r["last"] for r in ranked.limit(max_languages + 1).collect()}
-    if len(lasts) > max_languages:
+    ranked = top_rows(usable.select("lang", "h"), ["lang"], [F.col("h")], per_language).groupBy("lang").agg(F.sort_array(F.collect_list("h")).alias("least"))
+    found = ranked.limit(max_languages + 1).collect()  # at most per_language hashes of each
+    if len(found) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    if not lasts:
+    if not found:
         return None
+    each = max(1, min(per_language, most_rows // len(found)))
+    lasts = {r["lang"]: r["least"][:each][-1] for r in found}
     chosen = F.lit(False)
     for name, last in sorted(lasts.items()):
         chosen = chosen | ((F.col("lang") == name) & (F.col("h") <= last))
@@ -116,8 +119,8 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t.as_py()).astype(np.float32).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(found, pa.binary())], names=["lang", "h", "x"])
+            vectors = [features(t.as_py()).astype(np.float32).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(vectors, pa.binary())], names=["lang", "h", "x"])
 
     # Texts of any length stay in the tasks: the driver gets a vector of fixed size for each row of the sample.
     rows = sample.mapInArrow(extract, "lang string, h long, x binary").orderBy("lang", "h").toArrow()

@@ -527,3 +527,17 @@ def test_pipeline_with_null_and_repeated_ids(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, str(tmp_path))
         assert sorted(((r.doc_id or -1), r.text) for r in docs.collect()) == sorted(((i or -1), t) for i, t in texts)
+
+
+def test_language_sample_is_bounded_in_all(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr(language, "train_svm", lambda x, y: learned.append(len(y)) or np.zeros(x.shape[1] + 1))
+    docs = spark.createDataFrame([(i, f"word {i} of text", f"x{i % 3}") for i in range(90)], "doc_id long, text string, lang string")
+    language.train(docs, per_language=20, most_rows=30)
+    assert learned == [20, 20, 20]  # three families of ten rows each, two by two
+    learned.clear()
+    language.train(docs, per_language=7, most_rows=30)
+    assert learned == [14, 14, 14]
+    learned.clear()
+    language.train(docs, most_rows=1)
+    assert learned == [2, 2, 2]
