@@ -112,12 +112,12 @@ def word_sql(*words):
 
 
 # The stages' words are spelled out here, so that a wrong pattern of the operator does not pass on both sides.
-@query("stage_badges_by_issue", "V10", "flow_steps", f"""
+@query("stage_badges_by_issue", "V10", USES, f"""
 SELECT ticket_key, {word_sql('review')} AS has_code_review, {word_sql('build', 'compile')} AS has_ci, {word_sql('security', 'scan')} AS has_security,
   {word_sql('quality', 'sonar')} AS has_quality, {word_sql('test', 'qa')} AS has_qa, {word_sql('deploy')} AS has_deploy,
-  {word_sql('production', 'release')} AS has_production FROM flow_steps GROUP BY ticket_key""")
+  {word_sql('production', 'release')} AS has_production FROM {FACT} WHERE pipeline_step_name IS NOT NULL GROUP BY ticket_key""")
 def _(t):
-    return fw.stage_badges(t.flow_steps)
+    return fw.stage_badges(fact(t))
 
 
 @query("ai_assisted_commits", "V11", USES, """

@@ -47,6 +47,14 @@ def test_event_counts_expand_nothing_and_join_no_context(spark):
     assert nodes(spark, "failed_steps_with_logs", "Join LeftOuter") == 1
 
 
+def test_stage_badges_take_the_whole_fact(spark):
+    q = QUERIES["stage_badges_by_issue"]
+    for part in ("FROM flow_commits", "FROM flow_prs", "FROM flow_steps", "LEFT JOIN issues", "pipeline_step_name IS NOT NULL"):
+        assert part in q.sql
+    asked = q.run(spark, DATA)._jdf.queryExecution().analyzed().toString()
+    assert asked.count("Union") == 2 and "Join LeftOuter" in asked and "jira_sprint" in asked
+
+
 @pytest.mark.parametrize("name", sorted(FRAMES))
 def test_domain_frames_have_their_declared_schema(spark, tables, name):
     want = spark.createDataFrame([], DOMAIN[name]).schema
