@@ -284,7 +284,9 @@ def tool_velocity(commits: DataFrame) -> DataFrame:
 
 def tool_quality(commits: DataFrame, issues: DataFrame) -> DataFrame:
     """Per tool: distinct commits and those whose tickets include a bug. Commits without tickets count in the total."""
-    bugs = issues.filter(F.col("issue_type") == "Bug").select(F.col("issue_key").alias("ticket")).distinct()
+    # Repeated bugs go once per partition, not once in all: so the join deals the bugs itself, and AQE may split the
+    # commits of a frequent ticket over tasks, which it does not where an aggregate stands between exchange and join.
+    bugs = issues.filter(F.col("issue_type") == "Bug").select(F.col("issue_key").alias("ticket"), F.spark_partition_id().alias("part")).distinct()
     buggy = (
         commits.select("commit_id", F.explode("commit_tickets").alias("ticket"))
         .join(bugs, "ticket", "left_semi")

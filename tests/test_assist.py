@@ -120,3 +120,38 @@ def test_trailing_users_lists_quiet_organisations(spark):
 def test_apportion_of_great_weights(spark):
     df = spark.createDataFrame([("k", "a", 5 * 10**12, 3 * 10**6), ("k", "b", 5 * 10**12, 3 * 10**6)], "k string, c string, w long, total long")
     assert {r.share for r in aa.apportion(df, ["k"], "c", "w", "total").collect()} == {1500000}
+
+
+def test_a_frequent_ticket_is_split_over_tasks(spark):
+    """Most commits name one ticket; the bugs are listed twice, one without a key. Counts stay, and the hot ticket is dealt to several tasks."""
+    commits = spark.range(4000, numPartitions=8).select(
+        F.concat(F.lit("c"), "id").alias("commit_id"),
+        F.array(F.lit("none"), F.concat(F.lit("ISS-"), (F.col("id") % 300).cast("string"))).alias("commit_tickets"),
+        F.array(F.lit("a"), F.when(F.col("id") % 2 == 0, F.lit("b"))).alias("ai_tool"),
+    )
+    issues = spark.range(600).select(
+        F.when(F.col("id") != 0, F.concat(F.lit("ISS-"), (F.col("id") % 300).cast("string"))).alias("issue_key"),
+        F.when(F.col("id") % 3 == 0, F.lit("Bug")).otherwise(F.lit("Task")).alias("issue_type"),
+    )
+    settings_ = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k) for k in settings_}
+    try:
+        for k, v in settings_.items():
+            spark.conf.set(k, v)
+        out = aa.tool_quality(commits, issues)
+        got = sorted((tuple(r) for r in out.collect()), key=repr)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    bug = {i % 300 for i in range(600) if i % 3 == 0}
+    ids = {"a": range(4000), "b": range(0, 4000, 2), None: range(1, 4000, 2)}
+    want = [(tool, len(i), n := sum(c % 300 in bug for c in i), round(n * 100 / len(i), 2)) for tool, i in ids.items()]
+    assert got == sorted(want, key=repr)
+    assert "skew=true" in plan.split("== Initial Plan ==")[0]
