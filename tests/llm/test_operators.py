@@ -541,3 +541,16 @@ def test_language_sample_is_bounded_in_all(spark, monkeypatch):
     learned.clear()
     language.train(docs, most_rows=1)
     assert learned == [2, 2, 2]
+
+
+def test_language_sample_reaches_the_driver_packed(spark, monkeypatch):
+    """The sample's vectors have 8192 buckets of four bytes, most of them empty: the driver gets a fraction of that, and learns the same."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["der", "und", "haus"] if i % 2 else ["the", "and", "house"], k=40)), "de" if i % 2 else "en") for i in range(60)]
+    got, collect = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: got.append(collect(df)) or got[-1])
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert got[0].num_rows == 60 and got[0].nbytes < 60 * language.BUCKETS * 4 / 10
+    assert [model.predict(t)[0] for t in (b"the house and the house", b"das haus und der hund")] == ["en", "de"]
