@@ -158,9 +158,11 @@ def recent_failures(runs: DataFrame, tag: str, as_of: str, days: int = 30) -> Da
 
 
 def stage_badges(fact: DataFrame) -> DataFrame:
-    """Per issue: which delivery stages it has reached."""
-    steps = fact.filter(F.col("pipeline_step_name").isNotNull())
-    return steps.groupBy("ticket_key").agg(*[F.bool_or(stage_is(s)).alias(f"has_{s}") for s in STAGES])
+    """Per issue of the fact: which delivery stages it has reached. An issue without steps has reached none.
+
+    A step counts by its type or its name, so one without a name counts by its type.
+    """
+    return fact.groupBy("ticket_key").agg(*[F.bool_or(stage_is(s)).alias(f"has_{s}") for s in STAGES])
 
 
 def ai_assisted_commits(fact: DataFrame, keys: Sequence[str] = ("org_name",)) -> DataFrame:

@@ -115,7 +115,7 @@ def word_sql(*words):
 @query("stage_badges_by_issue", "V10", USES, f"""
 SELECT ticket_key, {word_sql('review')} AS has_code_review, {word_sql('build', 'compile')} AS has_ci, {word_sql('security', 'scan')} AS has_security,
   {word_sql('quality', 'sonar')} AS has_quality, {word_sql('test', 'qa')} AS has_qa, {word_sql('deploy')} AS has_deploy,
-  {word_sql('production', 'release')} AS has_production FROM {FACT} WHERE pipeline_step_name IS NOT NULL GROUP BY ticket_key""")
+  {word_sql('production', 'release')} AS has_production FROM {FACT} GROUP BY ticket_key""")
 def _(t):
     return fw.stage_badges(fact(t))
 

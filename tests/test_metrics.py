@@ -190,6 +190,25 @@ def test_validate_reports_each_broken_rule(spark, rows):
     assert rows(fw.validate(df, rules, ["id"])) == [(1, "a_is_small"), (1, "a_within_b")]
 
 
+def test_badges_list_every_issue_and_count_unnamed_steps(spark, rows):
+    commits = spark.createDataFrame([("only commits", "c1"), ("named", "c2"), ("named", "c2")], "ticket_key string, commit_id string")
+    prs = spark.createDataFrame([("only a request", "p1"), (None, "p2")], "ticket_key string, pr_id string")
+    steps = spark.createDataFrame(
+        [("unnamed", "r1", None, "Deploy"), ("unnamed", "r1", None, None), ("named", "r2", "Sonar", None), ("named", "r3", "x", "release train")],
+        "ticket_key string, pipeline_id string, pipeline_step_name string, pipeline_step_type string",
+    )
+    issues = spark.createDataFrame(
+        [("named", "s1", "Bug", "Done", "P1"), ("named", "s2", "Bug", "Done", "P1"), ("not in the flow", "s1", "Bug", "Done", "P1")],
+        "issue_key string, sprint_name string, issue_type string, issue_status string, issue_project string",
+    )
+    out = fw.stage_badges(fw.build_flow_fact(commits, prs, steps, issues))
+    got = {r[0]: {c for c, v in zip(out.columns[1:], r[1:], strict=True) if v} for r in rows(out)}
+    assert got == {
+        "only commits": set(), "only a request": set(), None: set(), "unnamed": {"has_deploy"}, "named": {"has_quality", "has_production"},
+    }
+    assert out.count() == 5 and all(v is not None for r in rows(out) for v in r[1:])
+
+
 def test_silent_instances_do_not_count(spark, rows):
     inst = spark.createDataFrame([("i1", "e", 10, 5), ("i2", "e", 90, 1)], "instance_id string, environment string, max_slots int, reserved_slots int")
     nodes = spark.createDataFrame([("i1", at(1, 1)), ("i1", at(1, 2)), ("i2", at(2))], f"instance_id string, create_time {NTZ}")
